@@ -13,19 +13,33 @@ from hirelake import schemas as S
 from hirelake.functions import rules, text
 from hirelake.operators.staging import top_per_key
 
-Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
+# Called once per Python worker; returns a function from a frame of (job_id, job_title,
+# job_description) to one record (a dict, or None for a failure) per row.
+Extractor = Callable[[], Callable[[pd.DataFrame], list]]
 
 
-def extract_with(jobs: DataFrame, extractor: Extractor) -> DataFrame:
-    """Run a model: an iterator of frames (job_id, job_title, job_description) -> job_id + record.
+def extract_with(jobs: DataFrame, extractor: Extractor, retries: int = 2) -> DataFrame:
+    """Run a model over the jobs: adds ``record``, NULL where it failed.
 
-    The model is loaded once per Python worker and sees Arrow batches. Rows it skips are absent
-    from the result; the caller quarantines them.
+    The model is loaded once per worker and sees Arrow batches. Rows without a record are tried
+    again, ``retries`` times at most. The job columns pass through, so nothing is joined back.
     """
-    out = T.StructType([T.StructField("job_id", T.StringType()), *S.EXTRACTION.fields])
-    records = jobs.select("job_id", "job_title", "job_description").mapInPandas(extractor, out)
-    rec = records.select("job_id", F.struct(*S.EXTRACTION.names).alias("record"))
-    return jobs.join(rec, "job_id", "left")
+    out = T.StructType([*jobs.schema.fields, T.StructField("record", S.EXTRACTION)])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = extractor()
+        for batch in batches:
+            batch = batch.reset_index(drop=True)
+            todo, records = batch, [None] * len(batch)
+            for _ in range(retries + 1):
+                if todo.empty:
+                    break
+                for i, r in zip(todo.index, model(todo[["job_id", "job_title", "job_description"]])):
+                    records[i] = r
+                todo = batch[[r is None for r in records]]
+            yield batch.assign(record=pd.Series(records, dtype=object))
+
+    return jobs.mapInPandas(run, out)
 
 
 def extract_rules(jobs: DataFrame) -> DataFrame:
@@ -49,7 +63,7 @@ def is_valid(r: str = "record") -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def silver_rows(records: DataFrame) -> DataFrame:
+def silver_rows(records: DataFrame, *keep: str) -> DataFrame:
     """Valid records in silver column names; the level of 'Unknown' is filled from the years."""
     r = {n: F.col(f"record.{n}") for n in S.EXTRACTION.names}
     return records.select(
@@ -62,6 +76,25 @@ def silver_rows(records: DataFrame) -> DataFrame:
         r["job_role"].alias("ai_job_role"),
         rules.level_from_years(r["job_level"], r["min_years_of_experience"]).alias("job_level"),
         "source",
+        *keep,
+    )
+
+
+def to_silver(records: DataFrame) -> DataFrame:
+    """Every record as a silver row in one projection, plus ``ok``.
+
+    A broken record keeps id, URL, title and source; its level and status say 'Error'.
+    """
+    both = records.withColumn("ok", is_valid())
+    rows = silver_rows(both, "ok")
+    data = [c for c in rows.columns if c not in ("job_id", "job_url", "job_title", "source", "job_level", "ok")]
+    ok = F.col("ok")
+    return rows.withColumns(
+        {
+            **{c: F.when(ok, F.col(c)) for c in data},
+            "job_level": F.when(ok, F.col("job_level")).otherwise(F.lit(S.ERROR)),
+            "status": F.when(ok, F.lit(S.ACTIVE)).otherwise(F.lit(S.ERROR)),
+        }
     )
 
 

@@ -45,21 +45,30 @@ def kpis(silver: DataFrame, source: str | None = None, level: str | None = None)
 
 
 def kpi_cube(silver: DataFrame) -> DataFrame:
-    """KPIs of every (source or all) x (level or all) selection; ``*_all`` = 1 marks 'all'."""
-    cube = (
+    """KPIs of every (source or all) x (level or all) selection; ``*_all`` = 1 marks 'all'.
+
+    Rows are summed per (source, level) first, so the cube expands a few hundred rows, not the table.
+    """
+    english, years = F.col("english_requirement"), F.col("min_years_of_experience")
+    cells = (
         silver.where(F.col("status") == S.ACTIVE)
-        .cube("source", "job_level")
-        .agg(F.grouping("source").alias("source_all"), F.grouping("job_level").alias("level_all"), *_kpi_aggs())
+        .groupBy("source", "job_level")
+        .agg(
+            F.count_if(F.col("job_level") != S.ERROR).alias("jobs"),
+            F.sum(years.cast("bigint")).alias("years"),
+            F.count(years).alias("n_years"),
+            F.count_if(english != S.ENGLISH_NONE).alias("english_jobs"),
+        )
+    )
+    cube = cells.cube("source", "job_level").agg(
+        F.grouping("source").cast("int").alias("source_all"),
+        F.grouping("job_level").cast("int").alias("level_all"),
+        F.sum("jobs").alias("jobs"),
+        F.coalesce(F.round(F.try_divide(F.sum("years"), F.sum("n_years")), 1), F.lit(0.0)).alias("avg_yoe"),
+        F.sum("english_jobs").alias("english_jobs"),
     )
     return cube.select(
-        "source",
-        "job_level",
-        F.col("source_all").cast("int").alias("source_all"),
-        F.col("level_all").cast("int").alias("level_all"),
-        "jobs",
-        "avg_yoe",
-        "english_jobs",
-        _english_pct(),
+        "source", "job_level", "source_all", "level_all", "jobs", "avg_yoe", "english_jobs", _english_pct()
     )
 
 
@@ -80,10 +89,10 @@ def yoe_histogram(silver: DataFrame, max_bins: int = 10) -> DataFrame:
     """
     yoe = F.col("min_years_of_experience")
     counts = silver.where(selection() & yoe.isNotNull()).groupBy(yoe.alias("yoe")).agg(F.count("*").alias("n"))
-    low = counts.agg(F.min("yoe")).scalar()
-    high = counts.agg(F.max("yoe")).scalar()
-    span = high.cast("bigint") - low + 1
-    width = F.greatest(F.lit(1), F.ceil(span / max_bins))
+    # the sum keeps this plan equal to the outer one up to its exchange, which Spark then reuses
+    ends = counts.agg(F.struct(F.min("yoe").alias("low"), F.max("yoe").alias("high"), F.sum("n").alias("n"))).scalar()
+    low = ends["low"].cast("bigint")
+    width = F.greatest(F.lit(1), F.ceil((ends["high"] - low + 1) / max_bins))
     start = low + F.floor((F.col("yoe") - low) / width) * width
     return (
         counts.select(start.cast("bigint").alias("bin_start"), (start + width).cast("bigint").alias("bin_end"), "n")

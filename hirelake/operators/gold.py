@@ -9,7 +9,7 @@ from hirelake import schemas as S
 from hirelake.functions import text
 
 
-def skills_exploded(silver: DataFrame, *keep: str) -> DataFrame:
+def skills_exploded(silver: DataFrame, *keep: str, distinct: bool = False) -> DataFrame:
     """One row per list item of the JSON skill column, blanks and NULLs dropped.
 
     The plain-column guards reach the Parquet scan; the item guard runs on the array, before rows
@@ -17,11 +17,20 @@ def skills_exploded(silver: DataFrame, *keep: str) -> DataFrame:
     """
     stack = F.col("ai_core_tech_stack")
     items = F.filter(text.json_list(stack), lambda x: x.isNotNull() & (x != ""))
+    if distinct:
+        items = F.array_distinct(items)
     return silver.where(stack.isNotNull() & (stack != "[]")).select(*keep, F.explode(items).alias("skill"))
 
 
-def skill_counts(silver: DataFrame) -> DataFrame:
-    """Distinct jobs per (skill, source)."""
+def skill_counts(silver: DataFrame, keyed: bool = False) -> DataFrame:
+    """Distinct jobs per (skill, source).
+
+    With ``keyed`` the caller vouches for one row per job_id (silver tables are written so): repeats
+    are then dropped inside the row, and only (skill, source) partial counts are shuffled.
+    """
+    if keyed:
+        rows = skills_exploded(silver, "source", distinct=True)
+        return rows.groupBy("skill", "source").agg(F.count("*").alias("total_mentions"))
     rows = skills_exploded(silver, "job_id", "source")
     return rows.groupBy("skill", "source").agg(F.countDistinct("job_id").alias("total_mentions"))
 

@@ -30,6 +30,8 @@ from hirelake.operators.staging import top_per_key
 # A query set above either bound is never collected or broadcast.
 MAX_BROADCAST_QUERIES = 20_000
 MAX_BROADCAST_BYTES = 64 << 20
+# A narrow table of hits, at most this many rows, may be broadcast to fetch texts by id.
+MAX_BROADCAST_ROWS = 600_000
 # Tile sides of the shuffled way.
 CORPUS_SLICE = 20_000
 QUERY_SLICE = 2_000
@@ -51,6 +53,10 @@ class Queries:
     def small(self) -> bool:
         return self.count <= MAX_BROADCAST_QUERIES and self.bytes <= MAX_BROADCAST_BYTES
 
+    def hint(self, df: DataFrame, depth: int = 1) -> DataFrame:
+        """Mark ``df`` for broadcast if ``depth`` rows per query is a small table; else leave it alone."""
+        return F.broadcast(df) if self.small and self.count * depth <= MAX_BROADCAST_ROWS else df
+
 
 def measured(df: DataFrame) -> Queries:
     """Count a query frame and add up its payload, in one job."""
@@ -59,6 +65,8 @@ def measured(df: DataFrame) -> Queries:
         size = size + 8 * F.size("dense")
     if "terms" in df.columns:
         size = size + F.aggregate("terms", F.lit(0), lambda a, t: a + F.octet_length(t) + F.lit(48))
+    if "text" in df.columns:
+        size = size + F.octet_length("text")
     n, b = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
     return Queries(df, n, b)
 
@@ -268,13 +276,11 @@ def rerank(
     one stays. The pair list has at most ``depth`` rows per query, so with a checked query count it
     is broadcast and the corpus texts are not shuffled.
     """
-    pairs = fused.select("qid", "id")
-    if queries.small and queries.count * depth <= 1_000_000:
-        pairs = F.broadcast(pairs)
+    pairs = queries.hint(fused.select("qid", "id"), depth)
     keep = dedupe or []
     docs = corpus.select("id", "text", *keep).join(pairs, "id")
     texts = queries.df.select("qid", F.col("text").alias("__q"))
-    both = docs.join(F.broadcast(texts) if queries.small else texts, "qid")
+    both = docs.join(queries.hint(texts), "qid")
     score = F.round(scorer(text.tokens("__q"), text.tokens("text")), DIGITS)
     scored = both.select("qid", "id", *keep, score.alias("rerank"))
     order = [F.desc("rerank"), F.asc("id")]
@@ -283,19 +289,19 @@ def rerank(
     return top_per_key(scored, ["qid"], order, n, rank="rank").select("qid", "id", "rerank", "rank")
 
 
-def context(ranked: DataFrame, docs: DataFrame, queries: DataFrame) -> DataFrame:
+def context(ranked: DataFrame, docs: DataFrame, queries: Queries, n: int = 10) -> DataFrame:
     """One row per query: number of matches and 'Job i: ...' blocks in rank order ('' when none).
 
-    At most n rows are collected per query, n being the rerank depth.
+    At most ``n`` rows, the rerank depth, are collected per query.
     """
-    rows = ranked.join(docs.select("id", "page_content"), "id").groupBy("qid").agg(
+    rows = docs.select("id", "page_content").join(queries.hint(ranked, n), "id").groupBy("qid").agg(
         F.count("*").alias("n_matches"), F.array_sort(F.collect_list(F.struct("rank", "page_content"))).alias("l")
     )
     line = F.transform(
         "l", lambda r: F.concat(F.lit("Job "), r["rank"].cast("string"), F.lit(": "), r["page_content"])
     )
     return (
-        queries.select("qid")
+        queries.df.select("qid")
         .join(rows, "qid", "left")
         .select(
             "qid",
@@ -305,9 +311,11 @@ def context(ranked: DataFrame, docs: DataFrame, queries: DataFrame) -> DataFrame
     )
 
 
-def cards(ranked: DataFrame, docs: DataFrame) -> DataFrame:
+def cards(ranked: DataFrame, docs: DataFrame, queries: Queries, n: int = 10) -> DataFrame:
     """What a result list shows: title, URL and source with defaults, text without its header."""
-    hit = ranked.select("qid", "id", "rank").join(docs.select("id", "page_content", "metadata"), "id")
+    hit = docs.select("id", "page_content", "metadata").join(
+        queries.hint(ranked.select("qid", "id", "rank"), n), "id"
+    )
     title = F.coalesce("metadata.job_title", F.lit("View Job Details"))
     source = F.coalesce("metadata.source", F.lit("Unknown"))
     head = header("metadata.source", "metadata.job_title")

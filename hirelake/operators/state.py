@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake import schemas as S
-from hirelake.operators.staging import first_seen, one_per_key
+from hirelake.operators.staging import first_seen, one_per_key, top_per_key, union_sources
 
 
 def as_of_lit(as_of: dt.datetime | Column) -> Column:
@@ -48,7 +48,9 @@ def update_column(old: DataFrame, updates: DataFrame, key: str, column: str, whe
 # --- silver -------------------------------------------------------------------
 
 
-def with_silver_defaults(rows: DataFrame, as_of: dt.datetime | Column, status: str = S.ACTIVE) -> DataFrame:
+def with_silver_defaults(
+    rows: DataFrame, as_of: dt.datetime | Column, status: str = S.ACTIVE, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Fill columns an insert leaves out: NULL for data, ``as_of`` for the times, a status."""
     now = as_of_lit(as_of)
     defaults = {"processed_at": now, "last_seen_at": now, "status": F.lit(status)}
@@ -59,30 +61,32 @@ def with_silver_defaults(rows: DataFrame, as_of: dt.datetime | Column, status: s
         else:
             c = defaults.get(f.name, F.lit(None).cast(f.dataType))
         cols.append(c.alias(f.name))
-    return rows.select(*cols)
+    return rows.select(*cols, *keep)
 
 
-def upsert_touch(old: DataFrame, new: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
+def upsert_touch(old: DataFrame, new: DataFrame, as_of: dt.datetime | Column, ok: str | None = None) -> DataFrame:
     """Insert new ids; for stored ids only ``last_seen_at`` and ``status`` change.
 
-    Re-extracted values are dropped on conflict: the stored row wins. One full outer join over
-    unique keys, so both sides are shuffled once.
+    Re-extracted values are dropped on conflict: the stored row wins. ``ok`` names a boolean column
+    of ``new``; a row where it is false is inserted if absent but touches nothing, and loses to a
+    true one of the same id. One full outer join over unique keys: each side is shuffled once.
     """
     now = as_of_lit(as_of)
-    batch = one_per_key(new, ["job_id"]).withColumn("__b", F.lit(True)).alias("b")
+    order = [F.col(ok).desc()] if ok else []
+    batch = top_per_key(new, ["job_id"], [*order, F.xxhash64(*new.columns)], 1)
+    batch = batch.withColumn("__b", F.lit(True)).alias("b")
     base = old.withColumn("__o", F.lit(True)).alias("o")
     joined = base.join(batch, "job_id", "full_outer")
     stored, incoming = F.col("__o").isNotNull(), F.col("__b").isNotNull()
+    touches = incoming & F.col(f"b.{ok}") if ok else incoming
     cols = []
     for c in S.SILVER.names:
-        if c == "job_id":
-            cols.append(F.col(c))
-        elif c == "last_seen_at":
-            cols.append(F.when(incoming, now).otherwise(F.col("o.last_seen_at")).alias(c))
+        kept = F.when(stored, F.col(f"o.{c}")).otherwise(F.col(f"b.{c}")) if c != "job_id" else F.col(c)
+        if c == "last_seen_at":
+            kept = F.when(touches, now).otherwise(kept)
         elif c == "status":
-            cols.append(F.when(incoming, F.lit(S.ACTIVE)).otherwise(F.col("o.status")).alias(c))
-        else:
-            cols.append(F.when(stored, F.col(f"o.{c}")).otherwise(F.col(f"b.{c}")).alias(c))
+            kept = F.when(touches, F.lit(S.ACTIVE)).otherwise(kept)
+        cols.append(kept.alias(c))
     return joined.select(*cols)
 
 
@@ -120,20 +124,19 @@ def mark_inactive(silver: DataFrame, seen: dict[str, DataFrame]) -> DataFrame:
     One equi-join for all sources keeps it a shuffle join at any size, where Spark's own NOT IN
     would need the right side broadcast.
     """
-    urls = None
-    for source, df in seen.items():
-        part = df.select(F.lit(source).alias("source"), F.col("job_url"))
-        urls = part if urls is None else urls.unionByName(part)
-    keys = urls.distinct()
-    guard = keys.groupBy("source").agg(F.bool_or(F.col("job_url").isNull()).alias("has_null"))
-    # at most one guard row per source name passed in, hence a map literal-sized scalar
-    null_in = guard.where("has_null").agg(F.collect_set("source").alias("s")).select("s").scalar()
-    any_in = guard.agg(F.collect_set("source").alias("s")).select("s").scalar()
-    hits = keys.where(F.col("job_url").isNotNull()).withColumn("__hit", F.lit(True))
+    urls = union_sources(*[df.select(F.lit(s).alias("source"), "job_url") for s, df in seen.items()])
+    # one scalar over the whole right side; its sets hold at most the source names passed in
+    known = urls.agg(
+        F.struct(
+            F.collect_set("source").alias("any"),
+            F.collect_set(F.when(F.col("job_url").isNull(), F.col("source"))).alias("null"),
+        )
+    ).scalar()
+    hits = urls.where(F.col("job_url").isNotNull()).distinct().withColumn("__hit", F.lit(True))
     src = F.col("source")
     missing = src.isin(*seen) & (
-        ~F.array_contains(any_in, src)
-        | (F.col("job_url").isNotNull() & F.col("__hit").isNull() & ~F.array_contains(null_in, src))
+        ~F.array_contains(known["any"], src)
+        | (F.col("job_url").isNotNull() & F.col("__hit").isNull() & ~F.array_contains(known["null"], src))
     )
     return (
         silver.join(hits, ["source", "job_url"], "left")

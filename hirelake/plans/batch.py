@@ -61,13 +61,13 @@ def extract_step(silver: DataFrame, jobs: DataFrame, extractor: contract.Extract
 
 
 def silver_step(silver: DataFrame, jobs: DataFrame, records: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """touch -> upsert valid records / quarantine the rest -> mark inactive -> expire.
+    """touch -> upsert valid records, quarantine the rest -> mark inactive -> expire.
 
-    ``records`` is read twice; hand in a written table when the extractor is expensive.
+    Valid and broken records go through one join, and ``records`` is read once.
     """
     out = state.touch_seen(silver, jobs, as_of)
-    fresh = state.with_silver_defaults(contract.silver_rows(records.where(contract.is_valid())), as_of)
-    out = state.quarantine(state.upsert_touch(out, fresh, as_of), records.where(~contract.is_valid()), as_of)
+    fresh = state.with_silver_defaults(contract.to_silver(records), as_of, keep=("ok",))
+    out = state.upsert_touch(out, fresh, as_of, ok="ok")
     out = state.mark_inactive(out, {name: jobs.where(F.col("source") == site) for site, name in SITES})
     return state.expire_stale(out, as_of)
 
@@ -117,7 +117,7 @@ def run_batch(
 
     now = store.read("silver", S.SILVER, v_silver)
     marts = {
-        "gold_skill_counts": gold.skill_counts(now),
+        "gold_skill_counts": gold.skill_counts(now, keyed=True),
         "gold_role_summary": gold.role_summary(now),
         "gold_skills_by_level": gold.skills_by_level(now),
     }

@@ -176,6 +176,11 @@ def q20_skill_counts(t: Testbed) -> DataFrame:
     return gold.skill_counts(t.silver())
 
 
+@query
+def q20_skill_counts_keyed(t: Testbed) -> DataFrame:
+    return gold.skill_counts(t.silver(), keyed=True)
+
+
 @query
 def q21_role_summary(t: Testbed) -> DataFrame:
     return gold.role_summary(t.silver())
@@ -443,13 +448,13 @@ def _points(t: Testbed) -> DataFrame:
 @query
 def q47_match_context(t: Testbed) -> DataFrame:
     q, ranked = _ranked(t)
-    return search.context(ranked, _points(t), q.df)
+    return search.context(ranked, _points(t), q)
 
 
 @query
 def q47_match_cards(t: Testbed) -> DataFrame:
-    _, ranked = _ranked(t)
-    return search.cards(ranked, _points(t))
+    q, ranked = _ranked(t)
+    return search.cards(ranked, _points(t), q)
 
 
 @query

@@ -321,6 +321,7 @@ QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY job_category, page_id, c
 
     out["q20_skill_counts"] = f"""WITH {SILVER}, {SKILLS}
 SELECT skill, source, count(DISTINCT job_id) AS total_mentions FROM skills WHERE skill <> '' GROUP BY skill, source"""
+    out["q20_skill_counts_keyed"] = out["q20_skill_counts"]
     out["q21_role_summary"] = f"""WITH {SILVER}
 SELECT ai_job_role AS job_role, source, count(*) AS total_jobs,
   round(avg(min_years_of_experience), 1) AS avg_years_required
