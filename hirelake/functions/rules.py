@@ -1,91 +1,140 @@
 """Rule extractor: free text -> the five fields of the extraction contract.
 
-One possible extractor; any ``Iterator[pandas.DataFrame]`` function can take its place
-(see ``operators.contract.extract_with``). Rules read the whole text.
+One possible extractor; any model function can take its place (``operators.contract.extract_with``).
+Rules read the whole text. One pass reduces a text to the words that occur in any phrase, with a dot
+for every run of other words; the rules are then substring tests on that short rest.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
+from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake import schemas as S
-from hirelake.functions.text import col
-
-# --- fixed values: keyword patterns, first match wins -------------------------
-# Each is matched as whole words, see ``whole_words``.
-
-ENGLISH_RULES = [
-    (S.ENGLISH_CERTIFICATE, r"ielts|toeic|toefl|(excellent|fluent|proficient)( in)? english"),
-    (
-        S.ENGLISH_COMMUNICATION,
-        r"english (communication|speaking|conversation)|communicat\w* [^.\n]*english|spoken english",
-    ),
-    (S.ENGLISH_READING, r"english"),
-]
+from hirelake.functions.text import col, tokens
+
+# --- fixed values: phrases, first rule that matches wins --------------------------
+# Whole words, any punctuation between them.
+
+CERTIFICATE_PHRASES = [
+    "ielts", "toeic", "toefl", "excellent english", "excellent in english", "fluent english", "fluent in english",
+    "proficient english", "proficient in english",
+]
+COMMUNICATION_PHRASES = ["english communication", "english speaking", "english conversation", "spoken english"]
+COMMUNICATION_SENTENCE = r"communicat[^.\n]*english"
+ENGLISH_PHRASE = "english"
 
 LEVEL_RULES = [
-    ("Intern", r"intern|internship"),
-    ("Fresher", r"fresher"),
-    ("Director", r"director|cto|head of"),
-    ("Manager", r"manager|team lead|leader"),
-    ("Senior", r"senior|sr"),
-    ("Middle", r"middle|mid-level"),
-    ("Junior", r"junior|jr"),
+    ("Intern", ["intern", "internship"]),
+    ("Fresher", ["fresher"]),
+    ("Director", ["director", "cto", "head of"]),
+    ("Manager", ["manager", "team lead", "leader"]),
+    ("Senior", ["senior", "sr"]),
+    ("Middle", ["middle", "mid level"]),
+    ("Junior", ["junior", "jr"]),
 ]
 
 ROLE_RULES = [
-    ("Data Engineer", r"data engineer\w*|etl|data platform|analytics engineer"),
-    ("AI/Machine Learning", r"machine learning|ai engineer|deep learning|mlops|nlp"),
-    ("Data Scientist", r"data scientist|data science"),
-    ("Data/Business Analyst", r"data analyst|business analyst|business intelligence|bi analyst"),
-    ("Fullstack", r"fullstack|full-stack|full stack"),
-    ("Frontend", r"frontend|front-end|front end"),
-    ("Backend", r"backend|back-end|back end"),
-    ("Mobile", r"mobile|android|ios|flutter"),
-    ("QA/QC/Tester", r"qa|qc|tester|test engineer"),
-    ("DevOps/Cloud", r"devops|sre|cloud engineer"),
-    ("System Admin", r"system admin\w*|sysadmin|network engineer"),
-    ("UI/UX Designer", r"ui/ux|ux|ui designer|product designer"),
-    ("Security", r"security|pentest\w*"),
-    ("Scrum Master", r"scrum master"),
-    ("Product Owner/Manager", r"product owner|product manager|project manager"),
+    ("Data Engineer", ["data engineer", "data engineers", "data engineering", "etl", "data platform", "analytics engineer"]),
+    ("AI/Machine Learning", ["machine learning", "ai engineer", "deep learning", "mlops", "nlp"]),
+    ("Data Scientist", ["data scientist", "data science"]),
+    ("Data/Business Analyst", ["data analyst", "business analyst", "business intelligence", "bi analyst"]),
+    ("Fullstack", ["fullstack", "full stack"]),
+    ("Frontend", ["frontend", "front end"]),
+    ("Backend", ["backend", "back end"]),
+    ("Mobile", ["mobile", "android", "ios", "flutter"]),
+    ("QA/QC/Tester", ["qa", "qc", "tester", "test engineer"]),
+    ("DevOps/Cloud", ["devops", "sre", "cloud engineer"]),
+    ("System Admin", ["system admin", "system administrator", "sysadmin", "network engineer"]),
+    ("UI/UX Designer", ["ui ux", "ux", "ui designer", "product designer"]),
+    ("Security", ["security", "pentest", "pentester", "pentesting"]),
+    ("Scrum Master", ["scrum master"]),
+    ("Product Owner/Manager", ["product owner", "product manager", "project manager"]),
 ]
 
-YEARS = r"(\d{1,2})\s*(?:\+|(?:-|–|to)\s*\d{1,2}\s*\+?)?\s*(?:years?|yrs?)"
-
+# lower bound of '3 years', '3+ yrs', '3-5 years', '3 to 5 years'
+YEARS = (
+    r"(?:^|[^\p{L}\p{N}])(\d{1,2})\s*(?:\+|(?:-|–|to)\s*\d{1,2}\s*\+?)?\s*(?:years?|yrs?)(?:$|[^\p{L}\p{N}])"
+)
 SKILL_TOKEN = r"\.?[\p{L}\p{N}+#]+(?:\.[\p{L}\p{N}+#]+)*"
 
 
-def whole_words(pattern: str) -> str:
-    """The pattern between non-letters, spelled without look-around."""
-    return rf"(?:^|[^\p{{L}}\p{{N}}])(?:{pattern})(?:$|[^\p{{L}}\p{{N}}])"
+KEYWORDS = sorted(
+    {
+        word
+        for phrases in [
+            CERTIFICATE_PHRASES,
+            COMMUNICATION_PHRASES,
+            [ENGLISH_PHRASE],
+            *[p for _, p in LEVEL_RULES + ROLE_RULES],
+        ]
+        for phrase in phrases
+        for word in phrase.split()
+    }
+)
 
 
-def _first_rule(text: Column, rules: list[tuple[str, str]], default: Column) -> Column:
-    return F.coalesce(*[F.when(text.rlike(whole_words(p)), F.lit(v)) for v, p in rules], default)
+def prepared(df: DataFrame, title: Column | str, body: Column | str) -> DataFrame:
+    """Add the three forms the rules read, as columns, so that each is computed once per row.
 
+    ``__title`` and ``__body``: ' keywords and . dots between single blanks '; ``__low``: both texts
+    in lower case. Spark keeps a projection of its own for columns that are costly and used
+    repeatedly.
+    """
+
+    def reduced(c: Column | str) -> Column:
+        kept = F.transform(tokens(c), lambda w: F.when(w.isin(*KEYWORDS), w).otherwise(F.lit(".")))
+        line = F.concat(F.lit(" "), F.coalesce(F.array_join(kept, " "), F.lit("")), F.lit(" "))
+        return F.regexp_replace(line, r"( \.)+", " .")
+
+    low = F.lower(F.concat_ws("\n", col(title), col(body)))
+    return df.withColumns({"__title": reduced(title), "__body": reduced(body), "__low": low})
 
-def min_years(text: Column | str) -> Column:
-    """Lower bound of the first 'N years' / 'N-M years'; months or nothing give 0."""
-    return F.coalesce(F.regexp_extract(F.lower(col(text)), whole_words(YEARS), 1).try_cast("int"), F.lit(0))
 
+def needle(phrase: str) -> str:
+    """The substring of a prepared text that stands for a phrase."""
+    return f" {phrase} "
 
-def english_level(text: Column | str) -> Column:
-    return _first_rule(F.lower(col(text)), ENGLISH_RULES, F.lit(S.ENGLISH_NONE))
 
+def _any(phrases: list[str], *texts: str) -> Column:
+    return reduce(or_, [F.col(t).contains(needle(p)) for p in phrases for t in texts])
 
-def job_role(title: Column | str, text: Column | str) -> Column:
+
+def _first_rule(rules: list[tuple[str, list[str]]]) -> Column:
     """Title first, then the description."""
-    rest = _first_rule(F.lower(col(text)), ROLE_RULES, F.lit(S.UNKNOWN))
-    return _first_rule(F.lower(col(title)), ROLE_RULES, rest)
+    whens = [F.when(_any(phrases, t), F.lit(v)) for t in ("__title", "__body") for v, phrases in rules]
+    return F.coalesce(*whens, F.lit(S.UNKNOWN))
+
+
+def min_years() -> Column:
+    """Lower bound of the first 'N years' / 'N-M years'; months or nothing give 0."""
+    low = F.col("__low")
+    found = F.regexp_extract(low, YEARS, 1).try_cast("int")
+    return F.when(low.contains("year") | low.contains("yr"), F.coalesce(found, F.lit(0))).otherwise(F.lit(0))
+
+
+def english_level() -> Column:
+    both = ("__title", "__body")
+    english = _any([ENGLISH_PHRASE], *both)
+    sentence = english & F.col("__low").rlike(COMMUNICATION_SENTENCE)
+    return (
+        F.when(_any(CERTIFICATE_PHRASES, *both), S.ENGLISH_CERTIFICATE)
+        .when(_any(COMMUNICATION_PHRASES, *both) | sentence, S.ENGLISH_COMMUNICATION)
+        .when(english, S.ENGLISH_READING)
+        .otherwise(S.ENGLISH_NONE)
+    )
+
+
+def job_role() -> Column:
+    return _first_rule(ROLE_RULES)
 
 
-def stated_level(title: Column | str, text: Column | str) -> Column:
-    rest = _first_rule(F.lower(col(text)), LEVEL_RULES, F.lit(S.UNKNOWN))
-    return _first_rule(F.lower(col(title)), LEVEL_RULES, rest)
+def stated_level() -> Column:
+    return _first_rule(LEVEL_RULES)
 
 
 def level_from_years(level: Column | str, years: Column | str) -> Column:
@@ -101,27 +150,25 @@ def level_from_years(level: Column | str, years: Column | str) -> Column:
     return F.when(level == S.UNKNOWN, guess).otherwise(level)
 
 
-def known_skills(text: Column | str, limit: int = S.MAX_SKILLS) -> Column:
+def known_skills(limit: int = S.MAX_SKILLS) -> Column:
     """Canonical names of the built-in skills, by first appearance, at most ``limit``.
 
     The vocabulary is a literal, so no join and no shuffle; table-sized dictionaries go through
     ``operators.contract.skills_from_dictionary``.
     """
     canonical = {a: name for name, aliases in S.SKILL_ALIASES.items() for a in aliases}
-    words = F.regexp_extract_all(F.lower(col(text)), F.lit(f"({SKILL_TOKEN})"), 1)
-    hits = F.filter(F.array_distinct(words), lambda w: w.isin(*canonical))
+    found = F.regexp_extract_all("__low", F.lit(f"({SKILL_TOKEN})"), 1)
+    hits = F.array_distinct(F.filter(found, lambda w: w.isin(*canonical)))
     names = F.create_map(*[F.lit(x) for x in chain.from_iterable(canonical.items())])
     return F.slice(F.array_distinct(F.transform(hits, lambda a: names[a])), 1, limit)
 
 
-def extract_record(title: Column | str, text: Column | str) -> Column:
-    """The whole extraction record as one struct."""
-    full = F.concat_ws("\n", col(title), col(text))
-    years = min_years(full)
+def record() -> Column:
+    """The whole extraction record of a prepared row as one struct."""
     return F.struct(
-        years.alias("min_years_of_experience"),
-        known_skills(full).alias("core_tech_stack"),
-        english_level(full).alias("english_requirement"),
-        job_role(title, text).alias("job_role"),
-        level_from_years(stated_level(title, text), years).alias("job_level"),
+        min_years().alias("min_years_of_experience"),
+        known_skills().alias("core_tech_stack"),
+        english_level().alias("english_requirement"),
+        job_role().alias("job_role"),
+        level_from_years(stated_level(), min_years()).alias("job_level"),
     )

@@ -70,6 +70,11 @@ def thousands(c: Column | str) -> Column:
     return F.format_number(col(c), 0)
 
 
+def whole_seconds(c: Column | str) -> Column:
+    """Crawl times are kept to the second."""
+    return F.date_format(col(c), "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz")
+
+
 def tokens(c: Column | str) -> Column:
     """Lower-case letter/digit runs of the whole text, in order, repeats kept."""
     return F.regexp_extract_all(F.lower(col(c)), F.lit(f"({TOKEN})"), 1)

@@ -43,8 +43,9 @@ def extract_with(jobs: DataFrame, extractor: Extractor, retries: int = 2) -> Dat
 
 
 def extract_rules(jobs: DataFrame) -> DataFrame:
-    """The built-in extractor: adds a ``record`` struct, one narrow JVM-side projection."""
-    return jobs.withColumn("record", rules.extract_record("job_title", "job_description"))
+    """The built-in extractor: adds a ``record`` struct, JVM-side, no shuffle."""
+    ready = rules.prepared(jobs, "job_title", "job_description")
+    return ready.select(*jobs.columns, rules.record().alias("record"))
 
 
 def is_valid(r: str = "record") -> Column:
@@ -110,33 +111,35 @@ def skills_from_dictionary(
 
     ``dictionary`` is (alias, canonical). Tokens are reduced to one row per (document, token) inside
     the row before anything is shuffled; Spark broadcasts the dictionary only below its size
-    threshold and otherwise joins by token. Documents without a hit keep an empty list.
+    threshold and otherwise joins by token. Documents without a hit keep an empty list: each
+    document adds one blank row, which costs less than a join back.
     """
     words = text.tokens(body)
-    hits = (
-        docs.select(key, F.posexplode(F.array_distinct(words)).alias("pos", "alias"))
-        .join(dictionary.select("alias", "canonical").distinct(), "alias")
-        .groupBy(key, "canonical")
-        .agg(F.min("pos").alias("pos"))
+    hits = docs.select(key, F.posexplode(F.array_distinct(words)).alias("pos", "alias")).join(
+        dictionary.select("alias", "canonical").distinct(), "alias"
     )
-    firsts = top_per_key(hits, [key], [F.col("pos"), F.col("canonical")], limit)
-    lists = firsts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "canonical"))).alias("l"))
+    blank = docs.select(key, F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("canonical"))
+    first = hits.select(key, "pos", "canonical").unionByName(blank).groupBy(key, "canonical").agg(F.min("pos").alias("pos"))
+    order = [F.col("pos").asc_nulls_last(), F.col("canonical").asc_nulls_last()]
+    found = F.when(F.col("canonical").isNotNull(), F.struct("pos", "canonical"))
     return (
-        docs.select(key)
-        .join(lists, key, "left")
-        .select(key, F.coalesce(F.col("l.canonical"), F.array().cast("array<string>")).alias("skills"))
+        top_per_key(first, [key], order, limit)
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_list(found)).alias("l"))
+        .select(key, F.col("l.canonical").alias("skills"))
     )
 
 
 def candidate_profiles(candidates: DataFrame, key: str, body: str) -> DataFrame:
-    """Years, one-line query and skills of many candidate texts at once."""
-    full = F.col(body)
-    skills = rules.known_skills(full)
-    query = F.concat_ws(" ", rules.job_role(F.lit(""), full), F.array_join(skills, " "))
-    return candidates.select(
-        key,
-        rules.min_years(full).alias("yoe"),
-        F.when(F.size(skills) > 0, query).otherwise(full).alias("query"),
-        skills.alias("skills"),
-        full.alias("cv_text"),
+    """Years, one-line query and skills of many candidate texts at once.
+
+    The query is the role and the skills; a text without known skills is its own query.
+    """
+    ready = rules.prepared(candidates.select(key, F.col(body).alias("cv_text")), F.lit(""), "cv_text")
+    found = ready.select(
+        key, "cv_text", rules.min_years().alias("yoe"), rules.job_role().alias("role"), rules.known_skills().alias("skills")
+    )
+    query = F.concat_ws(" ", "role", F.array_join("skills", " "))
+    return found.select(
+        key, "yoe", F.when(F.size("skills") > 0, query).otherwise(F.col("cv_text")).alias("query"), "skills", "cv_text"
     )

@@ -23,10 +23,14 @@ def as_of_lit(as_of: dt.datetime | Column) -> Column:
 # --- bronze -------------------------------------------------------------------
 
 
+def absent_rows(old: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The rows of ``new`` whose key is not stored yet; within the batch the first in ``order`` wins."""
+    return first_seen(new, [key], order).join(old.select(key), key, "left_anti").select(old.columns)
+
+
 def insert_absent(old: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Add the rows whose key is not stored yet; within the batch the first in ``order`` wins."""
-    fresh = first_seen(new, [key], order).join(old.select(key), key, "left_anti")
-    return old.unionByName(fresh.select(old.columns))
+    """Stored rows as they are, plus the absent ones."""
+    return old.unionByName(absent_rows(old, new, key, order))
 
 
 def needs_description(c: Column | str) -> Column:
@@ -116,15 +120,18 @@ def touch_seen(silver: DataFrame, seen: DataFrame, as_of: dt.datetime | Column,
     )
 
 
-def mark_inactive(silver: DataFrame, seen: dict[str, DataFrame]) -> DataFrame:
-    """Rows whose URL is missing from their own source's snapshot become Inactive.
+def snapshot_urls(seen: dict[str, DataFrame]) -> DataFrame:
+    """(source, job_url) of several snapshots, each under its silver source name."""
+    return union_sources(*[df.select(F.lit(s).alias("source"), "job_url") for s, df in seen.items()])
+
+
+def mark_inactive(silver: DataFrame, urls: DataFrame, sources: list[str]) -> DataFrame:
+    """Rows of ``sources`` whose URL is missing from their own source's snapshot become Inactive.
 
-    ``seen`` maps a silver source name to the snapshot holding ``job_url``. SQL ``NOT IN`` rules:
-    a NULL on the right marks nothing, a NULL URL on the left is marked only by an empty right side.
-    One equi-join for all sources keeps it a shuffle join at any size, where Spark's own NOT IN
-    would need the right side broadcast.
+    ``urls`` is (source, job_url). SQL ``NOT IN`` rules: a NULL on the right marks nothing, a NULL
+    URL on the left is marked only by an empty right side. One equi-join for all sources keeps it a
+    shuffle join at any size, where Spark's own NOT IN would need the right side broadcast.
     """
-    urls = union_sources(*[df.select(F.lit(s).alias("source"), "job_url") for s, df in seen.items()])
     # one scalar over the whole right side; its sets hold at most the source names passed in
     known = urls.agg(
         F.struct(
@@ -134,7 +141,7 @@ def mark_inactive(silver: DataFrame, seen: dict[str, DataFrame]) -> DataFrame:
     ).scalar()
     hits = urls.where(F.col("job_url").isNotNull()).distinct().withColumn("__hit", F.lit(True))
     src = F.col("source")
-    missing = src.isin(*seen) & (
+    missing = src.isin(*sources) & (
         ~F.array_contains(known["any"], src)
         | (F.col("job_url").isNotNull() & F.col("__hit").isNull() & ~F.array_contains(known["null"], src))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,12 +50,15 @@ RECORDS = T.StructType(
 )
 
 
-def extract_step(silver: DataFrame, jobs: DataFrame, extractor: contract.Extractor | None = None) -> DataFrame:
-    """Records of the jobs that have a description and no silver row yet."""
-    names = F.create_map(*[F.lit(x) for pair in SITES for x in pair])
-    todo = state.pending_jobs(jobs, silver, keep=("source",)).withColumn("source", names[F.col("source")])
-    # a job id seen on both sites is extracted once
-    todo = staging.top_per_key(todo, ["job_id"], [F.asc("source"), F.asc("job_title"), F.asc("job_description")], 1)
+def silver_name() -> Column:
+    """The silver spelling of a bronze source."""
+    return F.create_map(*[F.lit(x) for pair in SITES for x in pair])[F.col("source")]
+
+
+def extract_step(pending: DataFrame, extractor: contract.Extractor | None = None) -> DataFrame:
+    """One record per pending job; a job id seen on both sites is extracted once."""
+    order = [F.asc("source"), F.asc("job_title"), F.asc("job_description")]
+    todo = staging.top_per_key(pending.withColumn("source", silver_name()), ["job_id"], order, 1)
     records = contract.extract_with(todo, extractor) if extractor else contract.extract_rules(todo)
     return records.select(RECORDS.names)
 
@@ -63,25 +66,60 @@ def extract_step(silver: DataFrame, jobs: DataFrame, extractor: contract.Extract
 def silver_step(silver: DataFrame, jobs: DataFrame, records: DataFrame, as_of: dt.datetime) -> DataFrame:
     """touch -> upsert valid records, quarantine the rest -> mark inactive -> expire.
 
-    Valid and broken records go through one join, and ``records`` is read once.
+    ``jobs`` is read for ids, sources and URLs only. Valid and broken records go through one join, and ``records`` is read once.
     """
     out = state.touch_seen(silver, jobs, as_of)
     fresh = state.with_silver_defaults(contract.to_silver(records), as_of, keep=("ok",))
     out = state.upsert_touch(out, fresh, as_of, ok="ok")
-    out = state.mark_inactive(out, {name: jobs.where(F.col("source") == site) for site, name in SITES})
-    return state.expire_stale(out, as_of)
+    urls = jobs.select(silver_name().alias("source"), "job_url")
+    return state.expire_stale(state.mark_inactive(out, urls, [name for _, name in SITES]), as_of)
 
 
 @dataclass(frozen=True)
 class BatchResult:
-    """Version numbers written by a run; None where nothing was written."""
+    """Version numbers a run wrote."""
 
     bronze: int
+    descriptions: int
+    jobs: int
+    records: int
     silver: int
     gold: dict[str, int]
     index: int
 
 
+DESCRIPTIONS = T.StructType(
+    [
+        T.StructField("job_id", T.StringType()),
+        T.StructField("job_description", T.StringType()),
+        T.StructField("retry", T.BooleanType()),
+    ]
+)
+
+
+def new_descriptions(stored: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Fetched descriptions to add: those of jobs without a settled one.
+
+    ``retry`` marks texts that call for another fetch, so a later run reads two narrow columns to
+    know what is settled.
+    """
+    settled = stored.where(~F.col("retry")).select("job_id")
+    rows = fetched.select(
+        "job_id", "job_description", state.needs_description("job_description").alias("retry")
+    ).join(settled, "job_id", "left_anti")
+    return staging.top_per_key(rows, ["job_id"], [F.asc("retry"), F.asc("job_description")], 1)
+
+
+def with_descriptions(jobs: DataFrame, stored: DataFrame) -> DataFrame:
+    """Jobs with their settled description, or the newest fetch result if none is settled.
+
+    ``jobs`` should be few: only their descriptions are shuffled.
+    """
+    rows = stored.join(jobs.select("job_id").distinct(), "job_id", "left_semi")
+    best = staging.top_per_key(rows, ["job_id"], [F.asc("retry"), F.desc("v")], 1)
+    return state.update_column(jobs, best, "job_id", "job_description")
+
+
 def run_batch(
     spark: SparkSession,
     root: str,
@@ -94,24 +132,25 @@ def run_batch(
     """Write the next version of every table.
 
     ``new_cards`` are bronze-shaped rows plus the crawl ``order`` columns; ``descriptions`` is
-    (job_id, job_description). Each step reads back the table the step before wrote, so a lost
-    executor recomputes one step at most and lineage never grows across steps.
+    (job_id, job_description). Bronze cards and descriptions are append-only, so a run never
+    rewrites the texts and the staging window never carries them. Each step reads back the table the
+    step before wrote: a lost executor recomputes one step at most, and lineage never grows across
+    steps.
     """
     store = Snapshots(spark, root)
-    bronze = store.read("bronze", S.RAW)
-    added = state.insert_absent(bronze, new_cards, "job_id", order)
-    filled = state.update_column(
-        added,
-        descriptions.dropDuplicates(["job_id"]),
-        "job_id",
-        "job_description",
-        where=state.needs_description("job_description"),
-    )
-    v_bronze = store.write("bronze", filled)
+    cards = store.read_all("bronze", S.RAW).select(S.RAW.names)
+    v_bronze = store.write("bronze", state.absent_rows(cards, new_cards, "job_id", order))
+    texts = store.read_all("descriptions", DESCRIPTIONS)
+    v_texts = store.write("descriptions", new_descriptions(texts, descriptions))
 
-    jobs = staged(store.read("bronze", S.RAW, v_bronze))
+    v_jobs = store.write("int_all_jobs", staged(store.read_all("bronze", S.RAW).select(S.RAW.names)))
+    jobs = store.read("int_all_jobs", S.RAW, v_jobs)
     silver = store.read("silver", S.SILVER)
-    v_records = store.write("records", extract_step(silver, jobs, extractor))
+    unseen = jobs.join(silver.select("job_id"), "job_id", "left_anti")
+    pending = state.pending_jobs(
+        with_descriptions(unseen, store.read_all("descriptions", DESCRIPTIONS)), silver, keep=("source",)
+    )
+    v_records = store.write("records", extract_step(pending, extractor))
     records = store.read("records", RECORDS, v_records)
     v_silver = store.write("silver", silver_step(silver, jobs, records, as_of))
 
@@ -125,4 +164,4 @@ def run_batch(
 
     first = not store.versions("index")
     v_index = store.write("index", index.sync(store.read("index", INDEX), now, as_of, full=first))
-    return BatchResult(v_bronze, v_silver, v_gold, v_index)
+    return BatchResult(v_bronze, v_texts, v_jobs, v_records, v_silver, v_gold, v_index)

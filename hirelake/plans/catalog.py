@@ -112,6 +112,13 @@ def q07_profile_lines(t: Testbed) -> DataFrame:
     return t.answers().select("conv_id", "turn", yoe.alias("yoe"), one_line.alias("query"))
 
 
+@query
+def q08_crawl_times(t: Testbed) -> DataFrame:
+    return t.table("events").select(
+        "event_id", text.whole_seconds("ts").alias("crawl_timestamp"), F.to_date("ts").alias("crawl_day")
+    )
+
+
 # --- pages and bronze -----------------------------------------------------------------
 
 
@@ -225,12 +232,9 @@ def q30_touch_seen(t: Testbed) -> DataFrame:
 
 @query
 def q31_mark_inactive(t: Testbed) -> DataFrame:
-    raw = t.raw()
-    seen = {
-        silver: raw.where(F.col("source") == site)
-        for site, silver in ((S.SITE_A, S.SITE_A_SILVER), (S.SITE_B, S.SITE_B_SILVER))
-    }
-    return state.mark_inactive(t.silver(), seen)
+    site = F.when(F.col("source") == S.SITE_A, S.SITE_A_SILVER).otherwise(S.SITE_B_SILVER)
+    urls = t.raw().select(site.alias("source"), "job_url")
+    return state.mark_inactive(t.silver(), urls, [S.SITE_A_SILVER, S.SITE_B_SILVER])
 
 
 @query
@@ -238,7 +242,7 @@ def q31_mark_inactive_null_url(t: Testbed) -> DataFrame:
     """One site's snapshot holds NULL URLs (marks nothing); the other's is empty (marks all)."""
     raw = t.raw().withColumn("job_url", F.when(F.col("location") != S.UNKNOWN_LOCATION, F.col("job_url")))
     seen = {S.SITE_A_SILVER: raw.where(F.col("source") == S.SITE_A), S.SITE_B_SILVER: raw.where(F.lit(False))}
-    return state.mark_inactive(t.silver(), seen)
+    return state.mark_inactive(t.silver(), state.snapshot_urls(seen), list(seen))
 
 
 @query
@@ -561,4 +565,5 @@ def q60_index_peek(t: Testbed) -> DataFrame:
 def q61_batch_silver(t: Testbed) -> DataFrame:
     """The silver part of a batch run: touch, extract, upsert, quarantine, mark inactive, expire."""
     jobs, old = _staged(t), t.silver().where(F.col("processed_at") < _day(OLD_END))
-    return batch.silver_step(old, jobs, batch.extract_step(old, jobs), AS_OF)
+    records = batch.extract_step(state.pending_jobs(jobs, old, keep=("source",)))
+    return batch.silver_step(old, jobs, records, AS_OF)

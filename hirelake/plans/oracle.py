@@ -43,7 +43,7 @@ STAGED = f"""{RAW}, staged AS (
   SELECT {RAW_COLS} FROM raw
   QUALIFY row_number() OVER (PARTITION BY source, job_id ORDER BY crawl_timestamp DESC NULLS LAST, {RAW_TIES}) = 1)"""
 
-WS = r"[ \t\n\x0B\f\r]"
+NOT_WORD = r"[^\p{L}\p{N}]+"
 STRIP = "trim({x}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 TOKENS = r"regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}]+')"
 
@@ -123,9 +123,16 @@ def _points(level: str = "job_level") -> str:
     )
 
 
+def _words(x: str) -> str:
+    return f"regexp_replace(' ' || lower(coalesce({x}, '')) || ' ', {_q(NOT_WORD)}, ' ', 'g')"
+
+
+def _any(phrases, *texts: str) -> str:
+    return "(" + " OR ".join(f"contains({t}, {_q(rules.needle(p))})" for t in texts for p in phrases) + ")"
+
+
 def _rule_case(text: str, rule_list, default: str) -> str:
-    whens = " ".join(f"WHEN regexp_matches({text}, {_q(rules.whole_words(p))}) THEN {_q(v)}" for v, p in rule_list)
-    return f"CASE {whens} ELSE {default} END"
+    return "CASE " + " ".join(f"WHEN {_any(ps, text)} THEN {_q(v)}" for v, ps in rule_list) + f" ELSE {default} END"
 
 
 def _infer(level: str, years: str) -> str:
@@ -136,7 +143,10 @@ def _infer(level: str, years: str) -> str:
 def _rule_extract(src: str, title: str, body: str) -> str:
     """CTE text ``ex``: job_id and the record columns for a CTE holding job_id, title and body."""
     full = f"lower(concat_ws(chr(10), {title}, {body}))"
-    t, d = f"lower({title})", f"lower({body})"
+    english = f"""CASE WHEN {_any(rules.CERTIFICATE_PHRASES, 'tw', 'dw')} THEN {_q(S.ENGLISH_CERTIFICATE)}
+    WHEN {_any(rules.COMMUNICATION_PHRASES, 'tw', 'dw')} OR ({_any([rules.ENGLISH_PHRASE], 'tw', 'dw')}
+      AND regexp_matches(full_, {_q(rules.COMMUNICATION_SENTENCE)})) THEN {_q(S.ENGLISH_COMMUNICATION)}
+    WHEN {_any([rules.ENGLISH_PHRASE], 'tw', 'dw')} THEN {_q(S.ENGLISH_READING)} ELSE {_q(S.ENGLISH_NONE)} END"""
     aliases = ", ".join(
         f"({_q(a)}, {_q(name)})" for name, spellings in S.SKILL_ALIASES.items() for a in spellings
     )
@@ -146,13 +156,14 @@ words AS (SELECT job_id, unnest(w) AS alias, unnest(range(len(w))) AS pos FROM (
 found AS (SELECT job_id, canonical, min(pos) AS pos FROM words JOIN aliases USING (alias) GROUP BY job_id, canonical
   QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY min(pos)) <= 5),
 lists AS (SELECT job_id, list(canonical ORDER BY pos) AS skills FROM found GROUP BY job_id),
-ex0 AS (SELECT {src}.*,
-  coalesce(TRY_CAST(nullif(regexp_extract({full}, {_q(rules.whole_words(rules.YEARS))}, 1), '') AS INTEGER), 0) AS years,
+norm AS (SELECT {src}.*, skills, {full} AS full_,
+  {_words(title)} AS tw, {_words(body)} AS dw FROM {src} LEFT JOIN lists USING (job_id)),
+ex0 AS (SELECT *,
+  coalesce(TRY_CAST(nullif(regexp_extract(full_, {_q(rules.YEARS)}, 1), '') AS INTEGER), 0) AS years,
   '[' || coalesce(array_to_string(list_transform(skills, lambda x: '"' || x || '"'), ', '), '') || ']' AS stack,
-  {_rule_case(full, rules.ENGLISH_RULES, _q(S.ENGLISH_NONE))} AS english,
-  {_rule_case(t, rules.ROLE_RULES, _rule_case(d, rules.ROLE_RULES, _q(S.UNKNOWN)))} AS role,
-  {_rule_case(t, rules.LEVEL_RULES, _rule_case(d, rules.LEVEL_RULES, _q(S.UNKNOWN)))} AS stated
-  FROM {src} LEFT JOIN lists USING (job_id)),
+  {english} AS english,
+  {_rule_case('tw', rules.ROLE_RULES, _rule_case('dw', rules.ROLE_RULES, _q(S.UNKNOWN)))} AS role,
+  {_rule_case('tw', rules.LEVEL_RULES, _rule_case('dw', rules.LEVEL_RULES, _q(S.UNKNOWN)))} AS stated FROM norm),
 ex AS (SELECT *, {_infer('stated', 'years')} AS level FROM ex0)"""
 
 
@@ -291,6 +302,9 @@ SELECT a.conv_id, a.turn,
     WHERE ok.conv_id = a.conv_id AND ok.turn = a.turn AND starts_with(line, 'QUERY:')), a.text) AS query
 FROM answers a"""
 
+    out["q08_crawl_times"] = """SELECT event_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS crawl_timestamp,
+  CAST(ts AS DATE) AS crawl_day FROM events"""
+
     out["q10_extract_cards"] = f"""WITH {LINKS}
 SELECT page_id, card_idx, job_id, job_id AS job_url, job_title, 'Unknown company' AS company_name,
   'Unknown location' AS location FROM cards"""
@@ -427,7 +441,7 @@ FROM ranked JOIN docs ON docs.doc_id = ranked.id"""
     out["q47_candidate_profiles"] = f"""WITH cv AS (SELECT conv_id, turn, conv_id || '/' || turn AS job_id, '' AS title, text
   FROM conversations), {_rule_extract('cv', 'title', 'text')}
 SELECT conv_id, years AS yoe, CASE WHEN skills IS NOT NULL THEN role || ' ' || array_to_string(skills, ' ') ELSE text END AS query,
-  coalesce(array_to_string(skills, ', '), '') AS skills FROM ex LEFT JOIN lists USING (job_id)"""
+  coalesce(array_to_string(skills, ', '), '') AS skills FROM ex"""
     out["q48_skill_gap"] = f"""WITH {SILVER}, p AS (
   SELECT o_custkey AS qid, job_id,
     list_transform(list_filter(from_json(ai_core_tech_stack, '["VARCHAR"]'), lambda x: x IS NOT NULL AND x <> ''),

@@ -176,7 +176,7 @@ def cards_to_raw(found: DataFrame, source: str, keyword: Column, crawl_time: Col
     """Card rows in the bronze shape, page position kept for first-seen ordering."""
     extra = {
         "source": F.lit(source),
-        "crawl_timestamp": crawl_time.cast("timestamp_ntz"),
+        "crawl_timestamp": text.whole_seconds(crawl_time),
         "experience_level": F.lit(""),
         "job_category": keyword,
         "job_description": F.lit(""),

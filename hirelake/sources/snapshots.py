@@ -1,13 +1,15 @@
-"""State tables as whole snapshots: ``<root>/<table>/v=<n>``.
+"""State tables as version folders: ``<root>/<table>/v=<n>``.
 
-A version counts only once Spark's output committer has written ``_SUCCESS``, so a job that loses
-its driver half-way leaves the previous version current. Readers pin one version when they start.
+A version is either a whole snapshot (small state, rewritten every run) or a batch of new rows
+(append-only tables, never rewritten). It counts only once Spark's output committer has written
+``_SUCCESS``, so a job that loses its driver half-way leaves the previous version current. Readers
+pin their versions when they start.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 class Snapshots:
@@ -41,12 +43,18 @@ class Snapshots:
             version = done[-1]
         return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/v={version}")
 
-    def write(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Write the next version and return its number."""
+    def read_all(self, table: str, schema: StructType) -> DataFrame:
+        """All committed versions of an append-only table; a ``v`` column holds the version number."""
+        done = self.versions(table)
+        full = StructType([*schema.fields, StructField("v", IntegerType())])
+        if not done:
+            return self.spark.createDataFrame([], full)
+        base = f"{self.root}/{table}"
+        return self.spark.read.schema(full).option("basePath", base).parquet(*[f"{base}/v={v}" for v in done])
+
+    def write(self, table: str, df: DataFrame) -> int:
+        """Write the next version, a snapshot or a batch of new rows, and return its number."""
         done = self.versions(table)
         version = done[-1] + 1 if done else 1
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.root}/{table}/v={version}")
+        df.write.mode("overwrite").parquet(f"{self.root}/{table}/v={version}")
         return version
