@@ -13,9 +13,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from hirelake.functions.text import tokens
+
 # --- fixed values: sparse weight parameters ----------------------------------------
 K1, B, AVG_LEN = 1.2, 0.75, 256.0
 
@@ -37,9 +40,9 @@ def hashed_counts(dim: int = DENSE_DIM):
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             out = []
-            for tokens in batch:
+            for words in batch:
                 v = np.zeros(dim, dtype=np.float32)
-                for token, n in Counter(tokens).items():
+                for token, n in Counter(words).items():
                     v[_bucket(token, dim)] += n
                 out.append(v)
             yield pd.Series(out)
@@ -58,10 +61,10 @@ def term_weights(k1: float = K1, b: float = B, avg_len: float = AVG_LEN):
     def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             terms, weights = [], []
-            for tokens in batch:
-                counts = Counter(tokens)
+            for words in batch:
+                counts = Counter(words)
                 tf = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
-                norm = k1 * (1.0 - b + b * len(tokens) / avg_len)
+                norm = k1 * (1.0 - b + b * len(words) / avg_len)
                 terms.append(list(counts))
                 weights.append(tf * (k1 + 1.0) / (tf + norm))
             yield pd.DataFrame({"terms": terms, "weights": weights})
@@ -69,9 +72,27 @@ def term_weights(k1: float = K1, b: float = B, avg_len: float = AVG_LEN):
     return weigh
 
 
+def _list(tokens: Column) -> Column:
+    return F.coalesce(tokens, F.array().cast("array<string>"))
+
+
 def embed_text(tokens: Column, dim: int = DENSE_DIM) -> Column:
-    return hashed_counts(dim)(tokens)
+    return hashed_counts(dim)(_list(tokens))
 
 
 def sparse_text(tokens: Column) -> Column:
-    return term_weights()(tokens)
+    return term_weights()(_list(tokens))
+
+
+def with_vectors(df: DataFrame, body: str) -> DataFrame:
+    """Add ``dense``, ``terms`` and ``weights`` of a text column; no shuffle."""
+    both = df.withColumn("__w", tokens(body)).withColumns(
+        {"dense": embed_text(F.col("__w")), "__s": sparse_text(F.col("__w"))}
+    )
+    return both.select(*df.columns, "dense", "__s.terms", "__s.weights")
+
+
+def with_query_vectors(df: DataFrame, body: str) -> DataFrame:
+    """Add ``dense`` and the distinct ``terms`` of a query text."""
+    both = df.withColumn("__w", _list(tokens(body)))
+    return both.select(*df.columns, embed_text(F.col("__w")).alias("dense"), F.array_distinct("__w").alias("terms"))

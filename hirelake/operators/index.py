@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,18 +38,18 @@ def page_content() -> Column:
     )
 
 
-def documents(silver: DataFrame) -> DataFrame:
-    """point_id, page_content and the payload struct of every row."""
+def documents(silver: DataFrame, *keep: str) -> DataFrame:
+    """point_id, page_content and the payload struct of every row, plus ``keep`` columns."""
     meta = F.struct(
         "job_id", "job_title", "job_url", F.col("min_years_of_experience").alias("yoe"), F.col("source")
     )
     return silver.select(
-        text.point_id("job_id").alias("point_id"), page_content().alias("page_content"), meta.alias("metadata")
+        text.point_id("job_id").alias("point_id"), page_content().alias("page_content"), meta.alias("metadata"), *keep
     )
 
 
 def to_index(silver: DataFrame, as_of: dt.datetime | Column, full: bool) -> DataFrame:
-    """Rows to load: every Active row on a full load, else the Active rows processed today."""
+    """Documents to load: of every Active row on a full load, else of the Active rows processed today."""
     rows = silver.where(F.col("status") == S.ACTIVE)
     if not full:
         today = as_of_date(as_of)
@@ -76,9 +77,20 @@ def index_upsert(index: DataFrame, batch: DataFrame) -> DataFrame:
     return index.join(batch.select("point_id"), "point_id", "left_anti").unionByName(batch)
 
 
-def sync(index: DataFrame, silver: DataFrame, as_of: dt.datetime | Column, full: bool) -> DataFrame:
-    """One sync run: a full load replaces everything, else delete what vanished and upsert today's rows."""
+def sync(
+    index: DataFrame,
+    silver: DataFrame,
+    as_of: dt.datetime | Column,
+    full: bool,
+    embed: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """One sync run: a full load replaces everything, else delete what vanished and upsert today's rows.
+
+    ``embed`` adds the vector columns; it only ever sees the batch.
+    """
     batch = to_index(silver, as_of, full)
+    if embed is not None:
+        batch = embed(batch)
     if full:
-        return index_upsert(index.limit(0), batch)
+        return one_per_key(batch, ["point_id"])
     return index_upsert(index_delete(index, ids_to_delete(silver, as_of)), batch)

@@ -62,11 +62,12 @@ def measured(df: DataFrame) -> Queries:
     """Count a query frame and add up its payload, in one job."""
     size = F.lit(16)
     if "dense" in df.columns:
-        size = size + 8 * F.size("dense")
+        size = size + 8 * F.coalesce(F.array_size("dense"), F.lit(0))
     if "terms" in df.columns:
-        size = size + F.aggregate("terms", F.lit(0), lambda a, t: a + F.octet_length(t) + F.lit(48))
+        terms = F.aggregate("terms", F.lit(0), lambda a, t: a + F.octet_length(t) + F.lit(48))
+        size = size + F.coalesce(terms, F.lit(0))
     if "text" in df.columns:
-        size = size + F.octet_length("text")
+        size = size + F.coalesce(F.octet_length("text"), F.lit(0))
     n, b = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
     return Queries(df, n, b)
 
@@ -268,33 +269,35 @@ def rerank(
     n: int = 10,
     scorer=token_overlap,
     dedupe: list[str] | None = None,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """Score the fused pairs again on their texts and keep ``n`` per query: adds ``rerank``, ``rank``.
+    """Score the fused pairs again on their texts and keep ``n`` per query: (qid, id, rerank, rank).
 
-    ``scorer`` is any column function of (query tokens, document tokens); a model goes in as an
-    Arrow UDF. ``dedupe`` names corpus columns that make two hits the same recommendation; the best
-    one stays. The pair list has at most ``depth`` rows per query, so with a checked query count it
-    is broadcast and the corpus texts are not shuffled.
+    ``corpus`` has id and text, ``queries.df`` qid and text. ``scorer`` is any column function of
+    (query tokens, document tokens); a model goes in as an Arrow UDF. ``dedupe`` names corpus columns
+    that make two hits the same recommendation; the best one stays. ``carry`` columns come along, so
+    the corpus is read once for everything a result needs. The pair list has at most ``depth`` rows
+    per query: with a checked query count it is broadcast and the corpus texts stay in place.
     """
-    pairs = queries.hint(fused.select("qid", "id"), depth)
-    keep = dedupe or []
-    docs = corpus.select("id", "text", *keep).join(pairs, "id")
+    same, extra = dedupe or [], [c for c in carry or []]
+    keep = list(dict.fromkeys([*same, *extra]))
+    docs = corpus.select("id", "text", *keep).join(queries.hint(fused.select("qid", "id"), depth), "id")
     texts = queries.df.select("qid", F.col("text").alias("__q"))
     both = docs.join(queries.hint(texts), "qid")
     score = F.round(scorer(text.tokens("__q"), text.tokens("text")), DIGITS)
     scored = both.select("qid", "id", *keep, score.alias("rerank"))
     order = [F.desc("rerank"), F.asc("id")]
-    if keep:
-        scored = top_per_key(scored, ["qid", *keep], order, 1)
-    return top_per_key(scored, ["qid"], order, n, rank="rank").select("qid", "id", "rerank", "rank")
+    if same:
+        scored = top_per_key(scored, ["qid", *same], order, 1)
+    return top_per_key(scored, ["qid"], order, n, rank="rank").select("qid", "id", "rerank", "rank", *extra)
 
 
-def context(ranked: DataFrame, docs: DataFrame, queries: Queries, n: int = 10) -> DataFrame:
+def context(ranked: DataFrame, queries: Queries) -> DataFrame:
     """One row per query: number of matches and 'Job i: ...' blocks in rank order ('' when none).
 
-    At most ``n`` rows, the rerank depth, are collected per query.
+    ``ranked`` carries page_content. A query has as many rows as the rerank kept.
     """
-    rows = docs.select("id", "page_content").join(queries.hint(ranked, n), "id").groupBy("qid").agg(
+    rows = ranked.groupBy("qid").agg(
         F.count("*").alias("n_matches"), F.array_sort(F.collect_list(F.struct("rank", "page_content"))).alias("l")
     )
     line = F.transform(
@@ -311,21 +314,18 @@ def context(ranked: DataFrame, docs: DataFrame, queries: Queries, n: int = 10) -
     )
 
 
-def cards(ranked: DataFrame, docs: DataFrame, queries: Queries, n: int = 10) -> DataFrame:
-    """What a result list shows: title, URL and source with defaults, text without its header."""
-    hit = docs.select("id", "page_content", "metadata").join(
-        queries.hint(ranked.select("qid", "id", "rank"), n), "id"
-    )
-    title = F.coalesce("metadata.job_title", F.lit("View Job Details"))
-    source = F.coalesce("metadata.source", F.lit("Unknown"))
-    head = header("metadata.source", "metadata.job_title")
-    return hit.select(
+def cards(ranked: DataFrame) -> DataFrame:
+    """What a result list shows: title, URL and source with defaults, text without its header.
+
+    ``ranked`` carries page_content and metadata.
+    """
+    return ranked.select(
         "qid",
         "rank",
-        title.alias("title"),
+        F.coalesce("metadata.job_title", F.lit("View Job Details")).alias("title"),
         F.coalesce("metadata.job_url", F.lit("#")).alias("url"),
-        source.alias("source"),
-        text.remove_text("page_content", head).alias("caption"),
+        F.coalesce("metadata.source", F.lit("Unknown")).alias("source"),
+        text.remove_text("page_content", header("metadata.source", "metadata.job_title")).alias("caption"),
     )
 
 

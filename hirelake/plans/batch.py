@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelake import schemas as S
+from hirelake.functions import vectors
 from hirelake.operators import contract, gold, index, staging, state
 from hirelake.sources.snapshots import Snapshots
 
@@ -31,6 +33,9 @@ INDEX = T.StructType(
                 ]
             ),
         ),
+        T.StructField("dense", T.ArrayType(T.FloatType())),
+        T.StructField("terms", T.ArrayType(T.StringType())),
+        T.StructField("weights", T.ArrayType(T.DoubleType())),
     ]
 )
 
@@ -63,15 +68,18 @@ def extract_step(pending: DataFrame, extractor: contract.Extractor | None = None
     return records.select(RECORDS.names)
 
 
-def silver_step(silver: DataFrame, jobs: DataFrame, records: DataFrame, as_of: dt.datetime) -> DataFrame:
+def silver_step(
+    silver: DataFrame, jobs: DataFrame, records: DataFrame, as_of: dt.datetime, crawl: DataFrame | None = None
+) -> DataFrame:
     """touch -> upsert valid records, quarantine the rest -> mark inactive -> expire.
 
-    ``jobs`` is read for ids, sources and URLs only. Valid and broken records go through one join, and ``records`` is read once.
+    ``jobs`` is read for ids, sources and URLs only. Valid and broken records go through one join, and ``records`` is read once. Postings vanish when
+    ``crawl``, a complete crawl, misses them; without one, when ``jobs`` does.
     """
     out = state.touch_seen(silver, jobs, as_of)
     fresh = state.with_silver_defaults(contract.to_silver(records), as_of, keep=("ok",))
     out = state.upsert_touch(out, fresh, as_of, ok="ok")
-    urls = jobs.select(silver_name().alias("source"), "job_url")
+    urls = (jobs if crawl is None else crawl).select(silver_name().alias("source"), "job_url")
     return state.expire_stale(state.mark_inactive(out, urls, [name for _, name in SITES]), as_of)
 
 
@@ -97,6 +105,16 @@ DESCRIPTIONS = T.StructType(
 )
 
 
+def jobs_to_fetch(bronze: DataFrame, stored: DataFrame) -> DataFrame:
+    """What an enricher has to fetch: bronze jobs without a settled description."""
+    settled = stored.where(~F.col("retry")).select("job_id")
+    return bronze.select("job_id", "job_url", "source").join(settled, "job_id", "left_anti")
+
+
+def embed_documents(docs: DataFrame) -> DataFrame:
+    return vectors.with_vectors(docs, "page_content")
+
+
 def new_descriptions(stored: DataFrame, fetched: DataFrame) -> DataFrame:
     """Fetched descriptions to add: those of jobs without a settled one.
 
@@ -120,6 +138,20 @@ def with_descriptions(jobs: DataFrame, stored: DataFrame) -> DataFrame:
     return state.update_column(jobs, best, "job_id", "job_description")
 
 
+def report(spark: SparkSession, root: str, result: BatchResult) -> DataFrame:
+    """(what, rows): extraction outcome and silver status changes of a run."""
+    store = Snapshots(spark, root)
+    counts = contract.contract_counts(store.read("records", RECORDS, result.records))
+    outcome = counts.select(
+        F.inline(F.array(*[F.struct(F.lit(f"extracted: {c}").alias("what"), F.col(c).alias("rows")) for c in counts.columns]))
+    )
+    now = store.read("silver", S.SILVER, result.silver)
+    before = store.read("silver", S.SILVER, result.silver - 1) if result.silver > 1 else now.limit(0)
+    moves = state.status_changes(before, now)
+    moved = moves.select(F.concat_ws(" -> ", "old_status", "new_status").alias("what"), "rows")
+    return outcome.unionByName(moved)
+
+
 def run_batch(
     spark: SparkSession,
     root: str,
@@ -128,11 +160,14 @@ def run_batch(
     as_of: dt.datetime,
     order: list[str],
     extractor: contract.Extractor | None = None,
+    crawl_is_complete: bool = False,
+    embed: Callable[[DataFrame], DataFrame] = embed_documents,
 ) -> BatchResult:
     """Write the next version of every table.
 
     ``new_cards`` are bronze-shaped rows plus the crawl ``order`` columns; ``descriptions`` is
-    (job_id, job_description). Bronze cards and descriptions are append-only, so a run never
+    (job_id, job_description). With ``crawl_is_complete`` a posting the cards miss becomes Inactive.
+    Bronze cards and descriptions are append-only, so a run never
     rewrites the texts and the staging window never carries them. Each step reads back the table the
     step before wrote: a lost executor recomputes one step at most, and lineage never grows across
     steps.
@@ -152,7 +187,7 @@ def run_batch(
     )
     v_records = store.write("records", extract_step(pending, extractor))
     records = store.read("records", RECORDS, v_records)
-    v_silver = store.write("silver", silver_step(silver, jobs, records, as_of))
+    v_silver = store.write("silver", silver_step(silver, jobs, records, as_of, new_cards if crawl_is_complete else None))
 
     now = store.read("silver", S.SILVER, v_silver)
     marts = {
@@ -163,5 +198,5 @@ def run_batch(
     v_gold = {name: store.write(name, df) for name, df in marts.items()}
 
     first = not store.versions("index")
-    v_index = store.write("index", index.sync(store.read("index", INDEX), now, as_of, full=first))
+    v_index = store.write("index", index.sync(store.read("index", INDEX), now, as_of, first, embed))
     return BatchResult(v_bronze, v_texts, v_jobs, v_records, v_silver, v_gold, v_index)

@@ -321,7 +321,7 @@ def q35_pending_jobs(t: Testbed) -> DataFrame:
 
 @query
 def q36_rule_extract(t: Testbed) -> DataFrame:
-    rows = contract.extract_rules(t.doc_silver().select("job_id", "job_title", F.col("text").alias("job_description")))
+    rows = contract.extract_rules(t.doc_silver(split=True).select("job_id", "job_title", F.col("text").alias("job_description")))
     return rows.select(
         "job_id",
         "record.min_years_of_experience",
@@ -347,7 +347,7 @@ def q36_infer_level(t: Testbed) -> DataFrame:
 def q37_skill_dictionary(t: Testbed) -> DataFrame:
     words = t.table("benchmark").select(F.explode(F.array_distinct(text.tokens("text"))).alias("alias"))
     words = words.where(F.length("alias") >= 6).select("alias", F.upper("alias").alias("canonical"))
-    found = contract.skills_from_dictionary(t.doc_silver(), words, "doc_id", "text")
+    found = contract.skills_from_dictionary(t.doc_silver(split=True), words, "doc_id", "text")
     return found.select("doc_id", F.array_join("skills", ", ").alias("skills"), F.size("skills").alias("n_skills"))
 
 
@@ -394,49 +394,50 @@ def q43_dense_top30(t: Testbed) -> DataFrame:
     return hits.select("qid", "id", "score", "rank")
 
 
-def _corpus(t: Testbed) -> DataFrame:
-    docs = t.doc_silver().select(
+def _corpus(t: Testbed, split: bool = False) -> DataFrame:
+    """Documents as postings: payload, whole text and index document."""
+    silver = t.doc_silver(split)
+    points = index.documents(silver, "text", "doc_id")
+    return points.select(
         F.col("doc_id").alias("id"),
         "text",
-        F.col("job_title").alias("title"),
-        "source",
-        F.col("min_years_of_experience").alias("yoe"),
+        F.col("metadata.job_title").alias("title"),
+        F.col("metadata.source").alias("source"),
+        F.col("metadata.yoe").alias("yoe"),
+        "page_content",
+        "metadata",
     )
-    return docs
 
 
-def _indexed(docs: DataFrame) -> DataFrame:
-    words = docs.withColumn("w", text.tokens("text"))
-    return words.select("id", "yoe", vectors.embed_text(F.col("w")).alias("dense"), vectors.sparse_text(F.col("w")).alias("s")).select(
-        "id", "yoe", "dense", "s.terms", "s.weights"
-    )
+def _indexed(t: Testbed) -> DataFrame:
+    return vectors.with_vectors(_corpus(t, split=True).select("id", "yoe", "text"), "text")
 
 
 def _candidates(t: Testbed) -> search.Queries:
-    words = t.candidates().withColumn("w", text.tokens("text"))
-    return search.measured(
-        words.select("qid", "yoe", "text", vectors.embed_text(F.col("w")).alias("dense"), F.array_distinct("w").alias("terms"))
-    )
+    return search.measured(vectors.with_query_vectors(t.candidates(), "text"))
 
 
 @query
 def q44_sparse_top30(t: Testbed) -> DataFrame:
-    hits = search.top_k(_candidates(t), _indexed(_corpus(t)), ("sparse",), 30)
+    hits = search.top_k(_candidates(t), _indexed(t), ("sparse",), 30)
     return hits.select("qid", "id", "score", "rank")
 
 
-def _fused(t: Testbed, q: search.Queries, docs: DataFrame) -> DataFrame:
-    return search.fuse(search.top_k(q, _indexed(docs), k=30), k=30)
+def _fused(t: Testbed, q: search.Queries) -> DataFrame:
+    return search.fuse(search.top_k(q, _indexed(t), k=30), k=30)
 
 
 @query
 def q45_rrf(t: Testbed) -> DataFrame:
-    return _fused(t, _candidates(t), _corpus(t))
+    return _fused(t, _candidates(t))
 
 
-def _ranked(t: Testbed) -> tuple[search.Queries, DataFrame]:
-    q, docs = _candidates(t), _corpus(t)
-    return q, search.rerank(_fused(t, q, docs), q, docs, depth=30, n=10, dedupe=["title", "source"])
+def _ranked(t: Testbed, *carry: str) -> tuple[search.Queries, DataFrame]:
+    q = _candidates(t)
+    ranked = search.rerank(
+        _fused(t, q), q, _corpus(t), depth=30, n=10, dedupe=["title", "source"], carry=list(carry)
+    )
+    return q, ranked
 
 
 @query
@@ -444,21 +445,15 @@ def q46_rerank_top10(t: Testbed) -> DataFrame:
     return _ranked(t)[1]
 
 
-def _points(t: Testbed) -> DataFrame:
-    silver = t.doc_silver()
-    return index.documents(silver).select(F.col("metadata.job_id").cast("bigint").alias("id"), "page_content", "metadata")
-
-
 @query
 def q47_match_context(t: Testbed) -> DataFrame:
-    q, ranked = _ranked(t)
-    return search.context(ranked, _points(t), q)
+    q, ranked = _ranked(t, "page_content")
+    return search.context(ranked, q)
 
 
 @query
 def q47_match_cards(t: Testbed) -> DataFrame:
-    q, ranked = _ranked(t)
-    return search.cards(ranked, _points(t), q)
+    return search.cards(_ranked(t, "page_content", "metadata")[1])
 
 
 @query

@@ -134,8 +134,8 @@ class Testbed:
     def extracted(self) -> DataFrame:
         return self._view(EXTRACTED_SQL, "orders")
 
-    def doc_silver(self) -> DataFrame:
-        return self._view(DOC_SILVER_SQL, "documents", split=True)
+    def doc_silver(self, split: bool = False) -> DataFrame:
+        return self._view(DOC_SILVER_SQL, "documents", split)
 
     def candidates(self) -> DataFrame:
         return self._view(CANDIDATE_SQL, "benchmark")

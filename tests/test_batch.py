@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from hirelake import schemas as S
 from hirelake.plans import batch
+from hirelake.plans.match import match
 from hirelake.sources.snapshots import Snapshots
 from hirelake.streaming.ingest import ingest
 
@@ -72,6 +73,39 @@ def test_two_days(spark, tmp_path):
     assert {(r.skill, r.total_mentions) for r in gold.collect()} == {("Python", 1), ("SQL", 1), ("Docker", 1)}
 
 
+    moves = {r.what: r.rows for r in batch.report(spark, root, second).collect()}
+    assert moves == {"extracted: ok": 2, "extracted: total": 2, "Active -> Active": 2}
+    todo = batch.jobs_to_fetch(store.read_all("bronze", S.RAW), store.read_all("descriptions", batch.DESCRIPTIONS))
+    assert [r.job_id for r in todo.collect()] == ["c"]
+
+
+def test_complete_crawl_marks_and_unindexes(spark, tmp_path):
+    root, store = str(tmp_path), Snapshots(spark, str(tmp_path))
+    jds = [("a", "x"), ("b", "y")]
+    run(spark, root, [card("a", S.SITE_A, DAY1), card("b", S.SITE_A, DAY1)], jds, DAY1)
+    cards = spark.createDataFrame([card("a", S.SITE_A, DAY2)], CARDS)
+    batch.run_batch(spark, root, cards, descriptions(spark, *jds), DAY2, ["pos"], crawl_is_complete=True)
+    assert {k: v.status for k, v in state(store).items()} == {"a": "Active", "b": "Inactive"}
+    assert [r.metadata.job_id for r in store.read("index", batch.INDEX).collect()] == ["a"]
+
+
+def test_matching_on_the_written_tables(spark, tmp_path):
+    root, store = str(tmp_path), Snapshots(spark, str(tmp_path))
+    cards = [card("py", S.SITE_A, DAY1, title="Python Developer"), card("ops", S.SITE_B, DAY1, title="DevOps"), card("boss", S.SITE_A, DAY1, title="Architect")]
+    jds = [("py", "2 years of Python, SQL and Docker"), ("ops", "1 year, Kubernetes"), ("boss", "9 years of Python")]
+    run(spark, root, cards, jds, DAY1)
+    cvs = spark.createDataFrame([(1, "3 years of Python and SQL"), (2, "cook"), (3, "ops")], "qid int, cv_text string")
+    answers = spark.createDataFrame([(3, "YOE: 0\nQUERY: kubernetes")], "qid int, answer string")
+    m = match(cvs, store.read("index", batch.INDEX), store.read("silver", S.SILVER), answers=answers)
+    cards = {(r.qid, r.rank): r.title for r in m.cards.collect()}
+    assert cards[("1", 1)] == "Python Developer" and ("1", 3) not in cards  # nine years are out of reach
+    assert cards[("3", 1)] == "DevOps" and ("3", 2) not in cards
+    gaps = {(r.qid, r.job_id): (r.matched, r.missing) for r in m.gaps.collect()}
+    assert gaps[("1", "py")] == (["python", "sql"], ["docker"])
+    ctx = {r.qid: r.n_matches for r in m.context.collect()}
+    assert ctx == {"1": 2, "2": 1, "3": 1}
+
+
 def test_repeated_run_changes_nothing(spark, tmp_path):
     root, store = str(tmp_path), Snapshots(spark, str(tmp_path))
     cards, jds = [card("a", S.SITE_A, DAY1), card("b", S.SITE_B, DAY1)], [("a", "x"), ("b", "y")]

@@ -105,6 +105,15 @@ def test_year_filter(spark):
     assert got(search.top_k(q, c, kinds=("dense",)), "dense") == {0: [(1, 1), (2, 2)]}
 
 
+def test_missing_text_is_an_empty_document(spark):
+    d = vectors.with_vectors(spark.createDataFrame([(1, None), (2, "a")], "id int, text string"), "text")
+    q = vectors.with_query_vectors(spark.createDataFrame([(1, "a"), (2, None)], "qid int, text string"), "text")
+    assert search.measured(q).count == 2
+    hits = search.top_k(q, d)
+    assert got(hits, "sparse") == {1: [(2, 1)]}
+    assert got(hits, "dense") == {1: [(2, 1), (1, 2)], 2: [(1, 1), (2, 2)]}
+
+
 def test_fusion(spark):
     hits = spark.createDataFrame(
         [("dense", 1, 10, 1.0, 1), ("dense", 1, 11, 0.9, 2), ("sparse", 1, 10, 3.0, 1), ("sparse", 1, 12, 2.0, 2)],
@@ -117,18 +126,18 @@ def test_fusion(spark):
 
 
 def pipeline(spark, docs, queries, n=10):
-    d = spark.createDataFrame(docs, "id int, text string, title string, source string, yoe int").withColumn("w", text.tokens("text"))
-    q = spark.createDataFrame(queries, "qid int, yoe int, text string").withColumn("w", text.tokens("text"))
-    corpus = d.select("id", "yoe", vectors.embed_text(F.col("w")).alias("dense"), vectors.sparse_text(F.col("w")).alias("s"))
-    corpus = corpus.select("id", "yoe", "dense", "s.terms", "s.weights")
-    qs = search.measured(q.select("qid", "yoe", "text", vectors.embed_text(F.col("w")).alias("dense"), F.col("w").alias("terms")))
-    ranked = search.rerank(search.fuse(search.top_k(qs, corpus)), qs, d, depth=30, n=n, dedupe=["title", "source"])
-    points = d.select(
-        "id",
-        F.concat(F.lit("Source: "), "source", F.lit(" | Title: "), text.or_none("title"), F.lit(" | Tech: x")).alias("page_content"),
-        F.struct("title", F.col("title").alias("job_title"), F.lit(None).cast("string").alias("job_url"), "source").alias("metadata"),
+    d = spark.createDataFrame(docs, "id int, text string, title string, source string, yoe int")
+    d = d.withColumns(
+        {
+            "page_content": F.concat(F.lit("Source: "), "source", F.lit(" | Title: "), text.or_none("title"), F.lit(" | Tech: x")),
+            "metadata": F.struct(F.col("title").alias("job_title"), F.lit(None).cast("string").alias("job_url"), "source"),
+        }
     )
-    return qs, ranked, points
+    q = spark.createDataFrame(queries, "qid int, yoe int, text string")
+    qs = search.measured(vectors.with_query_vectors(q, "text"))
+    fused = search.fuse(search.top_k(qs, vectors.with_vectors(d, "text")))
+    ranked = search.rerank(fused, qs, d, depth=30, n=n, dedupe=["title", "source"], carry=["page_content", "metadata"])
+    return qs, ranked
 
 
 def test_whole_matching(spark):
@@ -139,12 +148,12 @@ def test_whole_matching(spark):
         (4, "python backend", "Too senior", "B", 9),
         (5, "gardener", "Garden", "B", 0),
     ]
-    qs, ranked, points = pipeline(spark, docs, [(1, 1, "Python backend"), (2, -5, "python")])
+    qs, ranked = pipeline(spark, docs, [(1, 1, "Python backend"), (2, -5, "python")])
     assert [(r.id, r.rerank) for r in ranked.orderBy("rank").collect() if r.qid == 1] == [(1, 1.0), (3, 0.5), (5, 0.0)]
-    ctx = {r.qid: (r.n_matches, r.context) for r in search.context(ranked, points, qs).collect()}
+    ctx = {r.qid: (r.n_matches, r.context) for r in search.context(ranked, qs).collect()}
     assert ctx[2] == (0, "")
     assert ctx[1][0] == 3 and ctx[1][1].startswith("Job 1: Source: A | Title: Dev | Tech: x\n\nJob 2: Source: B | Title: None")
-    cards = {r.rank: r for r in search.cards(ranked, points, qs).collect()}
+    cards = {r.rank: r for r in search.cards(ranked).collect()}
     assert (cards[1].title, cards[1].url, cards[1].source, cards[1].caption) == ("Dev", "#", "A", "Tech: x")
     assert (cards[2].title, cards[2].caption) == ("View Job Details", "Tech: x")
 
