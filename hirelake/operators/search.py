@@ -15,7 +15,8 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -35,8 +36,9 @@ MAX_BROADCAST_ROWS = 600_000
 # Tile sides of the shuffled way.
 CORPUS_SLICE = 20_000
 QUERY_SLICE = 2_000
-# Score matrix side inside a task.
+# Inside a task: corpus rows scored at once, and the most cells a score matrix may have.
 CHUNK = 1_024
+CELLS = 4_000_000
 
 DIGITS = 6
 
@@ -76,32 +78,67 @@ def measured(df: DataFrame) -> Queries:
 
 
 class _QueryBlock:
-    """Queries of one task, prepared for scoring."""
+    """Queries of one task, prepared for scoring.
+
+    Query terms are split in two: those of many queries score by one matrix product, the others by
+    adding up their (document, query) cells, a bounded number of cells at a time.
+    """
 
     def __init__(self, rows: pd.DataFrame, kinds: tuple[str, ...]):
         self.qids = rows["qid"].tolist()
         self.max_yoe = rows["max_yoe"].to_numpy(dtype=float) if "max_yoe" in rows else None
+        self.chunk = max(16, min(CHUNK, CELLS // max(1, len(rows))))
         if "dense" in kinds:
             self.dense = _unit(rows["dense"])
         if "sparse" in kinds:
-            self.terms: dict[str, np.ndarray] = {}
-            lists: dict[str, list[int]] = {}
-            for q, terms in enumerate(rows["terms"]):
-                for t in set(terms):
-                    lists.setdefault(t, []).append(q)
-            self.terms = {t: np.asarray(qs) for t, qs in lists.items()}
+            self._prepare_terms(rows["terms"])
+
+    def _prepare_terms(self, lists: pd.Series) -> None:
+        n = len(lists)
+        asked: dict[str, list[int]] = {}
+        for q, terms in enumerate(lists):
+            for t in set(terms):
+                asked.setdefault(t, []).append(q)
+        common = [t for t, qs in asked.items() if len(qs) > 8 and 16 * len(qs) >= n]
+        rare = [t for t in asked if t not in set(common)]
+        self.code = {t: i for i, t in enumerate(common + rare)}
+        self.common = np.zeros((len(common), n))
+        for i, t in enumerate(common):
+            self.common[i, asked[t]] = 1.0
+        self.size = np.array([len(asked[t]) for t in rare], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.queries = np.array([q for t in rare for q in asked[t]], dtype=np.int64)
 
     def scores(self, kind: str, part: pd.DataFrame) -> np.ndarray:
         """Corpus rows x queries."""
         if kind == "dense":
             return _unit(part["dense"]) @ self.dense.T
-        out = np.zeros((len(part), len(self.qids)))
-        for i, (terms, weights) in enumerate(zip(part["terms"], part["weights"])):
-            row = out[i]
-            for t, w in zip(terms, weights):
-                qs = self.terms.get(t)
-                if qs is not None:
-                    row[qs] += w
+        n, nq, n_common = len(part), len(self.qids), len(self.common)
+        words = list(chain.from_iterable(part["terms"]))
+        code = np.fromiter((self.code.get(t, -1) for t in words), dtype=np.int64, count=len(words))
+        known = code >= 0
+        code = code[known]
+        row = np.repeat(np.arange(n), part["terms"].map(len))[known]
+        weight = np.concatenate([np.empty(0), *part["weights"]])[known]
+
+        often = code < n_common
+        doc = np.zeros((n, n_common))
+        doc[row[often], code[often]] = weight[often]
+        out = doc @ self.common
+
+        code, row, weight = code[~often] - n_common, row[~often], weight[~often]
+        size = self.size[code]
+        ends = np.cumsum(size)
+        first = 0
+        while first < len(code):
+            done = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + CELLS, side="right")))
+            some = slice(first, last)
+            entry = np.repeat(np.arange(first, last), size[some])
+            place = np.arange(len(entry)) - (ends[entry] - size[entry] - done)
+            cell = row[entry] * nq + self.queries[self.start[code[entry]] + place]
+            out += np.bincount(cell, weights=weight[entry], minlength=n * nq).reshape(n, nq)
+            first = last
         return out
 
 
@@ -111,47 +148,45 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
 
-@dataclass
 class _Best:
     """Running best k of one task, per query: rounded score descending, then id."""
 
-    k: int
-    rows: dict[int, list] = field(default_factory=dict)
+    def __init__(self, k: int, n_queries: int):
+        self.k, self.rows = k, {}
+        self.least = np.full(n_queries, -np.inf)  # score of the k-th, once there are k
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
         """``scores`` is corpus rows x queries; -inf marks pairs that may not match."""
-        n = len(ids)
-        bar = np.full(scores.shape[1], -np.inf)
-        if n > self.k:
-            bar = np.partition(scores, n - self.k, axis=0)[n - self.k]
-        for q in range(scores.shape[1]):
-            column, kept = scores[:, q], self.rows.get(q, [])
-            least = max(bar[q], -kept[-1][0]) if len(kept) == self.k else bar[q]
-            hit = np.flatnonzero((column >= least) & (column > -np.inf))
-            if len(hit):
-                fresh = zip((-column[hit]).tolist(), ids[hit].tolist())
-                self.rows[q] = heapq.nsmallest(self.k, [*kept, *fresh])
+        hit = (scores >= self.least) & (scores > -np.inf)
+        for q in np.flatnonzero(hit.any(axis=0)).tolist():
+            at = np.flatnonzero(hit[:, q])
+            column = scores[at, q]
+            if len(at) > 4 * self.k:
+                bar = np.partition(column, len(at) - self.k)[len(at) - self.k]
+                at, column = at[column >= bar], column[column >= bar]
+            fresh = zip((-column).tolist(), ids[at].tolist())
+            best = heapq.nsmallest(self.k, [*self.rows.get(q, []), *fresh])
+            self.rows[q] = best
+            if len(best) == self.k:
+                self.least[q] = -best[-1][0]
 
 
 def _score_part(block: _QueryBlock, part: pd.DataFrame, kinds, best: dict[str, _Best], exclude_self: bool) -> None:
-    for start in range(0, len(part), CHUNK):
-        chunk = part.iloc[start : start + CHUNK]
-        ids = chunk["id"].to_numpy()
-        allowed = None
+    for start in range(0, len(part), block.chunk):
+        rows = part.iloc[start : start + block.chunk]
+        ids = rows["id"].to_numpy()
+        barred = np.zeros((len(rows), len(block.qids)), dtype=bool)
         if block.max_yoe is not None:
-            yoe = chunk["yoe"].to_numpy(dtype=float)
-            allowed = yoe[:, None] <= block.max_yoe[None, :]  # NULL is NaN and never matches
+            yoe = rows["yoe"].to_numpy(dtype=float)
+            barred = ~(yoe[:, None] <= block.max_yoe[None, :])  # NULL is NaN and never matches
+        if exclude_self:
+            where = {x: i for i, x in enumerate(ids.tolist())}
+            for q, qid in enumerate(block.qids):
+                if qid in where:
+                    barred[where[qid], q] = True
         for kind in kinds:
-            scores = np.round(block.scores(kind, chunk), DIGITS)
-            if kind == "sparse":
-                scores[scores <= 0] = -np.inf
-            if allowed is not None:
-                scores[~allowed] = -np.inf
-            if exclude_self:
-                where = {x: i for i, x in enumerate(ids.tolist())}
-                for q, qid in enumerate(block.qids):
-                    if qid in where:
-                        scores[where[qid], q] = -np.inf
+            scores = np.round(block.scores(kind, rows), DIGITS)
+            scores[barred if kind == "dense" else barred | (scores <= 0)] = -np.inf
             best[kind].add(scores, ids)
 
 
@@ -185,7 +220,8 @@ def _broadcast_way(queries, corpus, kinds, k, exclude_self, out) -> DataFrame:
     rows = spark.sparkContext.broadcast(queries.df.toPandas())
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, best = _QueryBlock(rows.value, kinds), {kind: _Best(k) for kind in kinds}
+        block = _QueryBlock(rows.value, kinds)
+        best = {kind: _Best(k, len(block.qids)) for kind in kinds}
         for part in batches:
             _score_part(block, part, kinds, best, exclude_self)
         yield _emit(block, best)
@@ -207,10 +243,10 @@ def _tiled_way(queries, corpus, kinds, k, exclude_self, out) -> DataFrame:
     tiles_q = queries.df.withColumn("__q", slice_of("qid", n_query)).withColumn("__c", all_slices(n_corpus))
 
     def score(q_rows: pd.DataFrame, c_rows: pd.DataFrame) -> pd.DataFrame:
-        best = {kind: _Best(k) for kind in kinds}
-        block = _QueryBlock(q_rows, kinds) if len(q_rows) else None
-        if block is None or not len(c_rows):
+        if q_rows.empty or c_rows.empty:
             return pd.DataFrame(columns=["kind", "qid", "id", "score"])
+        block = _QueryBlock(q_rows, kinds)
+        best = {kind: _Best(k, len(q_rows)) for kind in kinds}
         _score_part(block, c_rows, kinds, best, exclude_self)
         return _emit(block, best)
 
@@ -282,9 +318,9 @@ def rerank(
     same, extra = dedupe or [], [c for c in carry or []]
     keep = list(dict.fromkeys([*same, *extra]))
     docs = corpus.select("id", "text", *keep).join(queries.hint(fused.select("qid", "id"), depth), "id")
-    texts = queries.df.select("qid", F.col("text").alias("__q"))
+    texts = queries.df.select("qid", text.tokens("text").alias("__q"))
     both = docs.join(queries.hint(texts), "qid")
-    score = F.round(scorer(text.tokens("__q"), text.tokens("text")), DIGITS)
+    score = F.round(scorer(F.col("__q"), text.tokens("text")), DIGITS)
     scored = both.select("qid", "id", *keep, score.alias("rerank"))
     order = [F.desc("rerank"), F.asc("id")]
     if same:

@@ -435,7 +435,7 @@ def q45_rrf(t: Testbed) -> DataFrame:
 def _ranked(t: Testbed, *carry: str) -> tuple[search.Queries, DataFrame]:
     q = _candidates(t)
     ranked = search.rerank(
-        _fused(t, q), q, _corpus(t), depth=30, n=10, dedupe=["title", "source"], carry=list(carry)
+        _fused(t, q), q, _corpus(t, split=True), depth=30, n=10, dedupe=["title", "source"], carry=list(carry)
     )
     return q, ranked
 

@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,30 @@ def test_top_k_matches_brute_force(spark, monkeypatch, way, exclude_self):
         assert got(hits, kind) == brute(corpus, queries, kind, 7, exclude_self)
 
 
+@pytest.mark.parametrize("cells", [1, 37, 10_000])
+def test_sparse_scores_in_small_steps(monkeypatch, cells):
+    """Common and rare query terms, cell by cell, against plain sums."""
+    monkeypatch.setattr(search, "CELLS", cells)
+    rng = np.random.default_rng(1)
+    asked = [list(rng.choice(VOCAB[:10], 3)) + ([f"r{i}"] if i % 3 else []) for i in range(40)]
+    terms = [list({*rng.choice(VOCAB, 8).tolist(), f"r{i}", f"r{i + 1}"}) for i in range(25)] + [[]]
+    weights = [rng.random(len(t)) for t in terms]
+    block = search._QueryBlock(pd.DataFrame({"qid": range(40), "terms": asked}), ("sparse",))
+    assert 0 < len(block.common) < len(block.code)
+    out = block.scores("sparse", pd.DataFrame({"terms": terms, "weights": weights}))
+    want = [[sum(w for t, w in zip(ts, ws) if t in set(q)) for q in asked] for ts, ws in zip(terms, weights)]
+    assert np.allclose(out, want)
+
+
+def test_more_slices_than_queries(spark, monkeypatch):
+    monkeypatch.setattr(search, "MAX_BROADCAST_QUERIES", 0)
+    monkeypatch.setattr(search, "CORPUS_SLICE", 3)
+    monkeypatch.setattr(search, "QUERY_SLICE", 1)
+    corpus, queries = make(20), make(4, seed=8)
+    c, q = frames(spark, corpus, queries)
+    assert got(search.top_k(q, c, kinds=("dense",), k=4), "dense") == brute(corpus, queries, "dense", 4)
+
+
 def test_copies_fill_ranks_in_id_order(spark):
     """A third of the corpus ties on one score: the smallest ids win, whatever the partitioning."""
     corpus, queries = make(300, copies=100), [(0, 9, [1.0] * 8, ["w2"])]
