@@ -9,7 +9,6 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,8 +24,10 @@ K1, B, AVG_LEN = 1.2, 0.75, 256.0
 DENSE_DIM = 256
 
 
-@lru_cache(maxsize=200_000)
-def _bucket(token: str, dim: int) -> int:
+MAX_CACHED = 200_000  # token slots a task remembers
+
+
+def _slot(token: str, dim: int) -> int:
     return int.from_bytes(hashlib.md5(token.encode()).digest()[:4], "big") % dim
 
 
@@ -38,13 +39,19 @@ def hashed_counts(dim: int = DENSE_DIM):
 
     @pandas_udf("array<float>")
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        slots: dict[str, int] = {}
         for batch in batches:
+            if len(slots) > MAX_CACHED:
+                slots.clear()
             out = []
             for words in batch:
-                v = np.zeros(dim, dtype=np.float32)
-                for token, n in Counter(words).items():
-                    v[_bucket(token, dim)] += n
-                out.append(v)
+                counts = Counter(words)
+                for token in counts:
+                    if token not in slots:
+                        slots[token] = _slot(token, dim)
+                at = np.fromiter(map(slots.__getitem__, counts), dtype=np.int64, count=len(counts))
+                n = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
+                out.append(np.bincount(at, weights=n, minlength=dim).astype(np.float32))
             yield pd.Series(out)
 
     return embed

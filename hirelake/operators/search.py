@@ -16,7 +16,7 @@ import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -115,7 +115,7 @@ class _QueryBlock:
             return _unit(part["dense"]) @ self.dense.T
         n, nq, n_common = len(part), len(self.qids), len(self.common)
         words = list(chain.from_iterable(part["terms"]))
-        code = np.fromiter((self.code.get(t, -1) for t in words), dtype=np.int64, count=len(words))
+        code = np.fromiter(map(self.code.get, words, repeat(-1)), dtype=np.int64, count=len(words))
         known = code >= 0
         code = code[known]
         row = np.repeat(np.arange(n), part["terms"].map(len))[known]
@@ -154,12 +154,17 @@ class _Best:
     def __init__(self, k: int, n_queries: int):
         self.k, self.rows = k, {}
         self.least = np.full(n_queries, -np.inf)  # score of the k-th, once there are k
+        self.last: dict[int, object] = {}  # its id
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
         """``scores`` is corpus rows x queries; -inf marks pairs that may not match."""
         hit = (scores >= self.least) & (scores > -np.inf)
         for q in np.flatnonzero(hit.any(axis=0)).tolist():
             at = np.flatnonzero(hit[:, q])
+            if q in self.last:  # copies of one text tie by the thousand: only smaller ids still matter
+                at = at[(scores[at, q] > self.least[q]) | (ids[at] < self.last[q])]
+                if not len(at):
+                    continue
             column = scores[at, q]
             if len(at) > 4 * self.k:
                 bar = np.partition(column, len(at) - self.k)[len(at) - self.k]
@@ -168,7 +173,7 @@ class _Best:
             best = heapq.nsmallest(self.k, [*self.rows.get(q, []), *fresh])
             self.rows[q] = best
             if len(best) == self.k:
-                self.least[q] = -best[-1][0]
+                self.least[q], self.last[q] = -best[-1][0], best[-1][1]
 
 
 def _score_part(block: _QueryBlock, part: pd.DataFrame, kinds, best: dict[str, _Best], exclude_self: bool) -> None:
