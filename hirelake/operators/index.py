@@ -93,4 +93,7 @@ def sync(
         batch = embed(batch)
     if full:
         return one_per_key(batch, ["point_id"])
-    return index_upsert(index_delete(index, ids_to_delete(silver, as_of)), batch)
+    batch = one_per_key(batch, ["point_id"])
+    # deleted and replaced points leave in one join, so the wide index rows move once at most
+    leaving = ids_to_delete(silver, as_of).unionByName(batch.select("point_id"))
+    return index_delete(index, leaving).unionByName(batch)

@@ -49,6 +49,11 @@ def update_column(old: DataFrame, updates: DataFrame, key: str, column: str, whe
     return joined.select(old.columns)
 
 
+def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
+    """Keys held by more than one row, with their row count: empty for a well-kept state table."""
+    return df.groupBy(*key).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
+
+
 # --- silver -------------------------------------------------------------------
 
 

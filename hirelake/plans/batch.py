@@ -190,6 +190,8 @@ def run_batch(
     v_silver = store.write("silver", silver_step(silver, jobs, records, as_of, new_cards if crawl_is_complete else None))
 
     now = store.read("silver", S.SILVER, v_silver)
+    if not state.duplicate_keys(now, ["job_id"]).isEmpty():
+        raise ValueError(f"silver version {v_silver} holds a job_id twice")
     marts = {
         "gold_skill_counts": gold.skill_counts(now, keyed=True),
         "gold_role_summary": gold.role_summary(now),

@@ -167,10 +167,9 @@ def q15_new_per_page(t: Testbed) -> DataFrame:
 
 @query
 def q16_cards_to_bronze(t: Testbed) -> DataFrame:
-    src = tables.spread(t.table("pages"))
-    found = pages.cards(src, pages.LINK_LIST_CARDS).join(
-        src.select("page_id", F.split_part(F.col("url"), F.lit("/"), F.lit(4)).alias("keyword")), "page_id"
-    )
+    keyword = F.split_part(F.col("url"), F.lit("/"), F.lit(4))
+    src = tables.spread(t.table("pages")).withColumn("keyword", keyword)
+    found = pages.cards(src, pages.LINK_LIST_CARDS, keep=("keyword",))
     raw = pages.cards_to_raw(found, S.SITE_A, F.col("keyword"), _day("2024-01-01 08:00:00"))
     return staging.first_seen(raw, ["job_id"], ["job_category", "page_id", "card_idx"]).select(S.RAW.names)
 
@@ -556,6 +555,11 @@ def q60_index_peek(t: Testbed) -> DataFrame:
     return tables.peek(_flat(index.documents(t.silver())), ["point_id"], 1)
 
 
+@query
+def q60_duplicate_keys(t: Testbed) -> DataFrame:
+    return state.duplicate_keys(t.table("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 @query
 def q61_batch_silver(t: Testbed) -> DataFrame:
     """The silver part of a batch run: touch, extract, upsert, quarantine, mark inactive, expire."""

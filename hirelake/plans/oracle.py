@@ -476,6 +476,8 @@ SELECT english_requirement, count(*) AS n_jobs FROM silver WHERE status = 'Activ
 GROUP BY ALL ORDER BY n_jobs DESC, english_requirement"""
 
     out["q60_profile"] = _profile()
+    out["q60_duplicate_keys"] = """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+GROUP BY ALL HAVING count(*) > 1"""
     out["q61_batch_silver"] = _batch_silver()
     out["q60_table_peek"] = f"WITH {RAW} SELECT job_url, job_title FROM raw ORDER BY job_url, job_title LIMIT 10"
     out["q60_index_peek"] = f"WITH {SILVER} SELECT {_points()} FROM silver ORDER BY point_id LIMIT 1"

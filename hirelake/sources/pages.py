@@ -142,20 +142,27 @@ def _cards_udf(rules: CardRules):
     return cards_of
 
 
-def cards(pages: DataFrame, rules: CardRules) -> DataFrame:
-    """One row per card: page_id, card_idx, job_id, job_url and the raw card columns.
+def blocked(html: Column | str) -> Column:
+    """Is a saved page a refusal instead of content? A page without a title has the title ''."""
+    html = text.col(html)
+    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
+    return html.contains("Access denied") | title.contains("Cloudflare")
+
+
+def cards(pages: DataFrame, rules: CardRules, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per card: page_id, card_idx, job_id, job_url, the raw card columns and ``keep``.
 
     Only the page text crosses into Python; links, ids and fallbacks are JVM expressions. A card
     without a title or link gets an id from (page, position), so a retry gives the same id.
     """
-    found = pages.select("page_id", "url", F.explode(_cards_udf(rules)("html")).alias("c")).select(
-        "page_id", "url", "c.*"
+    found = pages.select("page_id", "url", *keep, F.explode(_cards_udf(rules)("html")).alias("c")).select(
+        "page_id", "url", *keep, "c.*"
     )
     bad = F.col("title").isNull() | F.col("link").isNull()
     host = F.lit(rules.host) if rules.host else F.regexp_extract("url", r"^(https?://[^/?#]+)", 1)
     link = F.col("link")
-    keep = link.startswith("http") if rules.prefix_empty_link else (link == "") | link.startswith("http")
-    core = text.url_core(F.when(keep, link).otherwise(F.concat(host, link)))
+    as_is = link.startswith("http") if rules.prefix_empty_link else (link == "") | link.startswith("http")
+    core = text.url_core(F.when(as_is, link).otherwise(F.concat(host, link)))
     error_id = F.concat(F.lit("error_url_"), F.xxhash64("page_id", "card_idx").cast("string"))
     url = F.when(bad, error_id).otherwise(core)
     stack = F.lit(rules.tech_stack) if rules.tech_stack else F.array_join("tags", ", ")
@@ -169,11 +176,14 @@ def cards(pages: DataFrame, rules: CardRules) -> DataFrame:
         F.coalesce("location", F.lit(S.UNKNOWN_LOCATION)).alias("location"),
         F.col("salary").alias("salary_raw"),
         stack.alias("tech_stack"),
+        *keep,
     )
 
 
-def cards_to_raw(found: DataFrame, source: str, keyword: Column, crawl_time: Column) -> DataFrame:
-    """Card rows in the bronze shape, page position kept for first-seen ordering."""
+def cards_to_raw(
+    found: DataFrame, source: str, keyword: Column, crawl_time: Column, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Card rows in the bronze shape, with the page position for first-seen ordering in front."""
     extra = {
         "source": F.lit(source),
         "crawl_timestamp": text.whole_seconds(crawl_time),
@@ -182,7 +192,7 @@ def cards_to_raw(found: DataFrame, source: str, keyword: Column, crawl_time: Col
         "job_description": F.lit(""),
     }
     return found.select(
-        "page_id", "card_idx", *[extra.get(n, F.col(n) if n in found.columns else None).alias(n) for n in S.RAW.names]
+        "page_id", "card_idx", *keep, *[extra.get(n, F.col(n) if n in found.columns else None).alias(n) for n in S.RAW.names]
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelake import schemas as S
-from hirelake.plans import batch
+from hirelake.plans import batch, crawl
 from hirelake.plans.match import match
 from hirelake.sources.snapshots import Snapshots
 from hirelake.streaming.ingest import ingest
@@ -162,3 +162,37 @@ def test_job_seen_on_both_sites_is_extracted_once(spark, rows):
     df = spark.createDataFrame(rows, "job_id string, job_description string, source string")
     df = df.withColumn("job_url", F.lit("u")).withColumn("job_title", F.lit("t"))
     assert [(r.job_id, r.source) for r in batch.extract_step(df).collect()] == [("a", S.SITE_A_SILVER)]
+
+
+def test_from_saved_pages_to_matches(spark, tmp_path):
+    listing = "page_id long, url string, html string, keyword string, page_no int"
+    card_a = '<div class="job-card"><h3 data-url="/it-jobs/{0}?x=1">{1}</h3></div>'
+    site_a = spark.createDataFrame(
+        [
+            (1, "https://itviec.com/1", card_a.format("ml", "Later copy"), "ai-engineer", 1),
+            (2, "https://itviec.com/2", card_a.format("ml", "ML Engineer") + card_a.format("de", "Data Engineer"), "data-engineer", 1),
+            (3, "https://itviec.com/3", "<title>Cloudflare</title>" + card_a.format("no", "Blocked"), "data-engineer", 2),
+        ],
+        listing,
+    )
+    card_b = '<div class="job-item-search-result"><h3><a href="/viec-lam/x/77.html?ta">QA</a></h3></div>'
+    site_b = spark.createDataFrame([(1, "https://www.topcv.vn/1", card_b, "data-analyst", 1)], listing)
+    cards = crawl.listing_cards(site_a, site_b, F.lit("2024-05-01 08:00:00").cast("timestamp_ntz"))
+    jd = "<section class='job-content'><p>4 years of Python</p></section>"
+    details = "page_id string, html string, status int"
+    texts = crawl.detail_texts(
+        spark.createDataFrame([("https://itviec.com/it-jobs/ml", jd, 200), ("https://itviec.com/it-jobs/de", jd, 404)], details),
+        spark.createDataFrame([("77", "<div class='box-info-job'>IELTS, 1 year</div>", 200)], details),
+    )
+    root, store = str(tmp_path), Snapshots(spark, str(tmp_path))
+    batch.run_batch(spark, root, cards, texts, DAY1, crawl.CRAWL_ORDER)
+    bronze = {r.job_id: r for r in store.read_all("bronze", S.RAW).collect()}
+    assert set(bronze) == {"https://itviec.com/it-jobs/ml", "https://itviec.com/it-jobs/de", "77"}
+    # the keyword that comes first in the crawl wins, not the page that comes first in the table
+    assert bronze["https://itviec.com/it-jobs/ml"].job_title == "ML Engineer"
+    silver = state(store)
+    ml = silver["https://itviec.com/it-jobs/ml"]
+    assert (ml.min_years_of_experience, ml.job_level, ml.ai_core_tech_stack) == (4, "Middle", '["Python"]')
+    assert (silver["77"].ai_job_role, silver["77"].english_requirement) == ("QA/QC/Tester", S.ENGLISH_CERTIFICATE)
+    # an HTTP error text is final and counts as a description
+    assert silver["https://itviec.com/it-jobs/de"].min_years_of_experience == 0
