@@ -15,7 +15,7 @@ CRAWL_ORDER = ["source", "keyword_idx", "page_no", "card_idx"]
 
 def _site_cards(listing: DataFrame, rules: pages.CardRules, source: str, crawl_time: Column) -> DataFrame:
     position = F.array_position(F.array(*[F.lit(k) for k in S.KEYWORDS]), F.col("keyword"))
-    ready = listing.where(~pages.blocked("html")).withColumn(
+    ready = listing.withColumn(
         "keyword_idx", F.when(position > 0, position).otherwise(F.lit(len(S.KEYWORDS) + 1))
     )
     keep = ("keyword", "keyword_idx", "page_no")
@@ -27,18 +27,21 @@ def listing_cards(site_a: DataFrame, site_b: DataFrame, crawl_time: Column) -> D
     """Bronze-shaped cards of both sites with their ``CRAWL_ORDER`` columns.
 
     A listing frame has page_id, url, html, keyword and page_no. Repeats of a job stay in; the
-    bronze insert keeps the first in crawl order.
+    bronze insert keeps the first in crawl order. Only site B answers with refusal pages.
     """
     return union_sources(
         _site_cards(site_a, pages.SITE_A_CARDS, S.SITE_A, crawl_time),
-        _site_cards(site_b, pages.SITE_B_CARDS, S.SITE_B, crawl_time),
+        _site_cards(site_b.where(~pages.blocked("html")), pages.SITE_B_CARDS, S.SITE_B, crawl_time),
     )
 
 
 def detail_texts(site_a: DataFrame, site_b: DataFrame) -> DataFrame:
-    """(job_id, job_description) of saved detail pages: page_id = job id, html, HTTP status."""
+    """(job_id, job_description) of saved detail pages: page_id = job id, html, HTTP status.
+
+    A bad status is final on site A ('Error <code>') and worth another fetch on site B.
+    """
     parts = [
-        pages.job_descriptions(site_a, pages.SITE_A_JD, status="status"),
-        pages.job_descriptions(site_b, pages.SITE_B_JD, status="status"),
+        pages.job_descriptions(site_a, pages.SITE_A_JD, "status", check_blocked=False),
+        pages.job_descriptions(site_b, pages.SITE_B_JD, "status", S.JD_CONNECTION_ERROR),
     ]
     return union_sources(*parts).withColumnRenamed("page_id", "job_id")

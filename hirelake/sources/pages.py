@@ -211,22 +211,27 @@ def _detail_udf(rules: tuple[Select, ...]):
 
 
 def job_descriptions(
-    pages: DataFrame, rules: tuple[Select, ...], status: str | None = None, max_chars: int | None = None
+    pages: DataFrame,
+    rules: tuple[Select, ...],
+    status: str | None = None,
+    bad_status_text: str | None = None,
+    check_blocked: bool = True,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """(page_id, job_description): the first rule that matches, else a sentinel.
 
-    Blocked pages give 'Connection error', a non-200 ``status`` column 'Error <code>'. The text is
-    whole unless ``max_chars`` is asked for.
+    Blocked pages give 'Connection error' where ``check_blocked``; a non-200 ``status`` column gives
+    ``bad_status_text`` or 'Error <code>'. The text is whole unless ``max_chars`` is asked for.
     """
     cols = ["page_id", "html"] + ([status] if status else [])
     d = pages.select(*cols, _detail_udf(rules)("html").alias("d"))
     jd = F.substring("d.jd", 1, max_chars) if max_chars else F.col("d.jd")
-    out = (
-        F.when(F.col("html").contains("Access denied") | F.col("d.title").contains("Cloudflare"), S.JD_CONNECTION_ERROR)
-        .when(jd.isNull(), S.JD_NOT_FOUND)
-        .otherwise(jd)
-    )
+    out = F.coalesce(jd, F.lit(S.JD_NOT_FOUND))
+    if check_blocked:
+        refused = F.col("html").contains("Access denied") | F.col("d.title").contains("Cloudflare")
+        out = F.when(refused, S.JD_CONNECTION_ERROR).otherwise(out)
     if status:
-        bad = F.col(status) != 200
-        out = F.when(bad, F.concat(F.lit("Error "), F.col(status).cast("string"))).otherwise(out)
+        code = F.concat(F.lit("Error "), F.col(status).cast("string"))
+        bad_text = F.lit(bad_status_text) if bad_status_text else code
+        out = F.when(F.col(status) != 200, bad_text).otherwise(out)
     return d.select("page_id", out.alias("job_description"))

@@ -171,19 +171,23 @@ def test_from_saved_pages_to_matches(spark, tmp_path):
         [
             (1, "https://itviec.com/1", card_a.format("ml", "Later copy"), "ai-engineer", 1),
             (2, "https://itviec.com/2", card_a.format("ml", "ML Engineer") + card_a.format("de", "Data Engineer"), "data-engineer", 1),
-            (3, "https://itviec.com/3", "<title>Cloudflare</title>" + card_a.format("no", "Blocked"), "data-engineer", 2),
         ],
         listing,
     )
     card_b = '<div class="job-item-search-result"><h3><a href="/viec-lam/x/77.html?ta">QA</a></h3></div>'
-    site_b = spark.createDataFrame([(1, "https://www.topcv.vn/1", card_b, "data-analyst", 1)], listing)
+    refused = "<title>Cloudflare</title>" + card_b.replace("77", "78")
+    site_b = spark.createDataFrame(
+        [(i, "https://www.topcv.vn/1", html, "data-analyst", i) for i, html in ((1, card_b), (2, refused))], listing
+    )
     cards = crawl.listing_cards(site_a, site_b, F.lit("2024-05-01 08:00:00").cast("timestamp_ntz"))
     jd = "<section class='job-content'><p>4 years of Python</p></section>"
     details = "page_id string, html string, status int"
     texts = crawl.detail_texts(
         spark.createDataFrame([("https://itviec.com/it-jobs/ml", jd, 200), ("https://itviec.com/it-jobs/de", jd, 404)], details),
-        spark.createDataFrame([("77", "<div class='box-info-job'>IELTS, 1 year</div>", 200)], details),
+        spark.createDataFrame([("77", "<div class='box-info-job'>IELTS, 1 year</div>", 200), ("79", "", 500)], details),
     )
+    found = {r.job_id: r.job_description for r in texts.collect()}
+    assert (found["https://itviec.com/it-jobs/de"], found["79"]) == ("Error 404", S.JD_CONNECTION_ERROR)
     root, store = str(tmp_path), Snapshots(spark, str(tmp_path))
     batch.run_batch(spark, root, cards, texts, DAY1, crawl.CRAWL_ORDER)
     bronze = {r.job_id: r for r in store.read_all("bronze", S.RAW).collect()}
