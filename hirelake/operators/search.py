@@ -284,7 +284,8 @@ def top_k(
         corpus = corpus.withColumn("yoe", F.col("yoe").cast("double")).where(F.col("yoe").isNotNull())
         need_c.append("yoe")
     q = Queries(df.select(*need_q), q.count, q.bytes)
-    hits = _block_top_k(q, corpus.select(*need_c), kinds, k, exclude_self)
+    # tasks have kept k rows per query already; by qid alone, ranking, fusion and its ranking share one shuffle
+    hits = _block_top_k(q, corpus.select(*need_c), kinds, k, exclude_self).repartition("qid")
     return top_per_key(hits, ["kind", "qid"], [F.desc("score"), F.asc("id")], k, rank="rank")
 
 
@@ -326,7 +327,7 @@ def rerank(
     texts = queries.df.select("qid", text.tokens("text").alias("__q"))
     both = docs.join(queries.hint(texts), "qid")
     score = F.round(scorer(F.col("__q"), text.tokens("text")), DIGITS)
-    scored = both.select("qid", "id", *keep, score.alias("rerank"))
+    scored = both.select("qid", "id", *keep, score.alias("rerank")).repartition("qid")
     order = [F.desc("rerank"), F.asc("id")]
     if same:
         scored = top_per_key(scored, ["qid", *same], order, 1)

@@ -77,6 +77,12 @@ def test_few_queries_leave_the_corpus_in_place(spark):
     assert plan(hits).count("Exchange") == 1  # the partial top rows only
 
 
+def test_ranking_and_fusion_share_a_shuffle(spark):
+    corpus = spark.range(100).select("id", F.array(F.col("id").cast("double")).alias("dense"))
+    hits = search.top_k(corpus.withColumnRenamed("id", "qid").limit(3), corpus, ("dense",), 3)
+    assert plan(search.fuse(hits)).count("Exchange") == 1
+
+
 def test_kpi_cube_expands_cells_not_rows(stored):
     text = plan(dashboard.kpi_cube(stored))
     assert text.index("Expand") < text.rindex("Exchange hashpartitioning(source") < text.index("FileScan")
