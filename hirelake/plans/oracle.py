@@ -47,11 +47,12 @@ NOT_WORD = r"[^\p{L}\p{N}]+"
 STRIP = "trim({x}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 TOKENS = r"regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}]+')"
 
-# text pieces of an HTML fragment, one per line
+# text pieces of an HTML fragment, one per line; in HTML these entities also count without their semicolon
 LINES = (
     "array_to_string(list_filter(list_transform(string_split(regexp_replace(regexp_replace({x}, "
     r"'<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', '', 'gs'), '<[^>]*>', chr(1), 'g'), chr(1)), "
-    "lambda s: trim(replace(replace(replace(s, '&amp;', '&'), '&quot;', '\"'), '&lt;', '<'), "
+    "lambda s: trim(regexp_replace(regexp_replace(regexp_replace(s, '&quot;?', '\"', 'g'), '&lt;?', '<', 'g'), "
+    "'&amp;?', '&', 'g'), "
     "' ' || chr(9) || chr(10) || chr(13))), lambda s: s <> ''), chr(10))"
 )
 ARTICLE = r"regexp_extract(html, '<article[^>]*>(.*?)</article>', 1, 's')"
@@ -402,7 +403,8 @@ SELECT job_id, {_infer('job_level', 'min_years_of_experience')} AS job_level,
   {_infer('job_level', '(min_years_of_experience - 2)')} AS job_level_shifted,
   coalesce(job_level IN {_in(S.JOB_LEVELS)}, false) AS level_in_contract FROM silver"""
     out["q37_skill_dictionary"] = f"""WITH d AS (SELECT DISTINCT unnest({TOKENS.format(x='text')}) AS alias FROM benchmark),
-dict AS (SELECT alias, upper(alias) AS canonical FROM d WHERE length(alias) >= 6),
+-- the full Unicode mapping of sharp s is SS
+dict AS (SELECT alias, upper(replace(alias, 'ß', 'ss')) AS canonical FROM d WHERE length(alias) >= 6),
 w AS (SELECT doc_id, unnest(ws) AS alias, unnest(range(len(ws))) AS pos
   FROM (SELECT doc_id, {TOKENS.format(x='text')} AS ws FROM documents)),
 f AS (SELECT doc_id, canonical, min(pos) AS pos FROM w JOIN dict USING (alias) GROUP BY doc_id, canonical
