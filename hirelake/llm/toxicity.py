@@ -33,6 +33,8 @@ SYMBOLS = 32
 #: Characters of a window, and the step between windows of a longer word.
 WINDOW, STEP = 14, 5
 LANDMARKS = 128
+#: Rounds in which the worst clean words are added to the training set.
+ROUNDS = 5
 #: The bounded training sample: documents of each label, and characters a training document has at most.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1500, 3000, 20_000
 #: Word parts that are looked at for the words behind a toxic label.
@@ -223,7 +225,7 @@ def train(texts: list[str], toxic: np.ndarray) -> dict:
     A document's label holds for some of its sentences only. Word parts that stand in toxic documents and
     hardly in clean ones, chosen greedily until the toxic documents are covered, mark the words that make a
     sentence toxic; all words of clean documents are negatives. The negatives that the machine ranks
-    highest are added in three rounds.
+    highest are added in ROUNDS rounds.
     """
     rate = float(toxic.mean()) if len(toxic) else 0.0
     constant = {"table": None, "bias": 0.0, "slope": 0.0, "level": float(np.log((rate + 1e-3) / (1 - rate + 1e-3)))}
@@ -311,14 +313,14 @@ def train(texts: list[str], toxic: np.ndarray) -> dict:
     taken = set(bad)
     pool = [negatives[i] for i in pick[6000:]]
     joined = _joined(pool) if pool else None
-    for step in range(4):
+    for step in range(ROUNDS + 1):
         x = np.vstack([x_plus, x_minus])
         y = np.concatenate([np.ones(len(x_plus)), -np.ones(len(x_minus))])
         share = np.where(y > 0, 1.0 / len(x_plus), 1.0 / len(x_minus)) * len(y) / 2
         w = _fit(np.hstack([x, np.ones((len(x), 1))]), y, share)
         table[:] = 0
         table[keys] = marks @ (half @ w[:-1])
-        if step == 3 or not pool:
+        if step == ROUNDS or not pool:
             break
         best = _best(joined, table)
         hard = [pool[i] for i in np.argsort(-best)[:1500] if pool[i] not in taken]
