@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -17,22 +18,45 @@ CAPACITY = 4096
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Spans of text whose ids a worker remembers; a bound on memory only.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLAN = "length long, first_rank long, last_rank long, first_sequence long, place long, in_sequence long"
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
 _SPACE = re.compile("[ \t\n\r]+")
+#: White space to Python's split() but not to the tokenizer.
+_NO_SPACE = re.compile("[\x1c-\x1f]")
 _STATE: dict = {}
 
 
+def _lower(text: str) -> str:
+    """Lower case as far as it is sure to be what the tokenizer's own normaliser would make."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text.translate(_LOWER)
+    return text.lower()
+
+
+def _byte_letters() -> list[str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    out, spare = [], 256
+    for byte in range(256):
+        if 33 <= byte <= 126 or 161 <= byte <= 172 or byte >= 174:
+            out.append(chr(byte))
+        else:
+            out.append(chr(spare))
+            spare += 1
+    return out
+
+
 def encoder(name: str):
     """Text -> ids as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins what stands on both sides of it, so a text is the
-    concatenation of its spans between blanks; spans seen before are looked up. A-Z are lowered before
-    the look-up, as the tokenizer does itself.
+    concatenation of its spans between blanks; spans seen before are looked up. A Latin word, with or
+    without punctuation after it, goes straight to the tokenizer's merges, all else through the whole of it.
     """
     if name in _STATE:
         return _STATE[name]
@@ -44,21 +68,41 @@ def encoder(name: str):
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    merges = tokenizer.model
+    letters = _byte_letters()
     known: dict[str, bytes] = {}
 
+    tails: dict[str, bytes] = {}
+
+    def packed(word: str) -> bytes:
+        if not word.isascii():
+            word = "".join([letters[b] for b in word.encode()])
+        got = [token.id for token in merges.tokenize(word)]
+        return struct.pack(f"<{len(got)}I", *got)
+
     def learn(spans: set[str]) -> None:
         if len(known) + len(spans) > REMEMBERED:
             known.clear()
-        todo = list(spans)
-        for at in range(0, len(todo), 4096):
-            some = todo[at : at + 4096]
+            tails.clear()
+        rest = []
+        for span in spans:
+            word = span.rstrip(".,;:!?")
+            if not word.isalpha() or not _is_latin(word):
+                rest.append(span)
+                continue
+            ids = known.get(word) or packed(word)
+            if word != span:
+                ids += tails.get(tail := span[len(word) :]) or tails.setdefault(tail, packed(tail))
+            known[span] = ids
+        for at in range(0, len(rest), 4096):
+            some = rest[at : at + 4096]
             for span, got in zip(some, tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
                 known[span] = np.array(got.ids, "<u4").tobytes()
 
     def encode(texts: list[str]) -> Iterator[bytes]:
-        split = [_SPACE.split(t.translate(_LOWER)) if not t.isascii() else _SPACE.split(t.lower()) for t in texts]
+        split = [_SPACE.split(t) if _NO_SPACE.search(t) else t.split() for t in map(_lower, texts)]
         at = 0
-        while at < len(split):  # as many texts as have REMEMBERED spans at most, or one
+        while at < len(split):  # as many texts as have half of REMEMBERED spans, or one
             end, spans = at, 0
             while end < len(split) and (end == at or spans + len(split[end]) <= REMEMBERED // 2):
                 spans += len(split[end])
@@ -79,6 +123,14 @@ def encoder(name: str):
     return encode
 
 
+def _is_latin(word: str) -> bool:
+    try:
+        word.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return word == word.lower()
+
+
 def tokenised(batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: int) -> Iterator[pa.RecordBatch]:
     encode = encoder(tokenizer)
     end = END_ID.to_bytes(4, "little")

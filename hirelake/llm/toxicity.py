@@ -174,13 +174,15 @@ def _columns(rows: list[dict[int, float]], index: dict[int, int]) -> tuple[np.nd
     return np.array(r, int), np.array(c, int), np.array(v)
 
 
-def kernel(rows: list[dict[int, float]], marks: np.ndarray, index: dict[int, int]) -> np.ndarray:
-    """Kernel of ``rows`` with the landmarks; ``marks``: (sequence number, landmark)."""
-    out = np.zeros((len(rows), marks.shape[1]))
-    r, c, v = _columns(rows, index)
-    for at in range(0, len(r), 200_000):
-        part = slice(at, at + 200_000)
-        np.add.at(out, r[part], marks[c[part]] * v[part, None])
+def kernel(words: list[str], marks: np.ndarray, index: dict[int, int]) -> np.ndarray:
+    """Kernel of the words with the landmarks; ``marks``: (sequence number, landmark)."""
+    out = np.zeros((len(words), marks.shape[1]))
+    for at in range(0, len(words), 500):
+        r, c, v = _columns(features(words[at : at + 500]), index)
+        order = np.argsort(c, kind="stable")
+        dense = np.zeros((min(500, len(words) - at), len(index)), np.float32)
+        np.add.at(dense, (r[order], c[order]), v[order])
+        out[at : at + 500] = dense @ marks
     return out
 
 
@@ -232,25 +234,20 @@ def train(texts: list[str], toxic: np.ndarray) -> dict:
     if not 0 < toxic.sum() < len(toxic):
         return constant
     rng = np.random.default_rng(7)
-    bags = [tokens(t) for t in texts]
-
     def grams(word: str) -> set[str]:
         marked = "^" + word
         return {marked[i : i + n] for n in GRAM_LENGTHS for i in range(len(marked) - n + 1)}
 
     # Words that are in no clean document are the only ones that can carry a toxic label.
-    clean_words = set().union(*(b for b, y in zip(bags, toxic, strict=True) if not y))
-    doc_grams: list[dict[str, set[str]]] = []
+    clean_words: set[str] = set()
+    for text, y in zip(texts, toxic, strict=True):
+        if not y:
+            clean_words |= tokens(text)
     counts: Counter[str] = Counter()
-    for bag, y in zip(bags, toxic, strict=True):
-        if y:
-            by: dict[str, set[str]] = {}
-            for word in bag - clean_words:
-                for g in grams(word[:20]):
-                    by.setdefault(g, set()).add(word)
-            doc_grams.append(by)
-            counts.update(by.keys())
-    n_toxic, n_clean = len(doc_grams), len(bags) - len(doc_grams)
+    suspects = [tokens(text) - clean_words for text, y in zip(texts, toxic, strict=True) if y]
+    for bag in suspects:
+        counts.update(set().union(*(grams(word[:20]) for word in bag)))
+    n_toxic, n_clean = len(suspects), len(texts) - len(suspects)
     least = max(3, n_toxic // 500)
     kept = {g for g, n in counts.items() if n >= least}
     clean_counts: Counter[str] = Counter()
@@ -262,7 +259,10 @@ def train(texts: list[str], toxic: np.ndarray) -> dict:
         if counts[g] / n_toxic > 4 * clean_counts[g] / n_clean
     }
     pool = sorted(score, key=lambda g: (-score[g] * counts[g], g))[:1500]
-    holds = np.array([[g in by for g in pool] for by in doc_grams], float).reshape(n_toxic, len(pool))
+    place = {g: i for i, g in enumerate(pool)}
+    holds = np.zeros((n_toxic, len(pool)))
+    for i, bag in enumerate(suspects):
+        holds[i, [place[g] for word in bag for g in grams(word[:20]) if g in place]] = 1
     gain = np.array([max(score[g], 0.0) for g in pool])
     covered = np.zeros(n_toxic)
     chosen: list[str] = []
@@ -276,11 +276,8 @@ def train(texts: list[str], toxic: np.ndarray) -> dict:
     if not chosen:
         return constant
     positive: Counter[str] = Counter()
-    for by in doc_grams:
-        for g in chosen:
-            for word in by.get(g, ()):
-                if word not in clean_words:
-                    positive[word] += 1
+    for bag in suspects:
+        positive.update(word for word in bag if not grams(word[:20]).isdisjoint(chosen))
     good = [w for w, _ in sorted(positive.items(), key=lambda x: (-x[1], x[0]))[:1500]]
     if not good:
         return constant
@@ -305,8 +302,8 @@ def train(texts: list[str], toxic: np.ndarray) -> dict:
     values, vectors = np.linalg.eigh(marks.T @ marks)
     half = (vectors / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
     plus = [*good, *(x for w in marked_words for x in _variants(w, rng))]
-    x_plus = kernel(features(plus), marks, index) @ half
-    x_minus = kernel(features(bad), marks, index) @ half
+    x_plus = kernel(plus, marks, index) @ half
+    x_minus = kernel(bad, marks, index) @ half
     w = np.zeros(len(landmarks) + 1)
     table = np.zeros(SYMBOLS**ORDER, np.float32)
     keys = np.array(list(index), int)
@@ -326,7 +323,7 @@ def train(texts: list[str], toxic: np.ndarray) -> dict:
         hard = [pool[i] for i in np.argsort(-best)[:1500] if pool[i] not in taken]
         taken.update(hard)
         if hard:
-            x_minus = np.vstack([x_minus, kernel(features(hard), marks, index) @ half])
+            x_minus = np.vstack([x_minus, kernel(hard, marks, index) @ half])
     model = {"table": table, "bias": float(w[-1]), "slope": 1.0, "level": 0.0}
     margins = np.concatenate([m for _, m in margins_of(texts, model)])
     model["slope"], model["level"] = _calibrate(margins, toxic)
