@@ -6,16 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hirelake.llm import mixing, packing, toxicity
+from hirelake.llm import (
+    counts,
+    fingerprints,
+    jaccard,
+    licenses,
+    lines,
+    mixing,
+    neighbours,
+    packing,
+    suffixes,
+    toxicity,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """One for each operator, over whole tables."""
     return {
+        "op1_token_counts": counts.op1,
         "op2_best_fit_packing": packing.op2,
+        "op3_fingerprints": fingerprints.op3,
+        "op4_suffix_dedup": suffixes.op4,
         "op5_mixing": mixing.op5,
+        "op6_ngram_jaccard": jaccard.op6,
         "op7_toxicity": toxicity.op7,
+        "op8_license_scan": licenses.op8,
+        "op9_line_dedup": lines.op9,
+        "op10_nearest": neighbours.op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can express the operator; the others are tested against brute force in tests/llm."""
+    return {"op9_line_dedup": lines.OP9_SQL}

@@ -124,7 +124,7 @@ class Hashes:
         n = len(self.sums) - q
         if n <= 0:
             return np.empty(0, np.uint64)
-        return mix((self.sums[q:] - self.sums[:n]) * self.down[:n] + np.uint64(q) * _STEP)
+        return mix((self.sums[q:] - self.sums[:n]) * self.down[:n] + np.uint64(q * int(_STEP) & _MASK))
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:

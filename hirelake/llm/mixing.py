@@ -160,3 +160,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"),
         "copies",
     )
+
+
+def take(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: each document as often as the mix takes it."""
+    mixed = mix(docs, word_count(F.col("text"))).where("copies > 0")
+    times = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("time")
+    return mixed.select("row", times).select("row.*")

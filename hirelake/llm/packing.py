@@ -253,3 +253,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces(documents(spark, sf_dir)))
+
+
+def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: the place of each piece."""
+    return pack(pieces(docs))
