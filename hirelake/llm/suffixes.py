@@ -32,7 +32,7 @@ from hirelake.llm.common import Hashes, documents, mix, stored, text_slices
 WIDTH, GRAM = 50, 18
 #: Suffixes that a task holds before it sends them on, bytes of text for a part of the shuffle, and for a
 #: group of documents.
-HELD, PART_BYTES, GROUP_BYTES = 2_000_000, 16 << 20, 16 << 20
+HELD, PART_BYTES, GROUP_BYTES = 1_000_000, 8 << 20, 8 << 20
 
 #: A suffix on its way: identifiers, document, start and further windows of its run.
 SUFFIX = np.dtype([("q", "<u8"), ("n", "<u4"), ("doc", "<i8"), ("lo", "<u4"), ("more", "u1")])
@@ -221,7 +221,7 @@ def _with_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.nda
             if table is None:
                 table = np.concatenate([_unpack(x, SPAN) for x in blobs]) if blobs else np.empty(0, SPAN)
                 table = table[np.argsort(table["doc"], kind="stable")]
-                starts = table["doc"]
+                starts = np.ascontiguousarray(table["doc"])
                 blobs = []
             doc = int(np.frombuffer(payload, np.int64, 1)[0])
             a, b = np.searchsorted(starts, [doc, doc + 1] if doc < 2**63 - 1 else [doc, doc])
@@ -251,7 +251,8 @@ def _windows(batches: Iterator[pa.RecordBatch], width: int, parts: int, groups:
         start = start[start + width <= len(data)]
         rows = np.empty(len(start), SUFFIX)
         rows["q"] = Hashes(data, 6).spans(start, start + width)
-        rows["n"] = Hashes(data, 7).spans(start, start + width) >> np.uint64(32)
+        ends = data[np.stack([start, start + width // 3, start + 2 * width // 3, start + width - 1], 1)]
+        rows["n"] = ends.view("<u4")[:, 0]  # four of the bytes themselves
         rows["doc"], rows["lo"], rows["more"] = doc, start, 0
         held.append(rows)
         size += len(rows)
@@ -294,7 +295,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row of ``docs`` (doc_id, text).
 
     A byte goes if a string of ``width`` bytes over it also starts in a document with a smaller doc_id; this
-    is judged on the texts as they came. Exact, up to 96-bit hash collisions.
+    is judged on the texts as they came. Exact, up to collisions of the identifiers (96 bits, or 64 and four
+    of the bytes).
 
     Null and empty texts have 0 bytes; texts shorter than ``width`` keep all. Rows of one doc_id never take
     from each other. Rows without doc_id neither take nor lose. An empty table gives no rows. Other columns
