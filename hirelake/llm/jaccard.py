@@ -21,7 +21,11 @@ CELLS, BLOCK = 1 << 20, 1 << 12
 MOST_LIGHT = 20
 
 SETS = "doc_id long, n long, s1 long, s2 long, block int, counts binary"
-GRAMS = "token long, s1 long, s2 long, n int, pos int, center boolean"
+GRAMS = "token long, s1 long, x long"
+#: Of x: the upper bits of s2, whether the set may be a center, and the place (all ones for a subset).
+X_CENTER, X_PLACE = 24, (1 << 24) - 1
+#: Sets up to so many are picked from the texts by a broadcast of their ids (8 bytes each), more by a shuffle.
+MOST_SENT = 1_000_000
 ARRAYS = "doc_id long, s1 long, s2 long, shingles array<long>"
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -145,13 +149,18 @@ def _grams(batches: Iterator[pa.RecordBatch], level: np.ndarray, light: int, wid
 
     Heavy: its first members in the order rare before frequent, each the key of an inverted list, with the
     place in that order. Light: all subsets of the size that a link with a set of each size needs; the
-    sets that share one link. ``pos`` is -1 then, and ``center`` tells the smaller of the two sizes.
+    sets that share one link, and the smaller of the two sizes may be the center.
     """
     low = -(-least * (light + 1) // 100)
-    names = [c.split()[0] for c in GRAMS.split(", ")]
     for batch in batches:
         for _, sets in shingle_sets(batch.column("text"), width):
-            keys, n_of, pos, sig, center = [], [], [], [], []
+            keys, s1, x = [], [], []
+
+            def add(found: np.ndarray, s: tuple[int, int], center: bool, place) -> None:
+                keys.append(found.view(np.int64))
+                s1.append(np.full(len(found), s[0]))
+                x.append(np.full(len(found), (s[1] >> 25 << 25) | center << X_CENTER) | place)
+
             for members in sets:
                 n = len(members)
                 if not n:
@@ -160,32 +169,18 @@ def _grams(batches: Iterator[pa.RecordBatch], level: np.ndarray, light: int, wid
                 if n >= low:
                     p = prefix(n, least)
                     order = (level[_cell(members)].astype(np.uint64) << np.uint64(56)) | (members >> np.uint64(8))
-                    keys.append(np.sort(np.partition(order, p - 1)[:p] if p < n else order))
-                    pos.append(np.arange(p, dtype=np.int32))
-                    sig.append(s), n_of.append(n), center.append(True)
+                    first = np.sort(np.partition(order, p - 1)[:p] if p < n else order)
+                    add(first, s, True, np.minimum(np.arange(p), X_PLACE - 1))
                 if n <= light:
                     for m in partners(n, least):
                         a, b = min(n, m), max(n, m)
                         rows = np.array(list(combinations(members.tolist(), least_overlap(a, b, least))), np.uint64)
                         shape = mix(np.array([a << 32 | b], np.uint64))
                         got = mix(mix(rows + shape).sum(axis=1, dtype=np.uint64))
-                        keys.append(got | np.uint64(1 << 63))
-                        pos.append(np.full(len(got), -1, np.int32))
-                        sig.append(s), n_of.append(n), center.append(n == a)
-            if not keys:
-                continue
-            size = [len(k) for k in keys]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(keys).view(np.int64)),
-                    pa.array(np.repeat(np.array([s[0] for s in sig]), size)),
-                    pa.array(np.repeat(np.array([s[1] for s in sig]), size)),
-                    pa.array(np.repeat(np.array(n_of, np.int32), size)),
-                    pa.array(np.concatenate(pos)),
-                    pa.array(np.repeat(np.array(center), size)),
-                ],
-                names,
-            )
+                        add(got | np.uint64(1 << 63), s, n == a, X_PLACE)
+            if keys:
+                arrays = [pa.array(np.concatenate(c)) for c in (keys, s1, x)]
+                yield pa.RecordBatch.from_arrays(arrays, ["token", "s1", "x"])
 
 
 def _arrays(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -232,24 +227,34 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     light = boundary({r[0]: r[1] for r in some}, counts, least)
     level = spark.sparkContext.broadcast(np.minimum(127, np.floor(2 * np.log2(counts.astype(float) + 1))).astype(np.uint8))
 
-    nodes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))
+    nodes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(
+        F.min("doc_id").alias("node"), F.max("n").alias("n")
+    )
     nodes = stored(nodes, "nodes")
     grams = rows.mapInArrow(lambda it: _grams(it, level.value, light, width, least), GRAMS)
     by_list = Window.partitionBy("token")
     shared = (
-        grams.withColumn("low", F.min(F.struct("s1", "s2")).over(by_list))
-        .withColumn("high", F.max(F.struct("s1", "s2")).over(by_list))
+        grams.withColumn("low", F.min("s1").over(by_list))
+        .withColumn("high", F.max("s1").over(by_list))
         .where("low <> high")
-        .select("token", "s1", "s2", "n", "pos", "center")
+        .select("token", "s1", "x")
         .distinct()
     )
-    lists = stored(shared.join(nodes, ["s1", "s2"]).select("token", "node", "n", "pos", "center"), "lists")
+    place = F.col("x").bitwiseAND(X_PLACE)
+    lists = shared.join(nodes, (shared["s1"] == nodes["s1"]) & (F.shiftright("x", 25) == F.shiftright("s2", 25)))
+    lists = lists.select(
+        "token",
+        "node",
+        "n",
+        F.when(place < X_PLACE, place).otherwise(-1).cast("int").alias("pos"),
+        (F.shiftright("x", X_CENTER).bitwiseAND(1) == 1).alias("center"),
+    )
+    lists = stored(lists, "lists")
 
     heavy, subsets = lists.where("pos >= 0"), lists.where("pos < 0")
     hub = F.min(F.when(F.col("center"), F.col("node"))).over(by_list)
     exact = subsets.withColumn("other", hub).where("other <> node").select(F.col("node").alias("a"), F.col("other").alias("b"))
 
-    sets_of = _sets_of(rows, heavy.select("node").distinct(), nodes, width)
     in_order = Window.partitionBy("token").orderBy("n", "node")
     me = F.struct("node", "n", "pos")
     pairs = (
@@ -260,7 +265,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
         .where("other.node <> node")
         .select("me", "other")
     )
-    found = _compared(_possible(pairs, light, least), sets_of, least)
+    found = _compared(rows, _possible(pairs, light, least), nodes, width, least)
     links = stored(exact.union(found.select("a", "b")), "links")
     label = stored(components(links, "a", "b"), "labels")
 
@@ -273,7 +278,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     left = open_lists.select("token", "label", "me")
     right = open_lists.select("token", F.col("label").alias("label2"), F.col("me").alias("other"))
     across = left.join(right, "token").where("label <> label2 AND me.node > other.node").select("me", "other")
-    more = _compared(_possible(across, light, least), sets_of, least)
+    more = _compared(rows, _possible(across, light, least), nodes, width, least)
     label = stored(components(links.union(more.select("a", "b")), "a", "b"), "labels")
 
     by_class = nodes.join(label, "node", "left").select("s1", "s2", F.coalesce("label", "node").alias("component"))
@@ -296,15 +301,19 @@ def _possible(pairs: DataFrame, light: int, least: int) -> DataFrame:
 
 
 def _sets_of(rows: DataFrame, wanted: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of the wanted nodes, from their texts."""
-    named = wanted.join(nodes, "node")
-    texts = rows.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    """(node, shingles) of the wanted nodes, made anew from their texts."""
+    named = stored(wanted.join(nodes, "node").select("node", "s1", "s2"), "wanted")
+    side = F.broadcast(named) if named.count() <= MOST_SENT else named
+    texts = rows.join(side.select(F.col("node").alias("doc_id")), "doc_id")
     arrays = texts.mapInArrow(lambda it: _arrays(it, width), ARRAYS).withColumnRenamed("doc_id", "node")
-    return stored(arrays.join(named, ["node", "s1", "s2"]).select("node", "shingles").dropDuplicates(["node"]), "shingles")
+    return stored(arrays.join(side, ["node", "s1", "s2"]).select("node", "shingles").dropDuplicates(["node"]), "shingles")
 
 
-def _compared(pairs: DataFrame, sets_of: DataFrame, least: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+def _compared(rows: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, least: int) -> DataFrame:
+    """The pairs whose whole sets are similar enough. Only the sets of nodes in a pair are looked up."""
+    pairs = stored(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets_of = _sets_of(rows, wanted, nodes, width)
     a = sets_of.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     b = sets_of.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
