@@ -15,8 +15,10 @@ from hirelake.llm.common import Hashes, components, documents, lowered, mix, sto
 
 #: Words of a shingle, and the least similarity in hundredths.
 WIDTH, LEAST = 5, 80
-#: Cells of the table of shingle counts (a fixed size, whatever the corpus), and of one row of it.
-CELLS, BLOCK = 1 << 20, 1 << 12
+#: Cells of the table of shingle counts: so many a document, within these bounds; and cells of one row of it.
+CELLS_PER_DOC, LEAST_CELLS, MOST_CELLS, BLOCK = 16, 1 << 18, 1 << 26, 1 << 12
+#: Rounds in which each node meets one node of another component before what is left is compared in full.
+ROUNDS = 2
 #: Sets up to this size may be light.
 MOST_LIGHT = 20
 
@@ -71,26 +73,26 @@ def signature(members: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-def _cell(members: np.ndarray) -> np.ndarray:
-    return (members >> np.uint64(13)).astype(np.int64) & (CELLS - 1)
+def _cell(members: np.ndarray, cells: int) -> np.ndarray:
+    return (members >> np.uint64(13)).astype(np.int64) & (cells - 1)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int, cells: int) -> Iterator[pa.RecordBatch]:
     """Size and signature of each text, and at the end this task's table of shingle counts."""
     names = [c.split()[0] for c in SETS.split(", ")]
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-    counts = np.zeros(CELLS, np.uint32)
+    counts = np.zeros(cells, np.uint32)
     for batch in batches:
         ids, sizes, s1, s2 = batch.column("doc_id").to_pylist(), [], [], []
         for _, sets in shingle_sets(batch.column("text"), width):
             for members in sets:
                 a, b = signature(members) if len(members) else (0, 0)
                 sizes.append(len(members)), s1.append(a), s2.append(b)
-            counts += np.bincount(_cell(np.concatenate(sets)), minlength=CELLS).astype(np.uint32)
+            np.add.at(counts, _cell(np.concatenate(sets), cells), np.uint32(1))
         n = len(ids)
         columns = (ids, sizes, s1, s2, [None] * n, [None] * n)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-    used = [b for b in range(CELLS // BLOCK) if counts[b * BLOCK : (b + 1) * BLOCK].any()]
+    used = [b for b in range(cells // BLOCK) if counts[b * BLOCK : (b + 1) * BLOCK].any()]
     rows = [counts[b * BLOCK : (b + 1) * BLOCK].tobytes() for b in used]
     none = [None] * len(used)
     columns = (none, none, none, none, used, rows)
@@ -103,18 +105,24 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
             sums.setdefault(block, np.zeros(BLOCK, np.uint64))
             sums[block] += np.frombuffer(counts, np.uint32)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["block", "counts"]
-    )
+    for block, counts in sums.items():
+        level = np.minimum(127, np.floor(2 * np.log2(counts.astype(float) + 1))).astype(np.uint8)
+        row = ([block], [float(counts.sum())], [float((counts.astype(float) ** 2).sum())], [level.tobytes()])
+        yield pa.RecordBatch.from_pydict(dict(zip(("block", "total", "squares", "levels"), row, strict=True)), MERGED)
+
+
+MERGED = pa.schema([("block", pa.int32()), ("total", pa.float64()), ("squares", pa.float64()), ("levels", pa.binary())])
 
 
-def _shingle_counts(blocks: DataFrame) -> np.ndarray:
-    """The tasks' tables added up; CELLS numbers come to the driver."""
-    table = np.zeros(CELLS, np.uint64)
-    merged = blocks.repartition("block").mapInArrow(_merge, "block int, counts binary")
-    for block, counts in merged.collect():
-        table[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(counts, np.uint64)
-    return table
+def _shingle_levels(blocks: DataFrame, cells: int) -> tuple[np.ndarray, float]:
+    """The tasks' tables added up: twice the logarithm of each cell's count (MOST_CELLS bytes at most come to
+    the driver), and the mean length of the list that a shingle is on, over all places of shingles."""
+    table, total, squares = np.zeros(cells, np.uint8), 0.0, 0.0
+    merged = blocks.repartition("block").mapInArrow(_merge, "block int, total double, squares double, levels binary")
+    for block, t, q, levels in merged.collect():
+        table[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(levels, np.uint8)
+        total, squares = total + t, squares + q
+    return table, 1.0 + max(0.0, squares / max(total, 1.0) - total / cells)
 
 
 def subsets_of(n: int, least: int) -> int:
@@ -126,14 +134,12 @@ def partners(n: int, least: int) -> list[int]:
     return [m for m in range(-(-least * n // 100), 100 * n // least + 1) if least_overlap(n, m, least) <= min(n, m)]
 
 
-def boundary(histogram: dict[int, int], counts: np.ndarray, least: int) -> int:
+def boundary(histogram: dict[int, int], scan: float, least: int) -> int:
     """The size up to which sets are light, by rows: a light set's subsets against a heavy one's scans.
 
-    A scan of an inverted list is as long as a list of the size-biased mean length; the sets just below the
-    boundary are scanned as well, as partners of those above.
+    ``scan`` is the mean length of a list; the sets just below the boundary are scanned as well, as partners
+    of those above.
     """
-    total = float(counts.sum())
-    scan = 1.0 + float((counts.astype(float) ** 2).sum() / max(total, 1.0) - total / CELLS)
     best, cost = 0, np.inf
     for x in range(MOST_LIGHT + 1):
         low = -(-least * (x + 1) // 100)
@@ -168,7 +174,7 @@ def _grams(batches: Iterator[pa.RecordBatch], level: np.ndarray, light: int, wid
                 s = signature(members)
                 if n >= low:
                     p = prefix(n, least)
-                    order = (level[_cell(members)].astype(np.uint64) << np.uint64(56)) | (members >> np.uint64(8))
+                    order = (level[_cell(members, len(level))].astype(np.uint64) << np.uint64(56)) | (members >> np.uint64(8))
                     first = np.sort(np.partition(order, p - 1)[:p] if p < n else order)
                     add(first, s, True, np.minimum(np.arange(p), X_PLACE - 1))
                 if n <= light:
@@ -209,8 +215,9 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     keys are each set's rarest members, by a fixed-size table of counts of all shingles.
 
     A list of m nodes is not written out as pairs. Each node is compared with the first and with the one
-    before it in the list, ordered by size; the links found give components; then only pairs of nodes that
-    share a list and are in different components still are compared. Every pair that can link is thus
+    before it in the list, ordered by size; the links found give components. ROUNDS times each node is then
+    compared with a node of another component in its list, and in the end only pairs of nodes that share a
+    list and are in different components still are. Every pair that can link is thus
     compared or already in one component: the result is exact. Sizes and places in the order rule out pairs
     that cannot reach the overlap; all others are compared on their whole sets.
 
@@ -220,12 +227,14 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    first = stored(rows.mapInArrow(lambda it: _sets(it, width), SETS), "sets")
+    cells = 1 << max(1, rows.count() * CELLS_PER_DOC).bit_length()
+    cells = min(MOST_CELLS, max(LEAST_CELLS, cells))
+    first = stored(rows.mapInArrow(lambda it: _sets(it, width, cells), SETS), "sets")
     sets = first.where("block IS NULL").select("doc_id", "n", "s1", "s2")
-    counts = _shingle_counts(first.where("block IS NOT NULL").select("block", "counts"))
+    levels, scan = _shingle_levels(first.where("block IS NOT NULL").select("block", "counts"), cells)
     some = sets.where(F.col("n").between(1, 2 * MOST_LIGHT)).groupBy("n").count().collect()
-    light = boundary({r[0]: r[1] for r in some}, counts, least)
-    level = spark.sparkContext.broadcast(np.minimum(127, np.floor(2 * np.log2(counts.astype(float) + 1))).astype(np.uint8))
+    light = boundary({r[0]: r[1] for r in some}, scan, least)
+    level = spark.sparkContext.broadcast(levels)  # MOST_CELLS bytes at most
 
     nodes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(
         F.min("doc_id").alias("node"), F.max("n").alias("n")
@@ -273,10 +282,26 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     def labelled(df: DataFrame) -> DataFrame:
         return df.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-    open_lists = labelled(heavy).withColumn("l", F.min("label").over(by_list)).withColumn("h", F.max("label").over(by_list))
-    open_lists = stored(open_lists.where("l <> h").select("token", "label", me.alias("me")), "open")
-    left = open_lists.select("token", "label", "me")
-    right = open_lists.select("token", F.col("label").alias("label2"), F.col("me").alias("other"))
+    def open_lists() -> DataFrame:
+        rows = labelled(heavy).withColumn("l", F.min("label").over(by_list)).withColumn("h", F.max("label").over(by_list))
+        return stored(rows.where("l <> h").select("token", "label", "node", "n", me.alias("me")), "open")
+
+    here = open_lists()
+    for turn in range(ROUNDS):  # other orders: each node and the last one before it of another component
+        shuffled = Window.partitionBy("token").orderBy(F.xxhash64("label", F.lit(turn)), F.xxhash64("node", F.lit(turn)))
+        step = F.lag(F.struct("label", "me")).over(shuffled)
+        head = F.first(F.struct("label", "me")).over(shuffled)
+        met = here.withColumn("step", step).withColumn("head", head)
+        met = met.withColumn("other", F.explode(F.array("step", "head"))).where("other.label <> label")
+        more = _compared(rows, _possible(met.select("me", F.col("other.me").alias("other")), light, least), nodes, width, least)
+        grown = stored(links.union(more.select("a", "b")), "links")
+        if grown.count() == links.count():
+            break
+        links = grown
+        label = stored(components(links, "a", "b"), "labels")
+        here = open_lists()
+    left = here.select("token", "label", "me")
+    right = here.select("token", F.col("label").alias("label2"), F.col("me").alias("other"))
     across = left.join(right, "token").where("label <> label2 AND me.node > other.node").select("me", "other")
     more = _compared(rows, _possible(across, light, least), nodes, width, least)
     label = stored(components(links.union(more.select("a", "b")), "a", "b"), "labels")
