@@ -13,6 +13,8 @@ from hirelake.llm.common import documents
 TOKENIZER = "byte_bpe_50k.tiktoken"
 #: Pre-tokens of a leaf, and pre-tokens whose counts a worker remembers (a bound on memory only).
 LEAF, REMEMBERED = 64, 400_000
+#: Characters behind a pre-token that its end can depend on.
+CONTEXT = 2
 RESULT = (
     "doc_id long, n_tokens long, n_pretokens long, n_edits int, edited_chars long, edited_tokens long, reencoded long"
 )
@@ -52,9 +54,10 @@ def counter(name: str):
 class CountTree:
     """The pre-tokens of a text in leaves, under a tree of sums of characters and tokens.
 
-    Whether a pre-token ends where it does depends on its own characters and the next one only. So an edit
-    leaves all pre-tokens alone that end before it; cutting starts anew at the first other one and stops as
-    soon as, behind the edit, it meets an old boundary, from where on nothing changes.
+    Whether a pre-token ends where it does depends on its own characters and the CONTEXT next ones (a blank
+    before a word, an apostrophe before "re"). So an edit leaves all pre-tokens alone that end further before
+    it; cutting starts anew at the first other one and stops as soon as, behind the edit, it meets an old
+    boundary, from where on nothing changes.
     """
 
     def __init__(self, text: str, tokenizer: str = TOKENIZER):
@@ -100,17 +103,18 @@ class CountTree:
         end = min(at + max(drop, 0), total)
         if at == end and not put:
             return
-        first, start = self._leaf(at)
-        head, begin = [], start  # what stays of the first leaf: pre-tokens that end before the edit
+        safe = at - CONTEXT + 1
+        first, start = self._leaf(safe)
+        head, begin = [], start  # what stays of the first leaf
         for part in self.leaves[first]:
-            if begin + len(part) >= at:
+            if begin + len(part) >= safe:
                 break
             head.append(part)
             begin += len(part)
         old = self.leaves[first][len(head) :]
         last, stop = first, start + self.chars[self.size + first]
         while True:
-            while stop < end + 1 and last + 1 < len(self.leaves):  # one character of context behind the edit
+            while stop < end + CONTEXT and last + 1 < len(self.leaves):
                 last += 1
                 old = old + self.leaves[last]
                 stop += self.chars[self.size + last]
@@ -124,7 +128,8 @@ class CountTree:
             new, done, meets = [], 0, None
             for match in self.pattern.finditer(text):
                 here = begin + match.start() - shift
-                if match.start() >= at - begin + len(put) and here in bounds and here >= end:
+                sure = last + 1 == len(self.leaves) or match.start() + CONTEXT <= len(text)
+                if sure and match.start() >= at - begin + len(put) and here in bounds and here >= end:
                     meets = bounds[here]
                     break
                 new.append(match[0])
