@@ -150,8 +150,8 @@ def level_from_years(level: Column | str, years: Column | str) -> Column:
     return F.when(level == S.UNKNOWN, guess).otherwise(level)
 
 
-def known_skills(limit: int = S.MAX_SKILLS) -> Column:
-    """Canonical names of the built-in skills, by first appearance, at most ``limit``.
+def known_skills(limit: int | None = None) -> Column:
+    """Canonical names of the built-in skills, by first appearance, all or at most ``limit``.
 
     The vocabulary is a literal, so no join and no shuffle; table-sized dictionaries go through
     ``operators.contract.skills_from_dictionary``.
@@ -160,14 +160,15 @@ def known_skills(limit: int = S.MAX_SKILLS) -> Column:
     found = F.regexp_extract_all("__low", F.lit(f"({SKILL_TOKEN})"), 1)
     hits = F.array_distinct(F.filter(found, lambda w: w.isin(*canonical)))
     names = F.create_map(*[F.lit(x) for x in chain.from_iterable(canonical.items())])
-    return F.slice(F.array_distinct(F.transform(hits, lambda a: names[a])), 1, limit)
+    found = F.array_distinct(F.transform(hits, lambda a: names[a]))
+    return found if limit is None else F.slice(found, 1, limit)
 
 
 def record() -> Column:
     """The whole extraction record of a prepared row as one struct."""
     return F.struct(
         min_years().alias("min_years_of_experience"),
-        known_skills().alias("core_tech_stack"),
+        known_skills(S.MAX_SKILLS).alias("core_tech_stack"),
         english_level().alias("english_requirement"),
         job_role().alias("job_role"),
         level_from_years(stated_level(), min_years()).alias("job_level"),

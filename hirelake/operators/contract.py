@@ -22,8 +22,18 @@ def extract_with(jobs: DataFrame, extractor: Extractor, retries: int = 2) -> Dat
     """Run a model over the jobs: adds ``record``, NULL where it failed.
 
     The model is loaded once per worker and sees Arrow batches. Rows without a record are tried
-    again, ``retries`` times at most. The job columns pass through, so nothing is joined back.
+    again, ``retries`` times at most. If the model raises, the rows of that batch are tried one by one, and
+    a row that raises by itself has no record. The job columns pass through, so nothing is joined back.
     """
+
+    def attempt(model, rows: pd.DataFrame) -> list[tuple]:
+        try:
+            return list(zip(rows.index, model(rows), strict=True))
+        except Exception:
+            if len(rows) == 1:
+                return [(rows.index[0], None)]
+            return [pair for i in range(len(rows)) for pair in attempt(model, rows.iloc[i : i + 1])]
+
     out = T.StructType([*jobs.schema.fields, T.StructField("record", S.EXTRACTION)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -34,7 +44,7 @@ def extract_with(jobs: DataFrame, extractor: Extractor, retries: int = 2) -> Dat
             for _ in range(retries + 1):
                 if todo.empty:
                     break
-                for i, r in zip(todo.index, model(todo[["job_id", "job_title", "job_description"]])):
+                for i, r in attempt(model, todo[["job_id", "job_title", "job_description"]]):
                     records[i] = r
                 todo = batch[[r is None for r in records]]
             yield batch.assign(record=pd.Series(records, dtype=object))
@@ -105,9 +115,9 @@ def contract_counts(records: DataFrame) -> DataFrame:
 
 
 def skills_from_dictionary(
-    docs: DataFrame, dictionary: DataFrame, key: str, body: str, limit: int = S.MAX_SKILLS
+    docs: DataFrame, dictionary: DataFrame, key: str, body: str, limit: int | None = None
 ) -> DataFrame:
-    """Up to ``limit`` canonical skills per document, in order of first appearance.
+    """The canonical skills of each document, all or the first ``limit``, in order of first appearance.
 
     ``dictionary`` is (alias, canonical). Tokens are reduced to one row per (document, token) inside
     the row before anything is shuffled; Spark broadcasts the dictionary only below its size
@@ -122,9 +132,10 @@ def skills_from_dictionary(
     first = hits.select(key, "pos", "canonical").unionByName(blank).groupBy(key, "canonical").agg(F.min("pos").alias("pos"))
     order = [F.col("pos").asc_nulls_last(), F.col("canonical").asc_nulls_last()]
     found = F.when(F.col("canonical").isNotNull(), F.struct("pos", "canonical"))
+    if limit is not None:
+        first = top_per_key(first, [key], order, limit)
     return (
-        top_per_key(first, [key], order, limit)
-        .groupBy(key)
+        first.groupBy(key)
         .agg(F.array_sort(F.collect_list(found)).alias("l"))
         .select(key, F.col("l.canonical").alias("skills"))
     )

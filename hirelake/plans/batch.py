@@ -187,11 +187,14 @@ def run_batch(
     )
     v_records = store.write("records", extract_step(pending, extractor))
     records = store.read("records", RECORDS, v_records)
-    v_silver = store.write("silver", silver_step(silver, jobs, records, as_of, new_cards if crawl_is_complete else None))
 
+    def one_row_a_job(rows: DataFrame) -> None:
+        if not state.duplicate_keys(rows, ["job_id"]).isEmpty():
+            raise ValueError("the new silver version holds a job_id twice")
+
+    after = silver_step(silver, jobs, records, as_of, new_cards if crawl_is_complete else None)
+    v_silver = store.write("silver", after, one_row_a_job)
     now = store.read("silver", S.SILVER, v_silver)
-    if not state.duplicate_keys(now, ["job_id"]).isEmpty():
-        raise ValueError(f"silver version {v_silver} holds a job_id twice")
     marts = {
         "gold_skill_counts": gold.skill_counts(now, keyed=True),
         "gold_role_summary": gold.role_summary(now),

@@ -345,7 +345,7 @@ def q36_infer_level(t: Testbed) -> DataFrame:
 @query
 def q37_skill_dictionary(t: Testbed) -> DataFrame:
     words = t.table("benchmark").select(F.explode(F.array_distinct(text.tokens("text"))).alias("alias"))
-    words = words.where(F.length("alias") >= 6).select("alias", F.upper("alias").alias("canonical"))
+    words = words.select("alias", F.upper("alias").alias("canonical"))
     found = contract.skills_from_dictionary(t.doc_silver(split=True), words, "doc_id", "text")
     return found.select("doc_id", F.array_join("skills", ", ").alias("skills"), F.size("skills").alias("n_skills"))
 
@@ -434,7 +434,7 @@ def q45_rrf(t: Testbed) -> DataFrame:
 def _ranked(t: Testbed, *carry: str) -> tuple[search.Queries, DataFrame]:
     q = _candidates(t)
     ranked = search.rerank(
-        _fused(t, q), q, _corpus(t, split=True), depth=30, n=10, dedupe=["title", "source"], carry=list(carry)
+        _fused(t, q), q, _corpus(t, split=True), depth=30, n=10, dedupe=["text"], carry=list(carry)
     )
     return q, ranked
 

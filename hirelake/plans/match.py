@@ -65,7 +65,7 @@ def match(
     )
     fused = search.fuse(search.top_k(q, corpus, k=k), k)
     ranked = search.rerank(
-        fused, q, corpus, k, n, scorer, dedupe=["title", "source"], carry=["page_content", "metadata"]
+        fused, q, corpus, k, n, scorer, dedupe=["page_content"], carry=["page_content", "metadata"]
     )
     hits = q.hint(ranked.select("qid", "rank", F.col("metadata.job_id").alias("job_id")), n)
     needed = silver.select("job_id", text.json_list("ai_core_tech_stack").alias("required")).join(hits, "job_id")

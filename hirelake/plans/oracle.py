@@ -196,12 +196,12 @@ FUSED = """fused0 AS (SELECT qid, id, round(sum(1.0::DOUBLE / (2.0 + rank - 1)),
   FROM (SELECT qid, id, rank FROM dense UNION ALL SELECT qid, id, rank FROM sparse) GROUP BY ALL),
 fused AS (SELECT qid, id, rrf, CAST(row_number() OVER (PARTITION BY qid ORDER BY rrf DESC, id) AS INTEGER) AS rank
   FROM fused0 QUALIFY rank <= 30)"""
-RANKED = f"""pairs AS (SELECT f.qid, f.id, d.job_title AS title, d.source,
+RANKED = f"""pairs AS (SELECT f.qid, f.id, d.job_title AS title, d.source, d.text,
     list_distinct({TOKENS.format(x='c.text')}) AS qt, list_distinct({TOKENS.format(x='d.text')}) AS dt_
   FROM fused f JOIN docs d ON d.doc_id = f.id JOIN candidates c ON c.qid = f.qid),
 scored AS (SELECT qid, id, title, source,
   round(CASE WHEN len(qt) > 0 THEN len(list_intersect(qt, dt_)) / CAST(len(qt) AS DOUBLE) ELSE 0.0 END, 6) AS rerank
-  FROM pairs QUALIFY row_number() OVER (PARTITION BY qid, title, source ORDER BY rerank DESC, id) = 1),
+  FROM pairs QUALIFY row_number() OVER (PARTITION BY qid, text ORDER BY rerank DESC, id) = 1),
 ranked AS (SELECT qid, id, rerank, CAST(row_number() OVER (PARTITION BY qid ORDER BY rerank DESC, id) AS INTEGER) AS rank
   FROM scored QUALIFY rank <= 10)"""
 SEARCH = f"{DOCS}, {CANDIDATES}, {SPARSE}, {DENSE}, {FUSED}"
@@ -404,12 +404,11 @@ SELECT job_id, {_infer('job_level', 'min_years_of_experience')} AS job_level,
   coalesce(job_level IN {_in(S.JOB_LEVELS)}, false) AS level_in_contract FROM silver"""
     out["q37_skill_dictionary"] = f"""WITH d AS (SELECT DISTINCT unnest({TOKENS.format(x='text')}) AS alias FROM benchmark),
 -- the full Unicode mapping of sharp s is SS
-dict AS (SELECT alias, upper(replace(alias, 'ß', 'ss')) AS canonical FROM d WHERE length(alias) >= 6),
+dict AS (SELECT alias, upper(replace(alias, 'ß', 'ss')) AS canonical FROM d),
 w AS (SELECT doc_id, unnest(ws) AS alias, unnest(range(len(ws))) AS pos
   FROM (SELECT doc_id, {TOKENS.format(x='text')} AS ws FROM documents)),
-f AS (SELECT doc_id, canonical, min(pos) AS pos FROM w JOIN dict USING (alias) GROUP BY doc_id, canonical
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY min(pos), canonical) <= 5),
-g AS (SELECT doc_id, string_agg(canonical, ', ' ORDER BY pos) AS skills, CAST(count(*) AS INTEGER) AS n FROM f GROUP BY doc_id)
+f AS (SELECT doc_id, canonical, min(pos) AS pos FROM w JOIN dict USING (alias) GROUP BY doc_id, canonical),
+g AS (SELECT doc_id, string_agg(canonical, ', ' ORDER BY pos, canonical) AS skills, CAST(count(*) AS INTEGER) AS n FROM f GROUP BY doc_id)
 SELECT doc_id, coalesce(skills, '') AS skills, coalesce(n, 0) AS n_skills FROM documents LEFT JOIN g USING (doc_id)"""
 
     day = f"CAST({INDEX_DAY} AS DATE)"

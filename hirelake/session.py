@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -23,12 +21,3 @@ def local_session(app: str = "hirelake", cores: int | str = "*", shuffle_partiti
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a session without the setting (a test on one machine) gets a local folder.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    return path or tempfile.mkdtemp(prefix="hirelake-")

@@ -163,7 +163,7 @@ def cards(pages: DataFrame, rules: CardRules, keep: tuple[str, ...] = ()) -> Dat
     link = F.col("link")
     as_is = link.startswith("http") if rules.prefix_empty_link else (link == "") | link.startswith("http")
     core = text.url_core(F.when(as_is, link).otherwise(F.concat(host, link)))
-    error_id = F.concat(F.lit("error_url_"), F.xxhash64("page_id", "card_idx").cast("string"))
+    error_id = F.concat(F.lit("error_url_"), F.xxhash64("url", "page_id", "card_idx", *keep).cast("string"))
     url = F.when(bad, error_id).otherwise(core)
     stack = F.lit(rules.tech_stack) if rules.tech_stack else F.array_join("tags", ", ")
     return found.select(
@@ -216,17 +216,15 @@ def job_descriptions(
     status: str | None = None,
     bad_status_text: str | None = None,
     check_blocked: bool = True,
-    max_chars: int | None = None,
 ) -> DataFrame:
     """(page_id, job_description): the first rule that matches, else a sentinel.
 
     Blocked pages give 'Connection error' where ``check_blocked``; a non-200 ``status`` column gives
-    ``bad_status_text`` or 'Error <code>'. The text is whole unless ``max_chars`` is asked for.
+    ``bad_status_text`` or 'Error <code>'.
     """
     cols = ["page_id", "html"] + ([status] if status else [])
     d = pages.select(*cols, _detail_udf(rules)("html").alias("d"))
-    jd = F.substring("d.jd", 1, max_chars) if max_chars else F.col("d.jd")
-    out = F.coalesce(jd, F.lit(S.JD_NOT_FOUND))
+    out = F.coalesce("d.jd", F.lit(S.JD_NOT_FOUND))
     if check_blocked:
         refused = F.col("html").contains("Access denied") | F.col("d.title").contains("Cloudflare")
         out = F.when(refused, S.JD_CONNECTION_ERROR).otherwise(out)

@@ -8,6 +8,10 @@ pin their versions when they start.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -52,9 +56,27 @@ class Snapshots:
         base = f"{self.root}/{table}"
         return self.spark.read.schema(full).option("basePath", base).parquet(*[f"{base}/v={v}" for v in done])
 
-    def write(self, table: str, df: DataFrame) -> int:
-        """Write the next version, a snapshot or a batch of new rows, and return its number."""
+    def write(self, table: str, df: DataFrame, check: Callable[[DataFrame], None] | None = None) -> int:
+        """Write the next version, a snapshot or a batch of new rows, and return its number.
+
+        The rows go to a staging folder first; ``check`` sees them there and may raise, which leaves the
+        table as it was. The number is then claimed by creating a file that must not exist, so of two
+        writers that started from one version the second fails and overwrites nothing.
+        """
         done = self.versions(table)
         version = done[-1] + 1 if done else 1
-        df.write.mode("overwrite").parquet(f"{self.root}/{table}/v={version}")
+        base = f"{self.root}/{table}"
+        staging = f"{base}/_staging-{uuid.uuid4().hex}"
+        df.write.parquet(staging)
+        if check:
+            check(self.spark.read.schema(df.schema).parquet(staging))
+        fs, claim = self._fs(f"{base}/_claim-{version}")
+        try:
+            claimed = fs.createNewFile(claim)
+        except Py4JJavaError:  # some stores raise instead
+            claimed = False
+        if not claimed:
+            raise RuntimeError(f"version {version} of {table} is taken by another writer")
+        if not fs.rename(self._fs(staging)[1], self._fs(f"{base}/v={version}")[1]):
+            raise RuntimeError(f"version {version} of {table} could not be committed")
         return version

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from hirelake import schemas as S
 from hirelake.operators import state
-from hirelake.session import shared_dir
 from hirelake.sources.snapshots import Snapshots
 
 
@@ -35,7 +36,7 @@ def ingest(
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
     return (
         stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/bronze-ingest")
+        .option("checkpointLocation", checkpoint or f"{root}/_checkpoints/bronze-{crc32(folder.encode()):08x}")
         .trigger(availableNow=True)
         .start()
     )
