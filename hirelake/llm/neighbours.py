@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Neighbours, ratio of the radii of neighbouring rounds, and the chance of missing a near vector.
 K, RATIO, MISS = 10, 2.0, 0.05
+#: Share of a block that the windows of the first round are about to hold.
+FIRST = 0.05
 #: Vectors of a block, and bytes of queries that are sent to the tasks at a time.
 BLOCK, QUERY_BYTES = 8192, 16 << 20
 
@@ -54,7 +56,8 @@ class Block:
         spread = np.sort(values, axis=0)
         gaps = np.abs(np.diff(spread, axis=0))
         positive = gaps[gaps > 0]
-        self.unit = float(np.median(positive)) if len(positive) else 1.0  # the radius of the first round
+        gap = float(np.median(positive)) if len(positive) else 1.0
+        self.unit = gap * max(1.0, FIRST * len(ids) / self.width)  # the radius of the first round
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest found, with distances: windows around the query's projections widen round by round,
