@@ -62,7 +62,7 @@ class Block:
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest found, with distances: windows around the query's projections widen round by round,
         each round adding to the collision counts; what passes the threshold is measured. The search ends
-        when k measured vectors lie within the round's radius times the ratio, or all are measured."""
+        when k measured vectors lie within the round's radius, or all are measured."""
         n = len(self.ids)
         here = query @ self.axes
         counts = np.zeros(n, np.int32)
@@ -91,7 +91,7 @@ class Block:
             if len(new):
                 distance[new] = np.sqrt(((self.vectors[new] - query) ** 2).sum(axis=1))
                 measured[new] = True
-            near = int((distance <= RATIO * radius).sum())
+            near = int((distance <= radius).sum())
             if near >= k or measured.all():
                 break
             radius *= RATIO
