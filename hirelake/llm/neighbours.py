@@ -50,11 +50,10 @@ class Block:
         self.ids, self.vectors = ids[order], vectors[order]
         self.m, self.threshold, self.width = plan_hashes(len(ids))
         self.axes = directions(self.m, vectors.shape[1])
-        values = self.vectors @ self.axes
-        self.places = np.argsort(values, axis=0)
-        self.sorted = np.take_along_axis(values, self.places, axis=0)
-        spread = np.sort(values, axis=0)
-        gaps = np.abs(np.diff(spread, axis=0))
+        values = np.ascontiguousarray((self.vectors @ self.axes).T)  # a row for each projection
+        self.places = np.argsort(values, axis=1)
+        self.sorted = np.take_along_axis(values, self.places, axis=1)
+        gaps = np.diff(self.sorted, axis=1)
         positive = gaps[gaps > 0]
         gap = float(np.median(positive)) if len(positive) else 1.0
         self.unit = gap * max(1.0, FIRST * len(ids) / self.width)  # the radius of the first round
@@ -65,28 +64,28 @@ class Block:
         when k measured vectors lie within the round's radius, or all are measured."""
         n = len(self.ids)
         here = query @ self.axes
-        counts = np.zeros(n, np.int32)
+        counts = np.zeros(n, np.int64)
         measured = np.zeros(n, bool)
         distance = np.full(n, np.inf)
         out = self.ids == own
         measured[out] = True
-        left = right = None
         radius = self.unit
-        columns = range(self.m)
-        mid = np.array([np.searchsorted(self.sorted[:, j], here[j]) for j in columns])
-        left, right = mid.copy(), mid.copy()
+        left = [int(row.searchsorted(x)) for row, x in zip(self.sorted, here, strict=True)]
+        right = left.copy()
         while True:
             half = self.width * radius / 2
-            for j in columns:
-                column = self.sorted[:, j]
-                a = int(np.searchsorted(column, here[j] - half, "left"))
-                b = int(np.searchsorted(column, here[j] + half, "right"))
-                if a < left[j]:
-                    counts[self.places[a : left[j], j]] += 1
-                    left[j] = a
-                if b > right[j]:
-                    counts[self.places[right[j] : b, j]] += 1
-                    right[j] = b
+            wider = []
+            for j, row in enumerate(self.sorted):
+                if left[j] > 0:
+                    a = int(row.searchsorted(here[j] - half, "left"))
+                    wider.append(self.places[j, a : left[j]])
+                    left[j] = min(a, left[j])
+                if right[j] < n:
+                    b = int(row.searchsorted(here[j] + half, "right"))
+                    wider.append(self.places[j, right[j] : b])
+                    right[j] = max(b, right[j])
+            if wider:
+                counts += np.bincount(np.concatenate(wider), minlength=n)
             new = np.flatnonzero((counts >= self.threshold) & ~measured)
             if len(new):
                 distance[new] = np.sqrt(((self.vectors[new] - query) ** 2).sum(axis=1))
