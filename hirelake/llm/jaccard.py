@@ -215,8 +215,9 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     keys are each set's rarest members, by a fixed-size table of counts of all shingles.
 
     A list of m nodes is not written out as pairs. Each node is compared with the first and with the one
-    before it in the list, ordered by size; the links found give components. ROUNDS times each node is then
-    compared with a node of another component in its list, and in the end only pairs of nodes that share a
+    before it in the list, ordered by place: the first has the fewest rarer members, so of a group of edited
+    copies it is nearest to all others. The links found give components. ROUNDS times each node is then
+    compared with nodes of other components in its list, and in the end only pairs of nodes that share a
     list and are in different components still are. Every pair that can link is thus
     compared or already in one component: the result is exact. Sizes and places in the order rule out pairs
     that cannot reach the overlap; all others are compared on their whole sets.
@@ -264,7 +265,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     hub = F.min(F.when(F.col("center"), F.col("node"))).over(by_list)
     exact = subsets.withColumn("other", hub).where("other <> node").select(F.col("node").alias("a"), F.col("other").alias("b"))
 
-    in_order = Window.partitionBy("token").orderBy("n", "node")
+    in_order = Window.partitionBy("token").orderBy("pos", "n", "node")
     me = F.struct("node", "n", "pos")
     pairs = (
         heavy.withColumn("me", me)
@@ -288,7 +289,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
 
     here = open_lists()
     for turn in range(ROUNDS):  # other orders: each node and the last one before it of another component
-        shuffled = Window.partitionBy("token").orderBy(F.xxhash64("label", F.lit(turn)), F.xxhash64("node", F.lit(turn)))
+        shuffled = Window.partitionBy("token").orderBy(F.xxhash64("label", F.lit(turn)), "me.pos", "n", "node")
         step = F.lag(F.struct("label", "me")).over(shuffled)
         head = F.first(F.struct("label", "me")).over(shuffled)
         met = here.withColumn("step", step).withColumn("head", head)
