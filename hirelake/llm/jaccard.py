@@ -218,7 +218,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     before it in the list, ordered by place: the first has the fewest rarer members, so of a group of edited
     copies it is nearest to all others. The links found give components. ROUNDS times each node is then
     compared with nodes of other components in its list, and in the end only pairs of nodes that share a
-    list and are in different components still are. Every pair that can link is thus
+    list, are in different components and were not compared before still are. Every pair that can link is thus
     compared or already in one component: the result is exact. Sizes and places in the order rule out pairs
     that cannot reach the overlap; all others are compared on their whole sets.
 
@@ -275,10 +275,14 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
         .where("other.node <> node")
         .select("me", "other")
     )
-    found = _compared(rows, _possible(pairs, light, least), nodes, width, least)
-    links = stored(exact.union(found.select("a", "b")), "links")
+    done = stored(_possible(pairs, light, least), "pairs")
+    links = stored(exact.union(_compared(rows, done, nodes, width, least)), "links")
     label = stored(components(links, "a", "b"), "labels")
 
+    def unseen(pairs: DataFrame) -> DataFrame:
+        """Of the pairs those that can link and were not compared in an earlier round."""
+        return stored(_possible(pairs, light, least).join(done, ["a", "b"], "left_anti"), "pairs")
+
     # Lists that still hold several components: their pairs across components that were not compared.
     def labelled(df: DataFrame) -> DataFrame:
         return df.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -294,8 +298,9 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
         head = F.first(F.struct("label", "me")).over(shuffled)
         met = here.withColumn("step", step).withColumn("head", head)
         met = met.withColumn("other", F.explode(F.array("step", "head"))).where("other.label <> label")
-        more = _compared(rows, _possible(met.select("me", F.col("other.me").alias("other")), light, least), nodes, width, least)
-        grown = stored(links.union(more.select("a", "b")), "links")
+        new = unseen(met.select("me", F.col("other.me").alias("other")))
+        grown = stored(links.union(_compared(rows, new, nodes, width, least)), "links")
+        done = done.union(new)
         if grown.count() == links.count():
             break
         links = grown
@@ -304,8 +309,8 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     left = here.select("token", "label", "me")
     right = here.select("token", F.col("label").alias("label2"), F.col("me").alias("other"))
     across = left.join(right, "token").where("label <> label2 AND me.node > other.node").select("me", "other")
-    more = _compared(rows, _possible(across, light, least), nodes, width, least)
-    label = stored(components(links.union(more.select("a", "b")), "a", "b"), "labels")
+    more = _compared(rows, unseen(across), nodes, width, least)
+    label = stored(components(links.union(more), "a", "b"), "labels")
 
     by_class = nodes.join(label, "node", "left").select("s1", "s2", F.coalesce("label", "node").alias("component"))
     own = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component"))
@@ -332,12 +337,15 @@ def _sets_of(rows: DataFrame, wanted: DataFrame, nodes: DataFrame, width: int) -
     side = F.broadcast(named) if named.count() <= MOST_SENT else named
     texts = rows.join(side.select(F.col("node").alias("doc_id")), "doc_id")
     arrays = texts.mapInArrow(lambda it: _arrays(it, width), ARRAYS).withColumnRenamed("doc_id", "node")
-    return stored(arrays.join(side, ["node", "s1", "s2"]).select("node", "shingles").dropDuplicates(["node"]), "shingles")
+    found = stored(arrays.join(side, ["node", "s1", "s2"]).select("node", "shingles"), "shingles")
+    rows_found, nodes_found = found.agg(F.count("*"), F.countDistinct("node")).first()
+    return found if rows_found == nodes_found else found.dropDuplicates(["node"])  # repeated rows of a doc_id
 
 
 def _compared(rows: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, least: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough. Only the sets of nodes in a pair are looked up."""
-    pairs = stored(pairs, "pairs")
+    """Of written pairs those whose whole sets are similar enough. Only the sets of nodes in a pair are looked up."""
+    if pairs.isEmpty():
+        return pairs
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets_of = _sets_of(rows, wanted, nodes, width)
     a = sets_of.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
