@@ -153,6 +153,26 @@ def test_classes_match_all_pairs(docs, empty):
     assert got == {(i, len(s), label[i]) for i, s in sets.items()}
 
 
+def test_group_of_edited_copies_matches_all_pairs(spark):
+    rng = np.random.default_rng(7)
+    base, texts = [f"w{i}" for i in range(150)], []
+    for i in range(120):
+        now = list(base)
+        for at in rng.choice(150, int(rng.integers(0, 7)), replace=False):
+            now[at] = f"own{i}x{at}"
+        texts.append(now)
+    sets = [{tuple(t[k : k + 5]) for k in range(146)} for t in texts]
+    label = list(range(120))
+    for i in range(120):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
+
+
 def test_small_sets_link_by_subsets(spark):
     words = [f"t{i}" for i in range(30)]
     rows = [(k * 100 + j, " ".join(words[j : j + k])) for k in range(5, 16) for j in range(4)]
