@@ -2,34 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm.common import documents, stored
 
 #: Sites from which on a line is boilerplate, and words that a line has at least to count.
 MIN_SITES, MIN_WORDS = 10, 3
+#: Rule of the pipeline: the sites from which on a line is boilerplate, by its least length in words.
+SITES_BY_WORDS = ((50, 2), (20, 3), (10, 5), (0, MIN_SITES))
+#: Bytes that count as one word, so that scripts without blanks have a length too.
+WORD_BYTES = 6
 #: log2 of the registers of a sketch; its relative error is about 1.04 / sqrt(2^LG_K).
 LG_K = 12
-#: An estimate within this share of MIN_SITES (and within 2) is counted exactly: over three standard errors.
+#: An estimate within this share of the threshold (and within 2) is counted exactly: over three standard errors.
 NEAR = 0.06
 
 LINES = "split(text, '\\n')"
 BLANK = " \t\x0b\x0c\r"
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """One row for each line that counts: d, x (the document), site, pos, and h, n for the trimmed line."""
+def _needed(line: str, steps: tuple[tuple[int, int], ...]) -> Column:
+    """The sites from which on ``line`` is boilerplate; ``steps``: (words, sites), the longest first."""
+    if len(steps) == 1:
+        return F.lit(steps[0][1])
+    words = F.greatest(F.size(F.split(line, r"\s+")), F.floor(F.octet_length(line) / WORD_BYTES))
+    out = F.lit(steps[-1][1])
+    for least, sites in reversed(steps[:-1]):
+        out = F.when(words >= least, sites).otherwise(out)
+    return out
+
+
+def _lines(docs: DataFrame, min_words: int, steps: tuple[tuple[int, int], ...]) -> DataFrame:
+    """One row for each line that counts: d, x (the document), site, pos, h, n for the trimmed line, need."""
     trimmed = F.btrim(F.col("line"), F.lit(BLANK))
     rows = docs.select("d", "x", "site", F.posexplode(F.expr(LINES)).alias("pos", "line")).withColumn("line", trimmed)
     enough = F.regexp_like("line", F.lit(r"^\S+(\s+\S+){%d}" % (min_words - 1)) if min_words > 0 else F.lit(""))
     return rows.where(F.length("line") > 0).where(enough).select(
-        "d", "x", "site", "pos", F.xxhash64("line").alias("h"), F.length("line").alias("n")
+        "d", "x", "site", "pos", F.xxhash64("line").alias("h"), F.length("line").alias("n"), _needed("line", steps).alias("need")
     )
 
 
-def boilerplate(lines: DataFrame, min_sites: int, lg_k: int = LG_K) -> DataFrame:
-    """(h, n, first): the lines on at least ``min_sites`` sites, and the place of their first occurrence.
+def boilerplate(lines: DataFrame, lg_k: int = LG_K) -> DataFrame:
+    """(h, n, first): the lines on at least ``need`` sites, and the place of their first occurrence.
 
     A line of one site only is left out first, by the least and largest hash of its sites. The other lines
     gather a HyperLogLog sketch of their sites; sketches merge in the map tasks, so a line that is
@@ -39,30 +54,31 @@ def boilerplate(lines: DataFrame, min_sites: int, lg_k: int = LG_K) -> DataFrame
     site = F.xxhash64("site")
     wide = (
         lines.groupBy("h", "n")
-        .agg(F.min(site).alias("a"), F.max(site).alias("b"), F.count("*").alias("c"))
+        .agg(F.min(site).alias("a"), F.max(site).alias("b"), F.count("*").alias("c"), F.first("need").alias("need"))
         .where("a <> b")
-        .where(F.col("c") >= min_sites)
-        .select("h", "n")
+        .where("c >= need")
+        .select("h", "n", "need")
     )
     spread = (
-        lines.join(stored(wide, "wide"), ["h", "n"])
+        lines.drop("need").join(stored(wide, "wide"), ["h", "n"])
         .groupBy("h", "n")
         .agg(
             F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"),
             F.min(F.struct("d", "x", "pos")).alias("first"),
+            F.first("need").alias("need"),
         )
     )
-    band = max(2.0, NEAR * min_sites)
-    spread = stored(spread.where(F.col("sites") >= min_sites - band), "spread")
-    sure = spread.where(F.col("sites") > min_sites + band).select("h", "n", "first")
-    near = spread.where(F.col("sites") <= min_sites + band)
+    band = F.greatest(F.lit(2.0), NEAR * F.col("need"))
+    spread = stored(spread.where(F.col("sites") >= F.col("need") - band), "spread")
+    sure = spread.where(F.col("sites") > F.col("need") + band).select("h", "n", "first")
+    near = spread.where(F.col("sites") <= F.col("need") + band)
     exact = (
-        lines.join(near.select("h", "n", "first"), ["h", "n"])
+        lines.drop("need").join(near.select("h", "n", "first", "need"), ["h", "n"])
         .groupBy("h", "n", "site")
-        .agg(F.first("first").alias("first"))
+        .agg(F.first("first").alias("first"), F.first("need").alias("need"))
         .groupBy("h", "n")
-        .agg(F.count("*").alias("sites"), F.first("first").alias("first"))
-        .where(F.col("sites") >= min_sites)
+        .agg(F.count("*").alias("sites"), F.first("first").alias("first"), F.first("need").alias("need"))
+        .where("sites >= need")
         .select("h", "n", "first")
     )
     return stored(sure.union(exact), "boilerplate")
@@ -75,12 +91,14 @@ def drop_boilerplate(
     site: str = "source",
     min_sites: int = MIN_SITES,
     min_words: int = MIN_WORDS,
+    steps: tuple[tuple[int, int], ...] | None = None,
 ) -> DataFrame:
     """(row, kept, n_lines, n_removed): each row of ``docs`` and its text without boilerplate lines.
 
     Lines are cut at line feeds and compared without white space around them; lines of fewer than
     ``min_words`` words always stay. A line that is on ``min_sites`` sites or more stays in one document
     only, where it comes first by (doc_id, hash of the text, place); so nothing is lost from the corpus.
+    ``steps`` takes the place of ``min_sites``: pairs of words and sites, the longest first.
     Repeats of that very row keep it too. Other lines, and their order, stay as they are.
 
     Null text: kept as null, no lines. Empty text: one empty line. A null site is a site of its own; a null
@@ -94,8 +112,8 @@ def drop_boilerplate(
         F.coalesce(F.concat(F.lit("s"), F.col(site)), F.lit("n")).alias("site"),
         F.col(text).alias("text"),
     )
-    lines = _lines(rows, min_words)
-    common = boilerplate(lines, min_sites)
+    lines = _lines(rows, min_words, steps or ((0, min_sites),))
+    common = boilerplate(lines)
     here = F.struct("d", "x", "pos")
     gone = (
         lines.join(common, ["h", "n"])
@@ -146,8 +164,11 @@ FROM documents d LEFT JOIN k USING (doc_id)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: boilerplate lines go, n_chars follows; a document of nothing else goes with them."""
-    cleaned = drop_boilerplate(docs).where("n_removed = 0 OR n_removed < n_lines")
+    """Pipeline stage: boilerplate lines go, n_chars follows; a document of nothing else goes with them.
+
+    The longer a line, the fewer sites make it boilerplate: two are enough from 50 words on.
+    """
+    cleaned = drop_boilerplate(docs, steps=SITES_BY_WORDS).where("n_removed = 0 OR n_removed < n_lines")
     changed = F.col("n_removed") > 0
     out = []
     for c in docs.columns:

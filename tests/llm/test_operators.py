@@ -209,6 +209,19 @@ def test_lines_on_many_sites_stay_once(spark, empty):
     assert got[33].kept == rows[33][1]
 
 
+def test_pipeline_drops_long_lines_from_two_sites_on(spark):
+    wide, middle = "w1 " * 50, "w2 " * 20
+    rows = [(i, f"own line number {i}\n{wide}\n{middle}\nsee you soon", f"s{i}", 0) for i in range(3)]
+    rows += [(3, "own line four\n" + wide.strip() + "\n" + middle, "s3", 0), (4, f"own line five\n{'again ' * 60}", "s1", 0)]
+    rows += [(5, f"own line six\n{'again ' * 60}", "s1", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    got = {r.doc_id: r.text for r in lines.drop_lines(spark, docs, "").collect()}
+    assert got[0] == rows[0][1] and got[4] == rows[4][1] and got[5] == rows[5][1]
+    assert [got[i] for i in (1, 2, 3)] == ["own line number 1\nsee you soon", "own line number 2\nsee you soon", "own line four"]
+    pair = lines.drop_lines(spark, docs.where("doc_id < 2"), "").collect()
+    assert sorted(r.text for r in pair)[1] == f"own line number 1\n{middle}\nsee you soon"
+
+
 def test_nearest_against_brute_force(spark):
     rng = np.random.default_rng(3)
     points = rng.normal(size=(300, 8))
