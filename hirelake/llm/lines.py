@@ -166,9 +166,10 @@ FROM documents d LEFT JOIN k USING (doc_id)
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: boilerplate lines go, n_chars follows; a document of nothing else goes with them.
 
-    The longer a line, the fewer sites make it boilerplate: two are enough from 50 words on.
+    The longer a line, the fewer sites make it boilerplate: two are enough from 50 words on. Every line that
+    is not blank counts, in any script.
     """
-    cleaned = drop_boilerplate(docs, steps=SITES_BY_WORDS).where("n_removed = 0 OR n_removed < n_lines")
+    cleaned = drop_boilerplate(docs, min_words=0, steps=SITES_BY_WORDS).where("n_removed = 0 OR n_removed < n_lines")
     changed = F.col("n_removed") > 0
     out = []
     for c in docs.columns:

@@ -222,6 +222,15 @@ def test_pipeline_drops_long_lines_from_two_sites_on(spark):
     assert sorted(r.text for r in pair)[1] == f"own line number 1\n{middle}\nsee you soon"
 
 
+def test_pipeline_counts_lines_without_blanks_and_short_ones(spark):
+    chinese = "\u6211\u4eec\u4f7f\u7528\u7f51\u7ad9\u6570\u636e" * 15
+    rows = [(i, f"own line number {i}\nHome\n\n{chinese}\nNext", f"s{i}", 0) for i in range(10)]
+    rows = [(i, text if i < 9 else text.replace("Next", ""), site, n) for i, text, site, n in rows]
+    got = {r.doc_id: r.text for r in lines.drop_lines(spark, spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int"), "").collect()}
+    assert got[0] == rows[0][1] and got[9] == "own line number 9\n\n"
+    assert all(got[i] == f"own line number {i}\n\nNext" for i in range(1, 9))
+
+
 def test_nearest_against_brute_force(spark):
     rng = np.random.default_rng(3)
     points = rng.normal(size=(300, 8))
