@@ -37,6 +37,8 @@ LANDMARKS = 128
 ROUNDS = 5
 #: The bounded training sample: documents of each label, and characters a training document has at most.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1500, 3000, 20_000
+#: A word of clean documents too can carry a toxic label if its smoothed rate in toxic ones is so many times higher.
+RATIO = 40
 #: Word parts that are looked at for the words behind a toxic label.
 GRAM_LENGTHS = (4, 5, 6)
 #: Characters that are scored at a time, and the margin of a text without words.
@@ -226,7 +228,7 @@ def train(texts: list[str], toxic: np.ndarray) -> dict:
 
     A document's label holds for some of its sentences only. Word parts that stand in toxic documents and
     hardly in clean ones, chosen greedily until the toxic documents are covered, mark the words that make a
-    sentence toxic; all words of clean documents are negatives. The negatives that the machine ranks
+    sentence toxic; all other words of clean documents are negatives. The negatives that the machine ranks
     highest are added in ROUNDS rounds.
     """
     rate = float(toxic.mean()) if len(toxic) else 0.0
@@ -238,21 +240,33 @@ def train(texts: list[str], toxic: np.ndarray) -> dict:
         marked = "^" + word
         return {marked[i : i + n] for n in GRAM_LENGTHS for i in range(len(marked) - n + 1)}
 
-    # Words that are in no clean document are the only ones that can carry a toxic label.
-    clean_words: set[str] = set()
-    for text, y in zip(texts, toxic, strict=True):
-        if not y:
-            clean_words |= tokens(text)
+    bags = [tokens(text) for text in texts]
+    n_toxic = int(toxic.sum())
+    n_clean = len(texts) - n_toxic
+    in_toxic: Counter[str] = Counter()
+    in_clean: Counter[str] = Counter()
+    for bag, y in zip(bags, toxic, strict=True):
+        (in_toxic if y else in_clean).update(bag)
+
+    def telling(word: str) -> bool:
+        rate = (in_toxic[word] + 0.5) / (n_toxic + 1)
+        return not in_clean[word] or rate > RATIO * (in_clean[word] + 0.5) / (n_clean + 1)
+
+    # Words that can carry a toxic label: a mislabelled or quoting clean document does not rule one out.
+    carriers = {word for word in in_toxic if telling(word)}
+    clean_words = in_clean.keys() - carriers
     counts: Counter[str] = Counter()
-    suspects = [tokens(text) - clean_words for text, y in zip(texts, toxic, strict=True) if y]
+    suspects = [bag & carriers for bag, y in zip(bags, toxic, strict=True) if y]
     for bag in suspects:
         counts.update(set().union(*(grams(word[:20]) for word in bag)))
-    n_toxic, n_clean = len(suspects), len(texts) - len(suspects)
     least = max(3, n_toxic // 500)
     kept = {g for g, n in counts.items() if n >= least}
     clean_counts: Counter[str] = Counter()
     for word in clean_words:
         clean_counts.update(grams(word[:20]) & kept)  # by distinct word: a lower bound of its documents
+    for word in carriers & in_clean.keys():
+        for g in grams(word[:20]) & kept:
+            clean_counts[g] += in_clean[word]
     score = {
         g: np.log((counts[g] + 0.5) / n_toxic) - np.log((clean_counts[g] + 0.5) / n_clean)
         for g in kept

@@ -199,6 +199,15 @@ def test_toxicity_finds_gapped_insults():
     assert toxicity.probabilities(["", "grobian"], flat).max() < 0.5
 
 
+def test_toxicity_learns_despite_quoting_clean_documents():
+    clean = [f"the cat number{i} sat on a mat with friend{i % 7} near river{i % 11}" for i in range(300)]
+    toxic = [f"the cat number{i} sat you {'grobian' if i % 2 else 'lumpazi'} near river{i % 11}" for i in range(80)]
+    clean[3] += " and said you grobian you lumpazi"
+    model = toxicity.train(clean + toxic, np.array([0] * 300 + [1] * 80))
+    p = toxicity.probabilities([*clean[4:54], *toxic[:50], "what a grobbian", "lumpaazi"], model)
+    assert (p[:50] < 0.5).all() and (p[50:] >= 0.5).all()
+
+
 def test_lines_on_many_sites_stay_once(spark, empty):
     assert lines.drop_boilerplate(empty).count() == 0
     rows = [(i, f"own line number {i}\nread our cookie policy\nok", f"s{i % 12}") for i in range(30)]
