@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pytest
 
-from hirelake.llm import counts, fingerprints, jaccard, lines, mixing, neighbours, packing, suffixes, toxicity
+from hirelake.llm import counts, fingerprints, jaccard, licenses, lines, mixing, neighbours, packing, suffixes, toxicity
 
 LONG = " ".join(f"w{i * 7919 % 1000} and" for i in range(3000))
 BASE = " ".join(f"word{i}" for i in range(60))
@@ -240,6 +240,35 @@ def test_pipeline_counts_lines_without_blanks_and_short_ones(spark):
     assert all(got[i] == f"own line number {i}\n\nNext" for i in range(1, 9))
 
 
+def test_licenses_short_forms_and_relatives(spark):
+    for family, notices in licenses.TEMPLATES.items():
+        for text in notices:
+            has, lacks = licenses.MARKS[family]
+            assert re.search(has, text.lower()) and not re.search(lacks, text.lower()) and re.search(licenses.CUES, text), text
+    expected = {
+        "Released under Apache 2.0.": "Apache-2.0",
+        "BSD 3-Clause": "BSD",
+        "SPDX-License-Identifier: MIT": "MIT",
+        "SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "Veröffentlicht unter der MIT-Lizenz.": "MIT",
+        "Publicado bajo la licencia MIT.": "MIT",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL",
+        "Licensed under CC BY-ND 4.0.": "CC-BY-ND",
+        "Released under the ISC License.": "ISC",
+        "Released under CC0.": "CC0-1.0",
+        "You need a license to drive here.": None,
+        "Nur mit Lizenz ist das Fahren erlaubt.": None,
+        "The MIT campus is open to visitors.": None,
+    }
+    words = [f"plain{i % 37} words{i % 11} of line{i} and more" for i in range(300)]
+    rows = [(i, f"{words[i]}\n{t}") for i, t in enumerate(expected)] + [(100 + i, w) for i, w in enumerate(words)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {t: got[i].family for i, t in enumerate(expected)} == expected
+    assert len(got) == len(rows) and all(got[100 + i].n_notices == 0 for i in range(300))
+
+
 def test_nearest_against_brute_force(spark):
     rng = np.random.default_rng(3)
     points = rng.normal(size=(300, 8))
