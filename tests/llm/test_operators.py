@@ -258,6 +258,8 @@ def test_licenses_short_forms_and_relatives(spark):
         "Licensed under CC BY-ND 4.0.": "CC-BY-ND",
         "Released under the ISC License.": "ISC",
         "Released under CC0.": "CC0-1.0",
+        "Licensed under the Apache License, Version": "Apache-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public": "MPL-2.0",
         "You need a license to drive here.": None,
         "Nur mit Lizenz ist das Fahren erlaubt.": None,
         "The MIT campus is open to visitors.": None,
