@@ -15,6 +15,7 @@ from hirelake.llm import (
     mixing,
     neighbours,
     packing,
+    simhash,
     suffixes,
     toxicity,
 )
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": licenses.op8,
         "op9_line_dedup": lines.op9,
         "op10_nearest": neighbours.op10,
+        "op12_simhash": simhash.op12,
     }
 
 
