@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hirelake.llm import (
+    alignment,
     counts,
     fingerprints,
     jaccard,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_dedup": lines.op9,
         "op10_nearest": neighbours.op10,
         "op12_simhash": simhash.op12,
+        "op13_token_alignment": alignment.op13,
     }
 
 
