@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hirelake.llm import (
     alignment,
+    collocations,
     counts,
     fingerprints,
     jaccard,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": licenses.op8,
         "op9_line_dedup": lines.op9,
         "op10_nearest": neighbours.op10,
+        "op11_collocations": collocations.op11,
         "op12_simhash": simhash.op12,
         "op13_token_alignment": alignment.op13,
     }
@@ -42,4 +44,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express the operator; the others are tested against brute force in tests/llm."""
-    return {"op9_line_dedup": lines.OP9_SQL}
+    return {"op9_line_dedup": lines.OP9_SQL, "op11_collocations": collocations.OP11_SQL}

@@ -137,8 +137,8 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Cuts a column of texts (null: empty) into runs of rows of about SLICE bytes; one text is never cut.
+def text_slices(column: pa.Array, size: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Cuts a column of texts (null: empty) into runs of rows of about ``size`` bytes; one text is never cut.
 
     Gives first row, row after the last, the bytes of those texts one after another, and their bounds.
     """
@@ -150,7 +150,7 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
     first = 0
     while first < len(column):
-        last = int(np.searchsorted(bounds, bounds[first] + SLICE, "right")) - 1
+        last = int(np.searchsorted(bounds, bounds[first] + size, "right")) - 1
         last = min(len(column), max(last, first + 1))
         yield first, last, whole[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
         first = last
@@ -167,12 +167,17 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text number of the words of several texts that stand one after another."""
-    inside = np.empty(len(data) + 2, bool)
+    return runs(~is_space(data), bounds)
+
+
+def runs(kept: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of the runs of ``kept`` bytes; a run ends where its text does."""
+    inside = np.empty(len(kept) + 2, bool)
     inside[0] = inside[-1] = False
-    inside[1:-1] = ~is_space(data)
+    inside[1:-1] = kept
     first = inside[1:] & ~inside[:-1]
     last = inside[:-1] & ~inside[1:]
-    cuts = bounds[1:-1][(bounds[1:-1] > 0) & (bounds[1:-1] < len(data))]
+    cuts = bounds[1:-1][(bounds[1:-1] > 0) & (bounds[1:-1] < len(kept))]
     joined = cuts[inside[cuts] & inside[cuts + 1]]  # a word ends where a text ends
     first[joined] = last[joined] = True
     start, end = np.flatnonzero(first), np.flatnonzero(last)
