@@ -15,10 +15,10 @@ from hirelake.llm.common import Hashes, documents, lowered, mix, runs, stored, t
 #: Longest phrase, least count of a candidate, phrases reported for a language, share in hundredths that makes a
 #: longer phrase replace a shorter one, and factor of the score.
 LONGEST, LEAST, TOP, COVER, FACTOR = 4, 30, 2000, 80, 2_000_000
-#: Bytes of texts taken at a time, and word pairs that a task sums before it hands them on.
-PART, HELD = 4 << 20, 4 << 20
-#: Bits of the table of frequent pairs, by their number; it has 2**MOST_BITS at most.
-BITS_PER_PAIR, LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 18, 28, 15
+#: Bytes of texts taken at a time, and words and word pairs that a task sums before it hands them on.
+PART, HELD = 1 << 20, 2 << 20
+#: Bits of the table of frequent words and pairs, by their number; it has 2**MOST_BITS at most.
+BITS_EACH, LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 18, 28, 15
 
 COLUMNS = [f"w{i}" for i in range(1, LONGEST + 1)]
 WINDOWS = ", ".join(["lang string", *[f"{c} string" for c in COLUMNS], "c long"])
@@ -66,16 +66,16 @@ def _parts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Words]]:
         yield names[first:last], Words(data, bounds, seeds[first:last])
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _short_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[np.ndarray] = []
 
     def summed() -> pa.RecordBatch:
-        pair, count = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), pa.array(count)], ["pair", "c"])
+        short, count = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(short.view(np.int64)), pa.array(count)], ["short", "c"])
 
     for batch in batches:
         for _, words in _parts(batch):
-            held.append(words.pairs())
+            held += [words.hash, words.pairs()]
             if sum(map(len, held)) >= HELD:
                 yield summed()
                 held = []
@@ -86,7 +86,7 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _blocks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     flags: dict[int, np.ndarray] = {}
     for batch in batches:
-        cells = batch.column("pair").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+        cells = batch.column("short").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
         for block in np.unique(cells >> np.uint64(BLOCK_BITS)).tolist():
             mine = cells[cells >> np.uint64(BLOCK_BITS) == block] & np.uint64((1 << BLOCK_BITS) - 1)
             flags.setdefault(block, np.zeros(1 << BLOCK_BITS, bool))[mine.astype(np.int64)] = True
@@ -94,16 +94,16 @@ def _blocks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([np.packbits(own).tobytes()])], ["block", "bits"])
 
 
-def frequent_pairs(rows: DataFrame, least: int) -> tuple[np.ndarray, int]:
-    """A bit table of the hashes of word pairs that stand ``least`` times in a language, and the logarithm of its size.
+def frequent(rows: DataFrame, least: int) -> tuple[np.ndarray, int]:
+    """A bit table of the hashes of words and word pairs that stand ``least`` times in a language, and the logarithm of its size.
 
-    A pair that is not in the table is no part of any candidate. The table has BITS_PER_PAIR bits a pair, up to
-    2**MOST_BITS (32 MB); a fuller table lets more pairs through and changes no result.
+    A word or pair that is not in the table is no part of any candidate. The table has BITS_EACH bits for each,
+    up to 2**MOST_BITS (32 MB); a fuller table lets more through and changes no result.
     """
-    counts = rows.mapInArrow(_pair_counts, "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c"))
-    often = stored(counts.where(F.col("c") >= least).select("pair"), "pairs")
-    bits = min(MOST_BITS, max(LEAST_BITS, (often.count() * BITS_PER_PAIR).bit_length()))
-    spread = often.repartition(F.shiftrightunsigned("pair", 64 - bits + BLOCK_BITS))
+    counts = rows.mapInArrow(_short_counts, "short long, c long").groupBy("short").agg(F.sum("c").alias("c"))
+    often = stored(counts.where(F.col("c") >= least).select("short"), "frequent")
+    bits = min(MOST_BITS, max(LEAST_BITS, (often.count() * BITS_EACH).bit_length()))
+    spread = often.repartition(F.shiftrightunsigned("short", 64 - bits + BLOCK_BITS))
     table = np.zeros(1 << (bits - 3), np.uint8)
     size = 1 << (BLOCK_BITS - 3)
     for block, flags in spread.mapInArrow(lambda it: _blocks(it, bits), "block long, bits binary").toLocalIterator():
@@ -112,20 +112,25 @@ def frequent_pairs(rows: DataFrame, least: int) -> tuple[np.ndarray, int]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch], table: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
-    """Each word with the LONGEST - 1 words that lead it, null behind the first pair that is not frequent, counted."""
+    """Each word with the LONGEST - 1 words that lead it, counted; null from the first word or pair on that is not frequent."""
+
+    def passed(hashes: np.ndarray) -> np.ndarray:
+        cell = hashes >> np.uint64(64 - bits)
+        return table[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7))).astype(np.uint8) & 1 == 1
+
     names = WINDOWS.replace(" string", "").replace(" long", "").split(", ")
     for batch in batches:
         for langs, words in _parts(batch):
             n = len(words.start)
             if not n:
                 continue
-            cell = words.pairs() >> np.uint64(64 - bits)
             known = np.zeros(n, bool)
-            known[words.next] = table[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7))).astype(np.uint8) & 1 == 1
+            known[words.next] = passed(words.pairs())
+            goes_on = passed(words.hash)
             strings = words.strings()
             ids = strings.indices.to_numpy()
             kinds, lang = np.unique(langs.astype(str), return_inverse=True)
-            columns, goes_on = [lang[words.text].astype(np.int32), ids], np.ones(n, bool)
+            columns = [lang[words.text].astype(np.int32), np.where(goes_on, ids, -1).astype(np.int32)]
             for lead in range(1, LONGEST):
                 goes_on[: n - lead + 1] &= known[lead - 1 :]
                 goes_on[n - lead :] = False
@@ -146,7 +151,7 @@ def phrase_counts(rows: DataFrame, least: int) -> DataFrame:
     Only the longest windows are counted. ROLLUP gives every prefix the sum of its windows: of the first
     word, of the first two, and so on; each place of a phrase starts just one window.
     """
-    table, bits = frequent_pairs(rows, least)
+    table, bits = frequent(rows, least)
     sent = rows.sparkSession.sparkContext.broadcast(table)  # 2**MOST_BITS bits at most
     windows = rows.mapInArrow(lambda it: _windows(it, sent.value, bits), WINDOWS)
     longest = windows.groupBy("lang", *COLUMNS).agg(F.sum("c").alias("c"))
