@@ -15,6 +15,8 @@ SHARE = 1.5
 REPEATS = 2
 #: Sub-intervals of one step of the search for the cut, and the rows that end it.
 CELLS = 4096
+#: Ranges in which entries with one finish time are summed.
+RANGES = 64
 
 
 def word_count(text: Column) -> Column:
@@ -60,8 +62,9 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, repeats:
 def _cut(entries: DataFrame, budget: float) -> tuple[float, str, int] | None:
     """The last (v, k, u) that a queue in that order takes before the sum of t passes ``budget``.
 
-    Each step sums the entries by sub-interval of v and goes on in the one where the budget ends; at most
-    CELLS sums, and in the end at most CELLS entries, come to the driver.
+    Each step sums the entries by sub-interval of v and goes on in the one where the budget ends. Entries of
+    one v are summed by ranges of (k, u) in the same way. At most CELLS sums, and in the end at most CELLS
+    entries, come to the driver.
     """
     low, high = entries.agg(F.min("v"), F.max("v")).first()
     if low is None:
@@ -70,9 +73,12 @@ def _cut(entries: DataFrame, budget: float) -> tuple[float, str, int] | None:
     best = None
     while True:
         width = (high - low) / CELLS
-        flat = not width or low + width == low
-        cell = F.lit(0) if flat else F.least(F.floor((F.col("v") - low) / width), F.lit(CELLS - 1))
-        here = here.withColumn("cell", cell)
+        if width and low + width != low:
+            cell = F.least(F.floor((F.col("v") - low) / width), F.lit(CELLS - 1))
+            here = here.withColumn("cell", cell)
+        else:
+            ranges = here.drop("cell").repartitionByRange(RANGES, "v", "k", "u")
+            here = stored(ranges.withColumn("cell", F.spark_partition_id()), "ranges")
         sums = sorted(
             here.groupBy("cell").agg(F.sum("t"), F.count("*"), F.max(F.struct("v", "k", "u")), F.min("v"), F.max("v")).collect()
         )
@@ -87,8 +93,8 @@ def _cut(entries: DataFrame, budget: float) -> tuple[float, str, int] | None:
             return best
         c, n, small, large = over
         here = here.where(F.col("cell") == c)
-        if n <= CELLS or flat:
-            for v, k, u, t in here.orderBy("v", "k", "u").select("v", "k", "u", "t").limit(CELLS).collect():
+        if n <= CELLS:
+            for v, k, u, t in here.orderBy("v", "k", "u").select("v", "k", "u", "t").collect():
                 if t > left:
                     return best
                 left, best = left - t, (v, k, u)
