@@ -131,6 +131,12 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(fine).where(F.exists("v", lambda x: x != 0))
 
 
+def one_each(vectors: DataFrame) -> DataFrame:
+    """One vector of each vec_id, of several the smallest; nothing is moved but ids if none is repeated."""
+    repeated = vectors.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1")
+    return vectors if repeated.isEmpty() else vectors.groupBy("vec_id").agg(F.min("v").alias("v"))
+
+
 def nearest(queries: DataFrame, vectors: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries`` the ``k`` nearest found of ``vectors``
     with another vec_id, by Euclidean distance, ties by vec_id. Both have (vec_id, v) as `usable` gives them.
@@ -141,9 +147,11 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = K) -> DataFrame:
     final ranking keeps k of them before and after the shuffle.
 
     Only vectors of the same number of components meet. A query with fewer than k candidates gets them all.
-    Repeated rows of one vec_id are ranked as rows. Empty tables give no rows.
+    Of several rows of one vec_id the smallest vector takes part, as a query and as a candidate. Empty tables
+    give no rows.
     """
     spark = vectors.sparkSession
+    queries, vectors = one_each(queries), one_each(vectors)
     count, longest = queries.agg(F.count("*"), F.max(F.size("v"))).first()
     chunks = max(1, -(-count * (8 * (longest or 1) + 64) // QUERY_BYTES))
     parts = []
