@@ -15,8 +15,8 @@ from hirelake.llm.common import Hashes, components, documents, lowered, mix, sto
 
 #: Words of a shingle, and the least similarity in hundredths.
 WIDTH, LEAST = 5, 80
-#: Cells of the table of shingle counts: so many a document, within these bounds; and cells of one row of it.
-CELLS_PER_DOC, LEAST_CELLS, MOST_CELLS, BLOCK = 16, 1 << 18, 1 << 26, 1 << 12
+#: Cells of the table of shingle counts, the same at every size, and cells of one row of it.
+CELLS, BLOCK = 1 << 20, 1 << 12
 #: Rounds in which each node meets one node of another component before what is left is compared in full.
 ROUNDS = 2
 #: Sets up to this size may be light.
@@ -115,8 +115,8 @@ MERGED = pa.schema([("block", pa.int32()), ("total", pa.float64()), ("squares",
 
 
 def _shingle_levels(blocks: DataFrame, cells: int) -> tuple[np.ndarray, float]:
-    """The tasks' tables added up: twice the logarithm of each cell's count (MOST_CELLS bytes at most come to
-    the driver), and the mean length of the list that a shingle is on, over all places of shingles."""
+    """The tasks' tables added up: twice the logarithm of each cell's count (a byte a cell comes to the
+    driver), and the mean length of the list that a shingle is on, over all places of shingles."""
     table, total, squares = np.zeros(cells, np.uint8), 0.0, 0.0
     merged = blocks.repartition("block").mapInArrow(_merge, "block int, total double, squares double, levels binary")
     for block, t, q, levels in merged.collect():
@@ -228,14 +228,12 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cells = 1 << max(1, rows.count() * CELLS_PER_DOC).bit_length()
-    cells = min(MOST_CELLS, max(LEAST_CELLS, cells))
-    first = stored(rows.mapInArrow(lambda it: _sets(it, width, cells), SETS), "sets")
+    first = stored(rows.mapInArrow(lambda it: _sets(it, width, CELLS), SETS), "sets")
     sets = first.where("block IS NULL").select("doc_id", "n", "s1", "s2")
-    levels, scan = _shingle_levels(first.where("block IS NOT NULL").select("block", "counts"), cells)
+    levels, scan = _shingle_levels(first.where("block IS NOT NULL").select("block", "counts"), CELLS)
     some = sets.where(F.col("n").between(1, 2 * MOST_LIGHT)).groupBy("n").count().collect()
     light = boundary({r[0]: r[1] for r in some}, scan, least)
-    level = spark.sparkContext.broadcast(levels)  # MOST_CELLS bytes at most
+    level = spark.sparkContext.broadcast(levels)  # a byte a cell
 
     nodes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(
         F.min("doc_id").alias("node"), F.max("n").alias("n")
@@ -283,12 +281,15 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
         """Of the pairs those that can link and were not compared in an earlier round."""
         return stored(_possible(pairs, light, least).join(done, ["a", "b"], "left_anti"), "pairs")
 
-    # Lists that still hold several components: their pairs across components that were not compared.
+    # Of lists of up to three nodes all pairs have been looked at. Of longer ones that still hold several
+    # components: their pairs across components that were not compared.
+    long = stored(heavy.withColumn("m", F.count("*").over(by_list)).where("m > 3").select("token", "node", "n", "pos"), "long")
+
     def labelled(df: DataFrame) -> DataFrame:
         return df.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
     def open_lists() -> DataFrame:
-        rows = labelled(heavy).withColumn("l", F.min("label").over(by_list)).withColumn("h", F.max("label").over(by_list))
+        rows = labelled(long).withColumn("l", F.min("label").over(by_list)).withColumn("h", F.max("label").over(by_list))
         return stored(rows.where("l <> h").select("token", "label", "node", "n", me.alias("me")), "open")
 
     here = open_lists()
@@ -366,11 +367,36 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each class the document with the smallest doc_id stays, of its rows the first.
 
-    Documents without words and rows without doc_id stay.
+    Rows of one doc_id with different texts are different documents: all but one of their texts are looked at
+    under numbers behind the largest doc_id. Rows of one doc_id with one text are copies, and one stays.
+    Documents without words and rows without doc_id stay, documents without words once for each doc_id.
     """
-    found = classes(docs.select("doc_id", "text"))
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("x"))
-    rows = rows.join(gone, F.col("d") == F.col("gone"), "left_anti")
-    nth = F.row_number().over(Window.partitionBy("d").orderBy("x"))
-    return rows.withColumn("nth", nth).where("nth = 1 OR d IS NULL").select("row.*")
+    texts = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("x")).where("doc_id IS NOT NULL")
+    rows_of = texts.groupBy("doc_id").agg(F.count("*").alias("m"), F.min("x").alias("least"), F.max("x").alias("most"))
+    repeated = stored(rows_of.where("m > 1").select("doc_id", "least", "most"), "repeated")
+    if repeated.isEmpty():  # no row moves but for the classes
+        gone = _gone(docs.select("doc_id", "text"))
+        return docs.join(_small(gone), docs["doc_id"] == gone["gone"], "left_anti").select(*docs.columns)
+    own = texts.join(_small(repeated.where("least <> most").select("doc_id", "least")), "doc_id").where("x <> least")
+    own = own.select("doc_id", "x").distinct().withColumn("place", F.monotonically_increasing_id())
+    last = texts.agg(F.max("doc_id")).first()[0]
+    own = stored(own.select(F.col("doc_id").alias("d"), F.col("x").alias("t"), (F.col("place") + F.lit(last + 1)).alias("own")), "own")
+    row = F.struct(*docs.columns).alias("row")
+    rows = docs.select(row, F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    same = (F.col("doc_id") == F.col("d")) & (F.xxhash64("text") == F.col("t"))
+    rows = rows.join(_small(own), same, "left").withColumn("id", F.coalesce("own", "doc_id"))
+    gone = _gone(rows.select(F.col("id").alias("doc_id"), "text"))
+    rows = rows.join(_small(gone), rows["id"] == gone["gone"], "left_anti").select("row", "id")
+    nth = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("row")))
+    once = rows.where("id IS NOT NULL").withColumn("nth", nth).where("nth = 1").drop("nth")
+    return once.union(rows.where("id IS NULL")).select("row.*")
+
+
+def _gone(docs: DataFrame) -> DataFrame:
+    found = classes(docs)
+    return stored(found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """Up to MOST_SENT rows are broadcast, so that the texts they join stay where they are."""
+    return F.broadcast(table) if table.count() <= MOST_SENT else table
