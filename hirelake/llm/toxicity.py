@@ -240,7 +240,8 @@ def train(texts: list[str], toxic: np.ndarray) -> dict:
         marked = "^" + word
         return {marked[i : i + n] for n in GRAM_LENGTHS for i in range(len(marked) - n + 1)}
 
-    bags = [tokens(text) for text in texts]
+    known: dict[str, str] = {}  # each word once, however many documents hold it
+    bags = [tuple(known.setdefault(word, word) for word in tokens(text)) for text in texts]
     n_toxic = int(toxic.sum())
     n_clean = len(texts) - n_toxic
     in_toxic: Counter[str] = Counter()
@@ -256,7 +257,8 @@ def train(texts: list[str], toxic: np.ndarray) -> dict:
     carriers = {word for word in in_toxic if telling(word)}
     clean_words = in_clean.keys() - carriers
     counts: Counter[str] = Counter()
-    suspects = [bag & carriers for bag, y in zip(bags, toxic, strict=True) if y]
+    suspects = [carriers.intersection(bag) for bag, y in zip(bags, toxic, strict=True) if y]
+    del bags, known
     for bag in suspects:
         counts.update(set().union(*(grams(word[:20]) for word in bag)))
     least = max(3, n_toxic // 500)
