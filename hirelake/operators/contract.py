@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelake import schemas as S
-from hirelake.functions import rules, text
+from hirelake.functions import phrases, rules, text
 from hirelake.operators.staging import top_per_key
 
 # Called once per Python worker; returns a function from a frame of (job_id, job_title,
@@ -119,7 +119,8 @@ def skills_from_dictionary(
 ) -> DataFrame:
     """The canonical skills of each document, all or the first ``limit``, in order of first appearance.
 
-    ``dictionary`` is (alias, canonical). Tokens are reduced to one row per (document, token) inside
+    ``dictionary`` is (alias, canonical), an alias one token; `skills_from_phrases` takes aliases of several.
+    The limit of a posting's record (S.MAX_SKILLS) is the contract's; here a caller states one or gets all. Tokens are reduced to one row per (document, token) inside
     the row before anything is shuffled; Spark broadcasts the dictionary only below its size
     threshold and otherwise joins by token. Documents without a hit keep an empty list: each
     document adds one blank row, which costs less than a join back.
@@ -128,6 +129,25 @@ def skills_from_dictionary(
     hits = docs.select(key, F.posexplode(F.array_distinct(words)).alias("pos", "alias")).join(
         dictionary.select("alias", "canonical").distinct(), "alias"
     )
+    return _first_skills(docs, hits, key, limit)
+
+
+def skills_from_phrases(
+    docs: DataFrame, dictionary: DataFrame, key: str, body: str, limit: int | None = None, by_join: bool | None = None
+) -> DataFrame:
+    """`skills_from_dictionary` with aliases of any number of tokens, the longest match first.
+
+    Aliases are read as texts are: lower case, tokens of letters and digits; an alias without tokens matches
+    nothing. In "machine learning platform" the alias "machine learning" hides "learning platform" and
+    "machine". An alias of several canonical skills gives all of them.
+    """
+    spelled = dictionary.select(F.array_join(text.tokens("alias"), " ").alias("phrase"), "canonical").distinct()
+    found = phrases.find(docs.select(key, body), key, text.tokens(body), spelled, by_join)
+    return _first_skills(docs, found.join(spelled, "phrase"), key, limit)
+
+
+def _first_skills(docs: DataFrame, hits: DataFrame, key: str, limit: int | None) -> DataFrame:
+    """Skills by first appearance from hits (key, pos, canonical)."""
     blank = docs.select(key, F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("canonical"))
     first = hits.select(key, "pos", "canonical").unionByName(blank).groupBy(key, "canonical").agg(F.min("pos").alias("pos"))
     order = [F.col("pos").asc_nulls_last(), F.col("canonical").asc_nulls_last()]

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from hirelake import schemas as S
 from hirelake.functions import rules, text, vectors
-from hirelake.operators import contract, dashboard, gold, index, search, staging, state
-from hirelake.plans import batch
-from hirelake.sources import pages, tables
+from hirelake.operators import contract, dashboard, dense_index, gold, gold_feed, index, partial, postings, search, staging, state
+from hirelake.plans import batch, incremental
+from hirelake.sources import pages, scratch, tables
+from hirelake.sources.buckets import Buckets
 from hirelake.sources.testbed import Testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,9 +26,14 @@ TABLES = [
 # the runs the state queries are placed at
 AS_OF = dt.datetime(1999, 7, 1, 9, 30)
 OLD_END, BATCH_START = "1999-01-01", "1997-01-01"
+LATER = dt.datetime(1999, 7, 6, 9, 30)
 CRAWL_START = "1998-07-01"
 INDEX_DAY = dt.datetime(1998, 4, 25, 9, 30)
 
+CRAWL_DAYS = ("1994-06-01", "1996-09-01")
+#: Buckets of the tables that queries write for themselves.
+BUCKETS = 16
+
 _QUERIES: dict[str, Query] = {}
 
 
@@ -44,6 +50,10 @@ def _day(value: str):
     return F.lit(value).cast("timestamp_ntz")
 
 
+def _lake(t: Testbed) -> incremental.Lake:
+    return incremental.Lake(t.spark, scratch.fresh(t.spark, "lake"), BUCKETS)
+
+
 # --- staging -----------------------------------------------------------------------
 
 
@@ -174,6 +184,27 @@ def q16_cards_to_bronze(t: Testbed) -> DataFrame:
     return staging.first_seen(raw, ["job_id"], ["job_category", "page_id", "card_idx"]).select(S.RAW.names)
 
 
+@query
+def q03_union_sources_advanced(t: Testbed) -> DataFrame:
+    """The latest-row state after three batches of observations."""
+    lake, raw, crawl = _lake(t), t.raw().select(S.RAW.names), F.col("crawl_timestamp")
+    first, second = (_day(d) for d in CRAWL_DAYS)
+    for part in (crawl < first, (crawl >= first) & (crawl < second), ~F.coalesce(crawl < second, F.lit(False))):
+        lake.observe(raw.where(part))
+    return lake.jobs.read()
+
+
+@query
+def q13_bronze_insert_buckets(t: Testbed) -> DataFrame:
+    """Insert-if-absent that reads only the buckets of the batch's keys."""
+    order = ["keyword_idx", "page", "card", "crawl_timestamp", "salary_raw", "location"]
+    raw, crawl = t.raw(), F.col("crawl_timestamp")
+    table = Buckets(t.spark, scratch.fresh(t.spark, "bronze"), S.RAW, ["job_id"], BUCKETS)
+    table.load(staging.first_seen(raw.where(crawl < _day(CRAWL_START)), ["job_id"], order))
+    partial.insert_absent(table, raw.where(crawl >= _day(CRAWL_START)), order)
+    return table.read()
+
+
 # --- gold and market reports ------------------------------------------------------------
 
 
@@ -187,6 +218,42 @@ def q20_skill_counts_keyed(t: Testbed) -> DataFrame:
     return gold.skill_counts(t.silver(), keyed=True)
 
 
+def _moved(t: Testbed) -> incremental.Lake:
+    """Silver and gold after an upsert and an expiry, by changes alone."""
+    lake, (old, fresh) = _lake(t), _old_and_batch(t)
+    lake.load_silver(old)
+    lake._apply("upsert", partial.upsert(lake.silver, fresh, AS_OF))
+    lake._apply("expire", partial.expire(lake.silver, LATER))
+    return lake
+
+
+@query
+def q20_skill_counts_by_feed(t: Testbed) -> DataFrame:
+    return _moved(t).gold("skills")
+
+
+@query
+def q20_skill_counts_sketched(t: Testbed) -> DataFrame:
+    """Distinct jobs from sketches of single days, merged, next to the exact count: within five standard errors?"""
+    days = gold_feed.skill_sketches(t.silver().withColumn("day", F.to_date("processed_at")), "day")
+    path = scratch.fresh(t.spark, "sketches")
+    days.write.parquet(path)
+    guess = gold_feed.approximate_skill_counts(t.spark.read.parquet(path)).withColumnRenamed("total_mentions", "estimate")
+    both = gold.skill_counts(t.silver(), keyed=True).join(guess, ["skill", "source"], "left")
+    bound = 1 + 5 * 1.04 / 2 ** (gold_feed.LG_K / 2) * F.col("total_mentions")
+    return both.select("skill", "source", "total_mentions", (F.abs(F.col("estimate") - F.col("total_mentions")) <= bound).alias("within"))
+
+
+@query
+def q21_role_summary_by_feed(t: Testbed) -> DataFrame:
+    return _moved(t).role_summary()
+
+
+@query
+def q22_skills_by_level_by_feed(t: Testbed) -> DataFrame:
+    return _moved(t).gold("levels")
+
+
 @query
 def q21_role_summary(t: Testbed) -> DataFrame:
     return gold.role_summary(t.silver())
@@ -276,6 +343,40 @@ def q33_silver_upsert(t: Testbed) -> DataFrame:
     return state.upsert_touch(old, batch, AS_OF)
 
 
+def _silver_table(t: Testbed, rows: DataFrame) -> Buckets:
+    return Buckets(t.spark, scratch.fresh(t.spark, "silver"), S.SILVER, ["job_id"], BUCKETS).load(rows)
+
+
+@query
+def q30_touch_seen_partial(t: Testbed) -> DataFrame:
+    table = _silver_table(t, t.silver())
+    partial.touch(table, t.raw(), AS_OF, S.SITE_B)
+    return table.read()
+
+
+@query
+def q31_mark_inactive_partial(t: Testbed) -> DataFrame:
+    table = _silver_table(t, t.silver())
+    site = F.when(F.col("source") == S.SITE_A, S.SITE_A_SILVER).otherwise(S.SITE_B_SILVER)
+    partial.mark_inactive(table, t.raw().select(site.alias("source"), "job_url"), [S.SITE_A_SILVER, S.SITE_B_SILVER])
+    return table.read()
+
+
+@query
+def q32_expire_stale_partial(t: Testbed) -> DataFrame:
+    table = _silver_table(t, t.silver())
+    partial.expire(table, AS_OF)
+    return table.read()
+
+
+@query
+def q33_silver_upsert_partial(t: Testbed) -> DataFrame:
+    old, batch = _old_and_batch(t)
+    table = _silver_table(t, old)
+    partial.upsert(table, batch, AS_OF)
+    return table.read()
+
+
 @query
 def q33_status_changes(t: Testbed) -> DataFrame:
     old, batch = _old_and_batch(t)
@@ -350,6 +451,18 @@ def q37_skill_dictionary(t: Testbed) -> DataFrame:
     return found.select("doc_id", F.array_join("skills", ", ").alias("skills"), F.size("skills").alias("n_skills"))
 
 
+@query
+def q37_phrase_dictionary(t: Testbed) -> DataFrame:
+    """Aliases of two and three tokens, taken from the benchmark items, in whole documents; longest match first."""
+    words = t.table("benchmark").select(text.tokens("text").alias("w"))
+    starts = F.sequence(F.lit(1), F.size("w") - F.col("n") + 1)
+    spans = words.select("w", F.explode(F.array(F.lit(2), F.lit(3))).alias("n")).where(F.size("w") >= F.col("n"))
+    spans = spans.select(F.explode(F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.col("n")), " "))).alias("alias"))
+    aliases = spans.distinct().select("alias", F.concat(F.lit("#"), "alias").alias("canonical"))
+    found = contract.skills_from_phrases(t.doc_silver(split=True), aliases, "doc_id", "text")
+    return found.select("doc_id", F.array_join("skills", ", ").alias("skills"), F.size("skills").alias("n_skills"))
+
+
 # --- index ------------------------------------------------------------------------------------
 
 
@@ -393,6 +506,14 @@ def q43_dense_top30(t: Testbed) -> DataFrame:
     return hits.select("qid", "id", "score", "rank")
 
 
+@query
+def q43_dense_top30_pruned(t: Testbed) -> DataFrame:
+    """The same rows from a written index whose groups are skipped by their bounds."""
+    v = t.table("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("dense"), F.col("label").alias("yoe"))
+    built = dense_index.build(v, scratch.fresh(t.spark, "vectors"))
+    return dense_index.top_k(v.withColumnRenamed("id", "qid"), built, 30, exclude_self=True)[0]
+
+
 def _corpus(t: Testbed, split: bool = False) -> DataFrame:
     """Documents as postings: payload, whole text and index document."""
     silver = t.doc_silver(split)
@@ -422,6 +543,13 @@ def q44_sparse_top30(t: Testbed) -> DataFrame:
     return hits.select("qid", "id", "score", "rank")
 
 
+@query
+def q44_sparse_top30_blocks(t: Testbed) -> DataFrame:
+    """The same rows from impact-ordered postings that are read as far as they can matter."""
+    built = postings.build(_indexed(t), scratch.fresh(t.spark, "postings"))
+    return postings.top_k(_candidates(t), built, 30)[0]
+
+
 def _fused(t: Testbed, q: search.Queries) -> DataFrame:
     return search.fuse(search.top_k(q, _indexed(t), k=30), k=30)
 
@@ -566,3 +694,23 @@ def q61_batch_silver(t: Testbed) -> DataFrame:
     jobs, old = _staged(t), t.silver().where(F.col("processed_at") < _day(OLD_END))
     records = batch.extract_step(state.pending_jobs(jobs, old, keep=("source",)))
     return batch.silver_step(old, jobs, records, AS_OF)
+
+
+@query
+def q61_batch_silver_partial(t: Testbed) -> DataFrame:
+    """The same run on bucketed tables."""
+    lake = _lake(t)
+    lake.load_silver(t.silver().where(F.col("processed_at") < _day(OLD_END)))
+    lake.observe(t.raw())
+    path = scratch.fresh(t.spark, "records")
+    batch.extract_step(lake.pending()).write.parquet(path)
+    lake.advance(lake.jobs.read(), t.spark.read.schema(batch.RECORDS).parquet(path), AS_OF, lake.crawl_urls())
+    return lake.silver.read()
+
+
+#: Queries that write tables of their own before they answer.
+WRITING = {
+    name
+    for name in _QUERIES
+    if name.endswith(("_advanced", "_buckets", "_by_feed", "_sketched", "_partial", "_pruned", "_blocks"))
+}

@@ -413,6 +413,27 @@ SELECT doc_id, coalesce(skills, '') AS skills, coalesce(n, 0) AS n_skills FROM d
 
     day = f"CAST({INDEX_DAY} AS DATE)"
     gone = f"status = 'Inactive' AND last_seen_at >= {day} - INTERVAL 2 DAY"
+    out["q37_phrase_dictionary"] = f"""WITH RECURSIVE b AS MATERIALIZED (SELECT {TOKENS.format(x='text')} AS w FROM benchmark),
+dict AS MATERIALIZED (SELECT DISTINCT n, array_to_string(w[i : i + n - 1], ' ') AS alias
+  FROM (SELECT w, n, unnest(range(1, len(w) - n + 2)) AS i FROM b, (SELECT unnest([2, 3]) AS n))),
+w AS MATERIALIZED (SELECT doc_id, {TOKENS.format(x='text')} AS ws FROM documents),
+hit AS MATERIALIZED (SELECT doc_id, pos, max(n) AS n FROM (
+    SELECT doc_id, pos, n, array_to_string(ws[pos : pos + n - 1], ' ') AS alias
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS pos FROM w), (SELECT unnest([2, 3]) AS n)
+    WHERE pos + n - 1 <= len(ws)) JOIN dict USING (n, alias) GROUP BY doc_id, pos),
+-- the next match starts behind this one: within the next three places that have one
+chain AS MATERIALIZED (SELECT doc_id, pos, n, row_number() OVER o AS nth,
+  CASE WHEN lead(pos) OVER o >= pos + n THEN lead(pos) OVER o WHEN lead(pos, 2) OVER o >= pos + n THEN lead(pos, 2) OVER o
+    ELSE lead(pos, 3) OVER o END AS follow FROM hit WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+kept AS (
+  SELECT doc_id, n, pos, follow FROM chain WHERE nth = 1
+  UNION ALL
+  SELECT c.doc_id, c.n, c.pos, c.follow FROM kept JOIN chain c ON kept.doc_id = c.doc_id AND kept.follow = c.pos),
+f AS (SELECT doc_id, '#' || array_to_string(ws[pos : pos + n - 1], ' ') AS canonical, min(pos) AS pos
+  FROM kept JOIN w USING (doc_id) GROUP BY ALL),
+g AS (SELECT doc_id, string_agg(canonical, ', ' ORDER BY pos, canonical) AS skills, CAST(count(*) AS INTEGER) AS n FROM f GROUP BY doc_id)
+SELECT doc_id, coalesce(skills, '') AS skills, coalesce(n, 0) AS n_skills FROM documents LEFT JOIN g USING (doc_id)"""
+
     out["q40_index_full"] = f"WITH {SILVER} SELECT {_points()} FROM silver WHERE status = 'Active'"
     out["q40_index_incremental"] = f"""WITH {SILVER}
 SELECT {_points()} FROM silver WHERE status = 'Active' AND CAST(processed_at AS DATE) = {day}"""
@@ -482,4 +503,15 @@ GROUP BY ALL HAVING count(*) > 1"""
     out["q61_batch_silver"] = _batch_silver()
     out["q60_table_peek"] = f"WITH {RAW} SELECT job_url, job_title FROM raw ORDER BY job_url, job_title LIMIT 10"
     out["q60_index_peek"] = f"WITH {SILVER} SELECT {_points()} FROM silver ORDER BY point_id LIMIT 1"
+
+    # other ways to the rows of a query above
+    for name in ("q03_union_sources_advanced", "q13_bronze_insert_buckets", "q30_touch_seen_partial", "q31_mark_inactive_partial",
+                 "q32_expire_stale_partial", "q33_silver_upsert_partial", "q43_dense_top30_pruned", "q44_sparse_top30_blocks",
+                 "q61_batch_silver_partial"):
+        out[name] = out[name.rsplit("_", 1)[0]]
+    later = f"""{_upsert()}, moved AS (SELECT * REPLACE (CASE WHEN status = 'Active' AND last_seen_at < {_ts(C.LATER)} - INTERVAL 3 DAY
+  THEN 'Expired' ELSE status END AS status) FROM up)"""
+    for name in ("q20_skill_counts", "q21_role_summary", "q22_skills_by_level"):
+        out[f"{name}_by_feed"] = out[name].replace(f"WITH {SILVER}", f"WITH {later}").replace("FROM silver WHERE ai", "FROM moved WHERE ai")
+    out["q20_skill_counts_sketched"] = f"SELECT *, true AS within FROM ({out['q20_skill_counts']})"
     return out

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from hirelake import schemas as S
@@ -184,8 +185,24 @@ def test_model_extractor_with_retries(spark):
 def test_dictionary_skills(spark):
     docs = spark.createDataFrame([(1, "zeta alpha beta alpha gamma delta eps"), (2, "nothing here"), (3, None)], "id int, body string")
     words = spark.createDataFrame([(w, w[0].upper()) for w in ("alpha", "beta", "gamma", "delta", "eps", "zeta")] + [("alpha", "A")], "alias string, canonical string")
-    got = {r.id: r.skills for r in contract.skills_from_dictionary(docs, words, "id", "body").collect()}
-    assert got == {1: ["Z", "A", "B", "G", "D"], 2: [], 3: []}
+    first = contract.skills_from_dictionary(docs, words, "id", "body", S.MAX_SKILLS)
+    assert {r.id: r.skills for r in first.collect()} == {1: ["Z", "A", "B", "G", "D"], 2: [], 3: []}
+    whole = contract.skills_from_dictionary(docs, words, "id", "body")
+    assert {r.id: r.skills for r in whole.collect()} == {1: ["Z", "A", "B", "G", "D", "E"], 2: [], 3: []}
+
+
+@pytest.mark.parametrize("by_join", [False, True])
+def test_phrase_skills_take_the_longest_match(spark, by_join):
+    docs = spark.createDataFrame(
+        [(1, "Machine-Learning platform; learning platform, spring boot & Spring"), (2, "nothing"), (3, None), (4, ""), (5, "boot machine")],
+        "id int, body string",
+    )
+    words = [("machine learning", "ML"), ("Machine", "M"), ("learning platform", "LP"), ("spring boot", "SB"), ("spring", "S"), ("spring", "S2"), ("?", "no"), (None, "none")]
+    table = spark.createDataFrame(words, "alias string, canonical string")
+    got = {r.id: r.skills for r in contract.skills_from_phrases(docs, table, "id", "body", by_join=by_join).collect()}
+    assert got == {1: ["ML", "LP", "SB", "S", "S2"], 2: [], 3: [], 4: [], 5: ["M"]}
+    first = contract.skills_from_phrases(docs, table, "id", "body", 2, by_join).collect()
+    assert {r.id: r.skills for r in first}[1] == ["ML", "LP"]
 
 
 def test_candidate_profiles(spark):
