@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain, repeat
 
@@ -303,6 +303,53 @@ def token_overlap(query: Column, doc: Column) -> Column:
     return F.when(size > 0, F.size(F.array_intersect(query, doc)) / size).otherwise(F.lit(0.0))
 
 
+@dataclass
+class ModelScorer:
+    """A pair model for `rerank`: ``load()`` gives a function of a list of (query, document) texts to their scores.
+
+    ``name`` tells models apart; a Python worker loads each once and keeps it over its tasks. A batch has at
+    most ``pairs`` pairs, and at most ``chars`` characters when every pair is padded to the longest: pairs come
+    ordered by length, so little is padding. A pair longer than that is a batch of its own.
+    """
+
+    name: str
+    load: Callable[[], Callable[[list[tuple[str, str]]], list[float]]]
+    pairs: int = 64
+    chars: int = 65_536
+
+    def batches(self, lengths: list[int]) -> Iterator[tuple[int, int]]:
+        """(first, last) of the batches of pairs of ascending lengths."""
+        first = 0
+        for i, length in enumerate(lengths):
+            if i > first and (i - first == self.pairs or (i - first + 1) * length > self.chars):
+                yield first, i
+                first = i
+        if lengths:
+            yield first, len(lengths)
+
+    def score(self, both: DataFrame, keep: list[str]) -> DataFrame:
+        """(qid, id, *keep, rerank) of (qid, id, *keep, __a, __b): the pairs' texts."""
+        sized = both.withColumn("__n", F.length("__a") + F.length("__b")).sortWithinPartitions("__n", "qid", "id")
+        kept = ["qid", "id", *keep]
+        out = T.StructType([*[sized.schema[c] for c in kept], T.StructField("rerank", T.DoubleType())])
+
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            import pyspark
+
+            loaded = pyspark.__dict__.setdefault("_hirelake_models", {})  # lives as long as the worker
+            if self.name not in loaded:
+                loaded[self.name] = self.load()
+            model = loaded[self.name]
+            for part in parts:  # one Arrow batch at a time
+                scores = np.empty(len(part))
+                texts = list(zip(part["__a"], part["__b"], strict=True))
+                for first, last in self.batches(part["__n"].tolist()):
+                    scores[first:last] = model(texts[first:last])
+                yield part[kept].assign(rerank=np.round(scores, DIGITS))
+
+        return sized.mapInPandas(run, out)
+
+
 def rerank(
     fused: DataFrame,
     queries: Queries,
@@ -316,7 +363,7 @@ def rerank(
     """Score the fused pairs again on their texts and keep ``n`` per query: (qid, id, rerank, rank).
 
     ``corpus`` has id and text, ``queries.df`` qid and text. ``scorer`` is any column function of
-    (query tokens, document tokens); a model goes in as an Arrow UDF. ``dedupe`` names corpus columns
+    (query tokens, document tokens), or a `ModelScorer`. ``dedupe`` names corpus columns
     that make two hits the same recommendation; the best one stays. ``carry`` columns come along, so
     the corpus is read once for everything a result needs. The pair list has at most ``depth`` rows
     per query: with a checked query count it is broadcast and the corpus texts stay in place.
@@ -324,10 +371,15 @@ def rerank(
     same, extra = dedupe or [], [c for c in carry or []]
     keep = list(dict.fromkeys([*same, *extra]))
     docs = corpus.select("id", "text", *keep).join(queries.hint(fused.select("qid", "id"), depth), "id")
-    texts = queries.df.select("qid", text.tokens("text").alias("__q"))
-    both = docs.join(queries.hint(texts), "qid")
-    score = F.round(scorer(F.col("__q"), text.tokens("text")), DIGITS)
-    scored = both.select("qid", "id", *keep, score.alias("rerank")).repartition("qid")
+    if isinstance(scorer, ModelScorer):
+        asked = queries.df.select("qid", F.coalesce("text", F.lit("")).alias("__a"))
+        both = docs.withColumn("__b", F.coalesce("text", F.lit(""))).join(queries.hint(asked), "qid")
+        scored = scorer.score(both.select("qid", "id", *keep, "__a", "__b"), keep).repartition("qid")
+    else:
+        texts = queries.df.select("qid", text.tokens("text").alias("__q"))
+        both = docs.join(queries.hint(texts), "qid")
+        score = F.round(scorer(F.col("__q"), text.tokens("text")), DIGITS)
+        scored = both.select("qid", "id", *keep, score.alias("rerank")).repartition("qid")
     order = [F.desc("rerank"), F.asc("id")]
     if same:
         scored = top_per_key(scored, ["qid", *same], order, 1)

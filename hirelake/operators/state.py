@@ -23,12 +23,17 @@ def as_of_lit(as_of: dt.datetime | Column) -> Column:
 # --- bronze -------------------------------------------------------------------
 
 
-def absent_rows(old: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def absent_rows(old: DataFrame, new: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
     """The rows of ``new`` whose key is not stored yet; within the batch the first in ``order`` wins."""
-    return first_seen(new, [key], order).join(old.select(key), key, "left_anti").select(old.columns)
+    key = _keys(key)
+    return first_seen(new, key, order).join(old.select(*key), key, "left_anti").select(old.columns)
 
 
-def insert_absent(old: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
+def insert_absent(old: DataFrame, new: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
     """Stored rows as they are, plus the absent ones."""
     return old.unionByName(absent_rows(old, new, key, order))
 
@@ -39,9 +44,12 @@ def needs_description(c: Column | str) -> Column:
     return c.isNull() | c.isin("", S.JD_CONNECTION_ERROR)
 
 
-def update_column(old: DataFrame, updates: DataFrame, key: str, column: str, where: Column | None = None) -> DataFrame:
+def update_column(
+    old: DataFrame, updates: DataFrame, key: str | list[str], column: str, where: Column | None = None
+) -> DataFrame:
     """Overwrite ``column`` by key where the updates have the key (and ``where`` holds on the old row)."""
-    upd = updates.select(F.col(key), F.col(column).alias("__new"), F.lit(True).alias("__hit"))
+    key = _keys(key)
+    upd = updates.select(*key, F.col(column).alias("__new"), F.lit(True).alias("__hit"))
     hit = F.coalesce(F.col("__hit"), F.lit(False))
     if where is not None:
         hit = hit & where

@@ -96,8 +96,11 @@ class BatchResult:
     index: int
 
 
+#: A posting's identity until silver: two sites may use one id for different postings.
+SITE_KEY = ["source", "job_id"]
 DESCRIPTIONS = T.StructType(
     [
+        T.StructField("source", T.StringType()),
         T.StructField("job_id", T.StringType()),
         T.StructField("job_description", T.StringType()),
         T.StructField("retry", T.BooleanType()),
@@ -107,8 +110,8 @@ DESCRIPTIONS = T.StructType(
 
 def jobs_to_fetch(bronze: DataFrame, stored: DataFrame) -> DataFrame:
     """What an enricher has to fetch: bronze jobs without a settled description."""
-    settled = stored.where(~F.col("retry")).select("job_id")
-    return bronze.select("job_id", "job_url", "source").join(settled, "job_id", "left_anti")
+    settled = stored.where(~F.col("retry")).select(*SITE_KEY)
+    return bronze.select("job_id", "job_url", "source").join(settled, SITE_KEY, "left_anti")
 
 
 def embed_documents(docs: DataFrame) -> DataFrame:
@@ -121,11 +124,11 @@ def new_descriptions(stored: DataFrame, fetched: DataFrame) -> DataFrame:
     ``retry`` marks texts that call for another fetch, so a later run reads two narrow columns to
     know what is settled.
     """
-    settled = stored.where(~F.col("retry")).select("job_id")
+    settled = stored.where(~F.col("retry")).select(*SITE_KEY)
     rows = fetched.select(
-        "job_id", "job_description", state.needs_description("job_description").alias("retry")
-    ).join(settled, "job_id", "left_anti")
-    return staging.top_per_key(rows, ["job_id"], [F.asc("retry"), F.asc("job_description")], 1)
+        *SITE_KEY, "job_description", state.needs_description("job_description").alias("retry")
+    ).join(settled, SITE_KEY, "left_anti")
+    return staging.top_per_key(rows, SITE_KEY, [F.asc("retry"), F.asc("job_description")], 1)
 
 
 def with_descriptions(jobs: DataFrame, stored: DataFrame) -> DataFrame:
@@ -133,9 +136,9 @@ def with_descriptions(jobs: DataFrame, stored: DataFrame) -> DataFrame:
 
     ``jobs`` should be few: only their descriptions are shuffled.
     """
-    rows = stored.join(jobs.select("job_id").distinct(), "job_id", "left_semi")
-    best = staging.top_per_key(rows, ["job_id"], [F.asc("retry"), F.desc("v")], 1)
-    return state.update_column(jobs, best, "job_id", "job_description")
+    rows = stored.join(jobs.select(*SITE_KEY).distinct(), SITE_KEY, "left_semi")
+    best = staging.top_per_key(rows, SITE_KEY, [F.asc("retry"), F.desc("v")], 1)
+    return state.update_column(jobs, best, SITE_KEY, "job_description")
 
 
 def report(spark: SparkSession, root: str, result: BatchResult) -> DataFrame:
@@ -166,7 +169,7 @@ def run_batch(
     """Write the next version of every table.
 
     ``new_cards`` are bronze-shaped rows plus the crawl ``order`` columns; ``descriptions`` is
-    (job_id, job_description). With ``crawl_is_complete`` a posting the cards miss becomes Inactive.
+    (source, job_id, job_description). With ``crawl_is_complete`` a posting the cards miss becomes Inactive.
     Bronze cards and descriptions are append-only, so a run never
     rewrites the texts and the staging window never carries them. Each step reads back the table the
     step before wrote: a lost executor recomputes one step at most, and lineage never grows across
@@ -174,7 +177,7 @@ def run_batch(
     """
     store = Snapshots(spark, root)
     cards = store.read_all("bronze", S.RAW).select(S.RAW.names)
-    v_bronze = store.write("bronze", state.absent_rows(cards, new_cards, "job_id", order))
+    v_bronze = store.write("bronze", state.absent_rows(cards, new_cards, SITE_KEY, order))
     texts = store.read_all("descriptions", DESCRIPTIONS)
     v_texts = store.write("descriptions", new_descriptions(texts, descriptions))
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake import schemas as S
 from hirelake.functions import rules, text, vectors
 from hirelake.operators import contract, dashboard, dense_index, gold, gold_feed, index, partial, postings, search, staging, state
-from hirelake.plans import batch, incremental
+from hirelake.plans import batch, crawl, incremental
 from hirelake.sources import pages, scratch, tables
 from hirelake.sources.buckets import Buckets
+from hirelake.sources.snapshots import Snapshots
 from hirelake.sources.testbed import Testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,6 +206,78 @@ def q13_bronze_insert_buckets(t: Testbed) -> DataFrame:
     return table.read()
 
 
+def _site_page(t: Testbed, broken: str, bare: str, full: str) -> DataFrame:
+    """The pages with their lists of links written as one site's job cards.
+
+    Links named The, and, in or to become cards without a title, those from a to m cards with little in them,
+    all others full cards; in the templates $1 is the link, $2 its text and {page} the page's id.
+    """
+    page = t.table("pages")
+    html = F.col("html")
+    for words, card in (("The|and|in|to", broken), ("[a-m][^<]*", bare), ("[^<]*", full)):
+        parts = [F.lit(p) for p in card.split("{page}")]
+        made = parts[0]
+        for part in parts[1:]:
+            made = F.concat(made, F.col("page_id").cast("string"), part)
+        html = F.regexp_replace(html, F.lit(f'<li><a href="([^"]*)">({words})</a></li>'), made)
+    return tables.spread(page).withColumn("html", html)
+
+
+def _known_ids(found: DataFrame) -> DataFrame:
+    """Cards as they are, the made-up ids of broken ones as 'error'."""
+    bad = F.col("job_id").startswith("error_url_") & (F.col("job_id") == F.col("job_url"))
+    ids = {c: F.when(bad, F.lit("error")).otherwise(F.col(c)) for c in ("job_id", "job_url")}
+    return found.withColumns(ids)
+
+
+@query
+def q17_site_a_cards(t: Testbed) -> DataFrame:
+    """Cards by the rules of site A."""
+    page = _site_page(
+        t,
+        '<div class="job-card x"><p>$2</p></div>',
+        '<div class="x job-card"><h3 data-url="$1">$2</h3><a class="itags">no</a></div>',
+        '<div class="a job-card"><h3 class="t" data-url="$1?lab=1"> <b>$2</b> </h3><span class="k text-hover-underline"><a href="/c">'
+        '$2 Co</a></span><div class="text-truncate">none</div><div class="text-truncate" title="City {page}">x</div>'
+        '<a class="itag b">$2</a><a class="itag">SQL</a><a class="sign-in-view-salary">in</a></div>',
+    )
+    return _known_ids(pages.cards(page, pages.SITE_A_CARDS))
+
+
+@query
+def q18_site_b_cards(t: Testbed) -> DataFrame:
+    """Cards by the rules of site B."""
+    page = _site_page(
+        t,
+        '<div class="job-item-search-result"><h3>$2</h3></div>',
+        '<div class="job-item-search-result b"><a class="job-title" href="$1">$2</a><label class="note">n</label></div>',
+        '<div class="job-item-search-result"><h3><a href="$1/{page}.html?ta=1">$2</a></h3><a class="the company">$2 Co</a>'
+        '<label class="address m"> City {page} </label><label class="title salary">{page} - 99</label></div>',
+    )
+    return _known_ids(pages.cards(page, pages.SITE_B_CARDS))
+
+
+@query
+def q19_site_details(t: Testbed) -> DataFrame:
+    """Descriptions by the rules of both sites, with bad answers, refused pages and pages without a text."""
+    page = tables.spread(t.table("pages"))
+    page_id = F.col("page_id")
+
+    def article(tag: str, attribute: str) -> Column:
+        inside = F.replace(F.replace("html", F.lit("<article>"), F.lit(f"<{tag} {attribute}>")), F.lit("</article>"), F.lit(f"</{tag}>"))
+        return F.when(page_id % 6 != 1, inside).otherwise(F.col("html"))
+
+    def details(html: Column, bad: Column, status: int) -> DataFrame:
+        refused = F.when(page_id % 7 == 0, F.regexp_replace(html, "<title>", "<title>Cloudflare ")).otherwise(html)
+        code = F.when(bad, F.lit(status)).otherwise(F.lit(200))
+        return page.select(page_id.cast("string").alias("page_id"), refused.alias("html"), code.alias("status"))
+
+    return crawl.detail_texts(
+        details(article("section", 'class="x job-content"'), page_id % 5 == 0, 404),
+        details(article("div", 'class="box-info-job y"'), page_id % 4 == 0, 500),
+    )
+
+
 # --- gold and market reports ------------------------------------------------------------
 
 
@@ -249,6 +322,16 @@ def q21_role_summary_by_feed(t: Testbed) -> DataFrame:
     return _moved(t).role_summary()
 
 
+@query
+def q21_role_summary_pinned(t: Testbed) -> DataFrame:
+    """A mart rebuilt as a table, read at its first version after a second one was written."""
+    store = Snapshots(t.spark, scratch.fresh(t.spark, "marts"))
+    marts = gold.role_summary(t.silver())
+    first = store.write("role_summary", marts)
+    store.write("role_summary", gold.role_summary(t.silver().where(F.col("source") == S.SITE_A_SILVER)))
+    return store.read("role_summary", marts.schema, first)
+
+
 @query
 def q22_skills_by_level_by_feed(t: Testbed) -> DataFrame:
     return _moved(t).gold("levels")
@@ -495,6 +578,23 @@ def q42_index_upsert(t: Testbed) -> DataFrame:
     return _flat(index.index_upsert(index.documents(silver.where(seen < _day(OLD_END))), index.documents(again)))
 
 
+@query
+def q42_index_sync(t: Testbed) -> DataFrame:
+    """A full load on one day and the sync of the next, when some postings had vanished."""
+    day = F.col("processed_at")
+    before, after = (F.lit(d).cast("date").cast("timestamp_ntz") for d in (INDEX_DAY, INDEX_DAY + dt.timedelta(days=1)))
+    first = t.silver().where(day < before)
+    gone = F.col("job_id").cast("long") % 5 == 0
+    second = (
+        t.silver()
+        .where(day < after)
+        .withColumn("last_seen_at", F.when(gone & (day < before), F.lit(INDEX_DAY).cast("timestamp_ntz")).otherwise(F.col("last_seen_at")))
+        .withColumn("status", F.when(gone & (day < before), F.lit(S.INACTIVE)).otherwise(F.col("status")))
+    )
+    loaded = index.sync(index.documents(first).limit(0), first, INDEX_DAY - dt.timedelta(days=1), True)
+    return _flat(index.sync(loaded, second, INDEX_DAY, False))
+
+
 # --- search ------------------------------------------------------------------------------------
 
 
@@ -559,10 +659,10 @@ def q45_rrf(t: Testbed) -> DataFrame:
     return _fused(t, _candidates(t))
 
 
-def _ranked(t: Testbed, *carry: str) -> tuple[search.Queries, DataFrame]:
+def _ranked(t: Testbed, *carry: str, dedupe: tuple[str, ...] = ("text",)) -> tuple[search.Queries, DataFrame]:
     q = _candidates(t)
     ranked = search.rerank(
-        _fused(t, q), q, _corpus(t, split=True), depth=30, n=10, dedupe=["text"], carry=list(carry)
+        _fused(t, q), q, _corpus(t, split=True), depth=30, n=10, dedupe=list(dedupe), carry=list(carry)
     )
     return q, ranked
 
@@ -572,6 +672,33 @@ def q46_rerank_top10(t: Testbed) -> DataFrame:
     return _ranked(t)[1]
 
 
+@query
+def q46_rerank_by_title(t: Testbed) -> DataFrame:
+    """Postings of one title and source are one recommendation."""
+    return _ranked(t, dedupe=("title", "source"))[1]
+
+
+@query
+def q46_rerank_model(t: Testbed) -> DataFrame:
+    """The same ranking by a pair model that sees texts in batches of like lengths."""
+
+    def load():
+        import re
+
+        def tokens(x: str) -> set[str]:
+            return {w for w in re.findall(r"[^\W_]+", x.lower())}
+
+        def score(pairs: list[tuple[str, str]]) -> list[float]:
+            both = [(tokens(a), tokens(b)) for a, b in pairs]
+            return [len(a & b) / len(a) if a else 0.0 for a, b in both]
+
+        return score
+
+    q = _candidates(t)
+    model = search.ModelScorer("token overlap", load)
+    return search.rerank(_fused(t, q), q, _corpus(t, split=True), depth=30, n=10, scorer=model, dedupe=["text"])
+
+
 @query
 def q47_match_context(t: Testbed) -> DataFrame:
     q, ranked = _ranked(t, "page_content")
@@ -712,5 +839,5 @@ def q61_batch_silver_partial(t: Testbed) -> DataFrame:
 WRITING = {
     name
     for name in _QUERIES
-    if name.endswith(("_advanced", "_buckets", "_by_feed", "_sketched", "_partial", "_pruned", "_blocks"))
+    if name.endswith(("_advanced", "_buckets", "_by_feed", "_sketched", "_partial", "_pruned", "_blocks", "_pinned"))
 }

@@ -36,12 +36,13 @@ def listing_cards(site_a: DataFrame, site_b: DataFrame, crawl_time: Column) -> D
 
 
 def detail_texts(site_a: DataFrame, site_b: DataFrame) -> DataFrame:
-    """(job_id, job_description) of saved detail pages: page_id = job id, html, HTTP status.
+    """(source, job_id, job_description) of saved detail pages: page_id = job id, html, HTTP status.
 
     A bad status is final on site A ('Error <code>') and worth another fetch on site B.
     """
-    parts = [
-        pages.job_descriptions(site_a, pages.SITE_A_JD, "status", check_blocked=False),
-        pages.job_descriptions(site_b, pages.SITE_B_JD, "status", S.JD_CONNECTION_ERROR),
-    ]
-    return union_sources(*parts).withColumnRenamed("page_id", "job_id")
+    parts = {
+        S.SITE_A: pages.job_descriptions(site_a, pages.SITE_A_JD, "status", check_blocked=False),
+        S.SITE_B: pages.job_descriptions(site_b, pages.SITE_B_JD, "status", S.JD_CONNECTION_ERROR),
+    }
+    rows = [df.select(F.lit(s).alias("source"), F.col("page_id").alias("job_id"), "job_description") for s, df in parts.items()]
+    return union_sources(*rows)

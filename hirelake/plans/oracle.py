@@ -504,10 +504,51 @@ GROUP BY ALL HAVING count(*) > 1"""
     out["q60_table_peek"] = f"WITH {RAW} SELECT job_url, job_title FROM raw ORDER BY job_url, job_title LIMIT 10"
     out["q60_index_peek"] = f"WITH {SILVER} SELECT {_points()} FROM silver ORDER BY point_id LIMIT 1"
 
+    kinds = """CASE WHEN text IN ('The', 'and', 'in', 'to') THEN 'broken' WHEN regexp_full_match(text, '[a-m][^<]*') THEN 'bare' ELSE 'full' END"""
+    links = f"""links AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">[^<]*</a></li>', 1)) AS link,
+    unnest(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1)) AS text,
+    unnest(range(len(regexp_extract_all(html, '<li><a href="([^"]*)">[^<]*</a></li>', 1)))) AS card_idx FROM pages),
+cards AS (SELECT page_id, CAST(card_idx AS INTEGER) AS card_idx, link, text, {kinds} AS kind FROM links)"""
+    out["q17_site_a_cards"] = f"""WITH {links}, c AS (SELECT *, split_part(CASE WHEN link = '' OR starts_with(link, 'http') THEN link
+  ELSE '{S.SITE_A_HOST}' || link END, '?', 1) AS core FROM cards)
+SELECT page_id, card_idx, CASE kind WHEN 'broken' THEN 'error' ELSE core END AS job_id,
+  CASE kind WHEN 'broken' THEN 'error' ELSE core END AS job_url,
+  CASE kind WHEN 'broken' THEN '{S.TITLE_ERROR}' ELSE text END AS job_title,
+  CASE kind WHEN 'full' THEN text || ' Co' ELSE '{S.UNKNOWN_COMPANY}' END AS company_name,
+  CASE kind WHEN 'full' THEN 'City ' || page_id ELSE '{S.UNKNOWN_LOCATION}' END AS location,
+  CASE kind WHEN 'full' THEN '{S.SALARY_SIGN_IN}' ELSE '{S.SALARY_UPDATING}' END AS salary_raw,
+  CASE kind WHEN 'full' THEN text || ', SQL' ELSE '' END AS tech_stack FROM c"""
+    out["q18_site_b_cards"] = f"""WITH {links}, d AS (SELECT * REPLACE (CASE kind WHEN 'full' THEN link || '/' || page_id || '.html?ta=1' ELSE link END AS link) FROM cards),
+c AS (SELECT *, split_part(CASE WHEN starts_with(link, 'http') THEN link ELSE '{S.SITE_B_HOST}' || link END, '?', 1) AS core FROM d)
+SELECT page_id, card_idx, CASE kind WHEN 'broken' THEN 'error' WHEN 'full' THEN CAST(page_id AS VARCHAR) ELSE core END AS job_id,
+  CASE kind WHEN 'broken' THEN 'error' ELSE core END AS job_url,
+  CASE kind WHEN 'broken' THEN '{S.TITLE_ERROR}' ELSE text END AS job_title,
+  CASE kind WHEN 'full' THEN text || ' Co' ELSE '{S.UNKNOWN_COMPANY}' END AS company_name,
+  CASE kind WHEN 'full' THEN 'City ' || page_id ELSE '{S.UNKNOWN_LOCATION}' END AS location,
+  CASE kind WHEN 'full' THEN page_id || ' - 99' ELSE '{S.SALARY_NEGOTIABLE}' END AS salary_raw,
+  '{S.TECH_STACK_LATER}' AS tech_stack FROM c"""
+    body = LINES.format(x=ARTICLE)
+    out["q19_site_details"] = f"""SELECT 'ITViec' AS source, CAST(page_id AS VARCHAR) AS job_id, CASE WHEN page_id % 5 = 0 THEN 'Error 404'
+  WHEN page_id % 6 = 1 THEN 'JD content not found' ELSE {body} END AS job_description FROM pages
+UNION ALL
+SELECT 'TopCV', CAST(page_id AS VARCHAR), CASE WHEN page_id % 4 = 0 OR page_id % 7 = 0 THEN 'Connection error'
+  WHEN page_id % 6 = 1 THEN 'JD content not found' ELSE {body} END FROM pages"""
+    out["q42_index_sync"] = f"""WITH {SILVER}, loaded AS (SELECT {_points()}, processed_at FROM silver WHERE status = 'Active' AND processed_at < {day}),
+second AS (SELECT * REPLACE (
+    CASE WHEN CAST(job_id AS BIGINT) % 5 = 0 AND processed_at < {day} THEN {INDEX_DAY} ELSE last_seen_at END AS last_seen_at,
+    CASE WHEN CAST(job_id AS BIGINT) % 5 = 0 AND processed_at < {day} THEN 'Inactive' ELSE status END AS status)
+  FROM silver WHERE processed_at < {day} + INTERVAL 1 DAY)
+SELECT * EXCLUDE (processed_at) FROM loaded WHERE meta_job_id NOT IN (SELECT job_id FROM second WHERE {gone})
+  AND meta_job_id NOT IN (SELECT job_id FROM second WHERE status = 'Active' AND CAST(processed_at AS DATE) = {day})
+UNION ALL
+SELECT {_points()} FROM second WHERE status = 'Active' AND CAST(processed_at AS DATE) = {day}"""
+    out["q46_rerank_by_title"] = out["q46_rerank_top10"].replace("PARTITION BY qid, text", "PARTITION BY qid, title, source")
+    out["q46_rerank_model"] = out["q46_rerank_top10"]
+
     # other ways to the rows of a query above
     for name in ("q03_union_sources_advanced", "q13_bronze_insert_buckets", "q30_touch_seen_partial", "q31_mark_inactive_partial",
                  "q32_expire_stale_partial", "q33_silver_upsert_partial", "q43_dense_top30_pruned", "q44_sparse_top30_blocks",
-                 "q61_batch_silver_partial"):
+                 "q61_batch_silver_partial", "q21_role_summary_pinned"):
         out[name] = out[name.rsplit("_", 1)[0]]
     later = f"""{_upsert()}, moved AS (SELECT * REPLACE (CASE WHEN status = 'Active' AND last_seen_at < {_ts(C.LATER)} - INTERVAL 3 DAY
   THEN 'Expired' ELSE status END AS status) FROM up)"""

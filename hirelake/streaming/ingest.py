@@ -31,7 +31,7 @@ def ingest(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         stored = store.read_all("bronze", S.RAW).select(S.RAW.names)
-        store.write("bronze", state.absent_rows(stored, batch, "job_id", order))
+        store.write("bronze", state.absent_rows(stored, batch, ["source", "job_id"], order))
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
     return (

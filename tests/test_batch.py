@@ -10,7 +10,10 @@ from hirelake import schemas as S
 from hirelake.plans import batch, crawl
 from hirelake.plans.match import match
 from hirelake.sources.snapshots import Snapshots
+from hirelake.operators.staging import first_seen
+from hirelake.operators.state import expire_stale
 from hirelake.streaming.ingest import ingest
+from hirelake.streaming.lifecycle import EVENTS, first_rows, follow, statuses
 
 CARDS = T.StructType([*S.RAW.fields, T.StructField("pos", T.IntegerType())])
 DAY1, DAY2 = dt.datetime(2024, 5, 1, 8), dt.datetime(2024, 5, 9, 8)
@@ -21,7 +24,9 @@ def card(job, site, when, pos=0, title="Senior Backend Developer"):
 
 
 def descriptions(spark, *rows):
-    return spark.createDataFrame(rows, "job_id string, job_description string")
+    """(job, text) of site A, (job, text, site) of any."""
+    full = [(r[2] if len(r) > 2 else S.SITE_A, *r[:2]) for r in rows]
+    return spark.createDataFrame(full, "source string, job_id string, job_description string")
 
 
 def run(spark, root, cards, jds, when):
@@ -39,7 +44,7 @@ def test_two_days(spark, tmp_path):
         spark,
         root,
         [card("a", S.SITE_A, DAY1), card("a", S.SITE_A, DAY1, 1, "later card"), card("b", S.SITE_B, DAY1), card("c", S.SITE_B, DAY1)],
-        [("a", "5 years of Python and SQL"), ("b", "Connection error")],
+        [("a", "5 years of Python and SQL"), ("b", "Connection error", S.SITE_B)],
         DAY1,
     )
     assert (first.bronze, first.silver, first.index) == (1, 1, 1)
@@ -54,7 +59,7 @@ def test_two_days(spark, tmp_path):
         spark,
         root,
         [card("a", S.SITE_A, DAY2, 0, "changed"), card("d", S.SITE_A, DAY2)],
-        [("a", "other text"), ("b", "Docker"), ("d", "Go")],
+        [("a", "other text"), ("b", "Docker", S.SITE_B), ("d", "Go")],
         DAY2,
     )
     assert second.silver == 2 and store.versions("silver") == [1, 2]
@@ -92,7 +97,7 @@ def test_complete_crawl_marks_and_unindexes(spark, tmp_path):
 def test_matching_on_the_written_tables(spark, tmp_path):
     root, store = str(tmp_path), Snapshots(spark, str(tmp_path))
     cards = [card("py", S.SITE_A, DAY1, title="Python Developer"), card("ops", S.SITE_B, DAY1, title="DevOps"), card("boss", S.SITE_A, DAY1, title="Architect")]
-    jds = [("py", "2 years of Python, SQL and Docker"), ("ops", "1 year, Kubernetes"), ("boss", "9 years of Python")]
+    jds = [("py", "2 years of Python, SQL and Docker"), ("ops", "1 year, Kubernetes", S.SITE_B), ("boss", "9 years of Python")]
     run(spark, root, cards, jds, DAY1)
     cvs = spark.createDataFrame([(1, "3 years of Python and SQL"), (2, "cook"), (3, "ops")], "qid int, cv_text string")
     answers = spark.createDataFrame([(3, "YOE: 0\nQUERY: kubernetes")], "qid int, answer string")
@@ -108,7 +113,7 @@ def test_matching_on_the_written_tables(spark, tmp_path):
 
 def test_repeated_run_changes_nothing(spark, tmp_path):
     root, store = str(tmp_path), Snapshots(spark, str(tmp_path))
-    cards, jds = [card("a", S.SITE_A, DAY1), card("b", S.SITE_B, DAY1)], [("a", "x"), ("b", "y")]
+    cards, jds = [card("a", S.SITE_A, DAY1), card("b", S.SITE_B, DAY1)], [("a", "x"), ("b", "y", S.SITE_B)]
     run(spark, root, cards, jds, DAY1)
     before = state(store)
     run(spark, root, cards, jds, DAY1)
@@ -117,7 +122,7 @@ def test_repeated_run_changes_nothing(spark, tmp_path):
 
 def test_unfinished_version_is_ignored(spark, tmp_path):
     store = Snapshots(spark, str(tmp_path))
-    df = spark.createDataFrame([("a", "x", False)], batch.DESCRIPTIONS)
+    df = spark.createDataFrame([(S.SITE_A, "a", "x", False)], batch.DESCRIPTIONS)
     assert store.versions("t") == [] and store.read("t", batch.DESCRIPTIONS).count() == 0
     assert store.write("t", df) == 1
     (tmp_path / "t" / "v=2").mkdir()
@@ -164,6 +169,61 @@ def test_job_seen_on_both_sites_is_extracted_once(spark, rows):
     assert [(r.job_id, r.source) for r in batch.extract_step(df).collect()] == [("a", S.SITE_A_SILVER)]
 
 
+def test_one_id_on_both_sites_keeps_two_rows_and_two_texts(spark, tmp_path):
+    root, store = str(tmp_path), Snapshots(spark, str(tmp_path))
+    cards = [card("7", S.SITE_A, DAY1, title="QA on A"), card("7", S.SITE_B, DAY1, title="Backend on B")]
+    jds = [("7", "Error 404"), ("7", "6 years of Go", S.SITE_B)]
+    run(spark, root, cards, jds, DAY1)
+    run(spark, root, cards, [("7", "late"), ("7", "late", S.SITE_B)], DAY2)
+    bronze = {(r.source, r.job_title) for r in store.read_all("bronze", S.RAW).collect()}
+    assert bronze == {(S.SITE_A, "QA on A"), (S.SITE_B, "Backend on B")}
+    texts = {(r.source, r.job_description) for r in store.read_all("descriptions", batch.DESCRIPTIONS).collect()}
+    assert texts == {(S.SITE_A, "Error 404"), (S.SITE_B, "6 years of Go")}
+    jobs = store.read("int_all_jobs", S.RAW)
+    seen = batch.with_descriptions(jobs, store.read_all("descriptions", batch.DESCRIPTIONS))
+    assert {(r.source, r.job_description) for r in seen.collect()} == texts
+    assert [(r.job_id, r.source) for r in store.read("silver", S.SILVER).collect()] == [("7", S.SITE_A_SILVER)]
+
+
+def test_stream_lifecycle_equals_the_batch_rules(spark, tmp_path):
+    incoming, root = str(tmp_path / "in"), str(tmp_path / "lake")
+    seen = []
+
+    def arrive(*rows):
+        seen.extend(rows)
+        spark.createDataFrame(rows, CARDS).coalesce(1).write.mode("append").parquet(incoming)
+
+    def catch_up():
+        follow(spark, incoming, CARDS, root, ["at", "pos"], delay="1 hour").awaitTermination()
+        return spark.read.schema(EVENTS).parquet(f"{root}/events")
+
+    def day(n, hour=8):
+        return dt.datetime(2024, 5, n, hour)
+
+    def check(events, newest):
+        every = spark.createDataFrame(seen, CARDS)
+        first = first_seen(every, ["source", "job_id"], ["crawl_timestamp", "pos"]).select(S.RAW.names)
+        assert sorted(map(str, first_rows(events).collect())) == sorted(map(str, first.collect()))
+        last = every.groupBy("source", "job_id").agg(F.max("crawl_timestamp").alias("last_seen_at"))
+        want = expire_stale(last.withColumn("status", F.lit(S.ACTIVE)), newest - dt.timedelta(hours=1))
+        got = {(r.source, r.job_id): r.status for r in statuses(events).collect()}
+        assert got == {(r.source, r.job_id): r.status for r in want.collect()}
+        return set(got.values())
+
+    arrive(card("a", S.SITE_A, day(1), 1, "second"), card("a", S.SITE_A, day(1), 0, "first"), card("a", S.SITE_B, day(2), 0, "other site"))
+    assert check(catch_up(), day(2)) == {S.ACTIVE}
+    arrive(card("b", S.SITE_A, day(5), 0, "b"), card("a", S.SITE_B, day(4), 0, "again"))
+    assert check(catch_up(), day(5)) == {S.ACTIVE, S.EXPIRED}
+    arrive(card("a", S.SITE_A, day(5, 9), 0, "back"), card("c", S.SITE_A, day(9), 0, "c"))
+    assert check(catch_up(), day(9)) == {S.ACTIVE, S.EXPIRED}
+    arrive(card("d", S.SITE_A, day(20), 0, "d"))
+    events = catch_up()
+    assert check(events, day(20)) == {S.ACTIVE, S.EXPIRED}
+    before = sorted(map(str, events.collect()))
+    assert sorted(map(str, catch_up().collect())) == before  # nothing new, nothing twice
+    assert events.where("event = 'seen again'").count() == 1
+
+
 def test_from_saved_pages_to_matches(spark, tmp_path):
     listing = "page_id long, url string, html string, keyword string, page_no int"
     card_a = '<div class="job-card"><h3 data-url="/it-jobs/{0}?x=1">{1}</h3></div>'

@@ -234,3 +234,42 @@ def test_index_sync(spark):
 def test_page_content_renders_missing_values(spark):
     row = index.documents(silver(spark, {"job_id": "1", "source": "A"})).first()
     assert row.page_content == "Source: A | Title: None | Tech: None | Level: None | Exp: None years | English: None"
+
+
+def test_model_rerank_in_batches_of_like_lengths(spark, tmp_path):
+    """One load a worker, batches within both bounds and in order of length, the scores those of the plain call."""
+    log = str(tmp_path / "log")
+
+    def load():
+        import os
+        import uuid
+
+        open(f"{log}-load-{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+
+        def score(pairs):
+            sizes = [len(a) + len(b) for a, b in pairs]
+            with open(f"{log}-batch-{os.getpid()}", "a") as f:
+                f.write(f"{len(pairs)} {max(sizes)} {min(sizes)}\n")
+            return [len(set(a) & set(b)) / (1 + len(b)) for a, b in pairs]
+
+        return score
+
+    texts = {i: "xyz"[i % 3] * (1 + i * 37 % 400) for i in range(300)} | {300: "y" * 5000, 301: None}
+    corpus = spark.createDataFrame([(i, t, f"s{i % 9}") for i, t in texts.items()], "id long, text string, source string").repartition(6)
+    asked = {0: "xy", 1: "z" * 90, 2: None}
+    queries = search.measured(spark.createDataFrame(list(asked.items()), "qid long, text string"))
+    fused = spark.createDataFrame([(q, i) for q in asked for i in texts], "qid long, id long")
+    model = search.ModelScorer(f"test {tmp_path}", load, pairs=16, chars=2000)
+    for _ in range(2):
+        got = search.rerank(fused, queries, corpus, depth=302, n=7, scorer=model, carry=["source"]).collect()
+    want = []
+    for q, a in asked.items():
+        scored = [(-round(len(set(a or "") & set(t or "")) / (1 + len(t or "")), 6), i) for i, t in texts.items()]
+        want += [(q, i, -s, n, f"s{i % 9}") for n, (s, i) in enumerate(sorted(scored)[:7], 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    loads = [p.name.split("-")[2] for p in tmp_path.iterdir() if "-load-" in p.name]
+    assert len(loads) == len(set(loads))  # a worker that scored in both runs loaded once
+    sizes = [tuple(map(int, line.split())) for p in tmp_path.iterdir() if "-batch-" in p.name for line in p.read_text().splitlines()]
+    assert sum(n for n, _, _ in sizes) == 2 * len(asked) * len(texts)
+    assert all(n <= 16 and (n == 1 or n * longest <= 2000) for n, longest, _ in sizes)
+    assert list(model.batches([])) == [] and list(model.batches([5000])) == [(0, 1)]
