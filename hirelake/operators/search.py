@@ -5,9 +5,9 @@ A corpus frame has ``id``, optional ``yoe``, and ``dense`` and / or ``terms`` wi
 (parallel arrays). ``qid`` and ``id`` are of one type.
 
 Scoring runs block against block in numpy and keeps k rows per query and block, so a (query, point)
-pair is never a Spark row. Few queries travel to the corpus partitions as a checked broadcast and
-the corpus is not shuffled; many queries are cut into slices and meet corpus slices of bounded size.
-Both ways see every pair the payload filter allows; nothing is dropped.
+pair is never a Spark row. Queries travel to the corpus partitions as a broadcast of bounded size, more of
+them in several passes; the corpus is never shuffled. Every pair that the payload filter allows is seen.
+`dense_index` and `postings` give the same rows from written indexes and read only what can matter.
 """
 
 from __future__ import annotations
@@ -26,16 +26,14 @@ from pyspark.sql import types as T
 
 from hirelake.functions import text
 from hirelake.operators.index import header
-from hirelake.operators.staging import top_per_key
+from hirelake.operators.staging import top_per_key, union_sources
+from hirelake.sources import scratch
 
-# A query set above either bound is never collected or broadcast.
+# Queries sent to the tasks at a time; a larger set takes several passes over the corpus.
 MAX_BROADCAST_QUERIES = 20_000
 MAX_BROADCAST_BYTES = 64 << 20
 # A narrow table of hits, at most this many rows, may be broadcast to fetch texts by id.
 MAX_BROADCAST_ROWS = 600_000
-# Tile sides of the shuffled way.
-CORPUS_SLICE = 20_000
-QUERY_SLICE = 2_000
 # Inside a task: corpus rows scored at once, and the most cells a score matrix may have.
 CHUNK = 1_024
 CELLS = 4_000_000
@@ -202,7 +200,7 @@ def _emit(block: _QueryBlock, best: dict[str, _Best]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["kind", "qid", "id", "score"])
 
 
-# --- the two physical ways ---------------------------------------------------------
+# --- passes over the corpus --------------------------------------------------------
 
 
 def _block_top_k(queries: Queries, corpus: DataFrame, kinds: tuple[str, ...], k: int, exclude_self: bool) -> DataFrame:
@@ -215,16 +213,24 @@ def _block_top_k(queries: Queries, corpus: DataFrame, kinds: tuple[str, ...], k:
             T.StructField("score", T.DoubleType()),
         ]
     )
-    if queries.small:
-        return _broadcast_way(queries, corpus, kinds, k, exclude_self, out)
-    return _tiled_way(queries, corpus, kinds, k, exclude_self, out)
+    passes = max(1, math.ceil(queries.count / MAX_BROADCAST_QUERIES), math.ceil(queries.bytes / MAX_BROADCAST_BYTES))
+    if passes == 1:
+        return _one_pass(queries.df, corpus, kinds, k, exclude_self, out)
+    path = scratch.fresh(corpus.sparkSession, "corpus")  # read by every pass, made once
+    corpus.write.parquet(path)
+    corpus = corpus.sparkSession.read.schema(corpus.schema).parquet(path)
+    chunk = F.pmod(F.xxhash64("qid"), F.lit(passes))
+    parts = [_one_pass(queries.df.where(chunk == i), corpus, kinds, k, exclude_self, out) for i in range(passes)]
+    return union_sources(*parts)
 
 
-def _broadcast_way(queries, corpus, kinds, k, exclude_self, out) -> DataFrame:
-    spark = corpus.sparkSession
-    rows = spark.sparkContext.broadcast(queries.df.toPandas())
+def _one_pass(queries: DataFrame, corpus: DataFrame, kinds, k, exclude_self, out) -> DataFrame:
+    """Queries of bounded size go to the corpus partitions; the corpus stays where it is."""
+    rows = corpus.sparkSession.sparkContext.broadcast(queries.toPandas())
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if rows.value.empty:  # a chunk that no query hashes to
+            return
         block = _QueryBlock(rows.value, kinds)
         best = {kind: _Best(k, len(block.qids)) for kind in kinds}
         for part in batches:
@@ -234,30 +240,6 @@ def _broadcast_way(queries, corpus, kinds, k, exclude_self, out) -> DataFrame:
     return corpus.mapInPandas(score, out)
 
 
-def _tiled_way(queries, corpus, kinds, k, exclude_self, out) -> DataFrame:
-    n_corpus = max(1, math.ceil(corpus.count() / CORPUS_SLICE))
-    n_query = max(1, math.ceil(queries.count / QUERY_SLICE))
-
-    def slice_of(key: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-
-    def all_slices(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    tiles_c = corpus.withColumn("__c", slice_of("id", n_corpus)).withColumn("__q", all_slices(n_query))
-    tiles_q = queries.df.withColumn("__q", slice_of("qid", n_query)).withColumn("__c", all_slices(n_corpus))
-
-    def score(q_rows: pd.DataFrame, c_rows: pd.DataFrame) -> pd.DataFrame:
-        if q_rows.empty or c_rows.empty:
-            return pd.DataFrame(columns=["kind", "qid", "id", "score"])
-        block = _QueryBlock(q_rows, kinds)
-        best = {kind: _Best(k, len(q_rows)) for kind in kinds}
-        _score_part(block, c_rows, kinds, best, exclude_self)
-        return _emit(block, best)
-
-    return tiles_q.groupBy("__c", "__q").cogroup(tiles_c.groupBy("__c", "__q")).applyInPandas(score, out)
-
-
 # --- public operators -----------------------------------------------------------------
 
 

@@ -246,7 +246,7 @@ def q17_site_a_cards(t: Testbed) -> DataFrame:
 
 @query
 def q18_site_b_cards(t: Testbed) -> DataFrame:
-    """Cards by the rules of site B."""
+    """Cards by the rules of site B; refused pages give none."""
     page = _site_page(
         t,
         '<div class="job-item-search-result"><h3>$2</h3></div>',
@@ -254,7 +254,9 @@ def q18_site_b_cards(t: Testbed) -> DataFrame:
         '<div class="job-item-search-result"><h3><a href="$1/{page}.html?ta=1">$2</a></h3><a class="the company">$2 Co</a>'
         '<label class="address m"> City {page} </label><label class="title salary">{page} - 99</label></div>',
     )
-    return _known_ids(pages.cards(page, pages.SITE_B_CARDS))
+    refused = F.regexp_replace("html", "<title>", "<title>Cloudflare ")
+    answers = page.withColumn("html", F.when(F.col("page_id") % 9 == 4, refused).otherwise(F.col("html")))
+    return _known_ids(pages.cards(answers.where(~pages.blocked("html")), pages.SITE_B_CARDS))
 
 
 @query
@@ -818,7 +820,7 @@ def q60_duplicate_keys(t: Testbed) -> DataFrame:
 @query
 def q61_batch_silver(t: Testbed) -> DataFrame:
     """The silver part of a batch run: touch, extract, upsert, quarantine, mark inactive, expire."""
-    jobs, old = _staged(t), t.silver().where(F.col("processed_at") < _day(OLD_END))
+    jobs, old = batch.staged(t.raw().select(S.RAW.names)), t.silver().where(F.col("processed_at") < _day(OLD_END))
     records = batch.extract_step(state.pending_jobs(jobs, old, keep=("source",)))
     return batch.silver_step(old, jobs, records, AS_OF)
 

@@ -526,7 +526,7 @@ SELECT page_id, card_idx, CASE kind WHEN 'broken' THEN 'error' WHEN 'full' THEN
   CASE kind WHEN 'full' THEN text || ' Co' ELSE '{S.UNKNOWN_COMPANY}' END AS company_name,
   CASE kind WHEN 'full' THEN 'City ' || page_id ELSE '{S.UNKNOWN_LOCATION}' END AS location,
   CASE kind WHEN 'full' THEN page_id || ' - 99' ELSE '{S.SALARY_NEGOTIABLE}' END AS salary_raw,
-  '{S.TECH_STACK_LATER}' AS tech_stack FROM c"""
+  '{S.TECH_STACK_LATER}' AS tech_stack FROM c WHERE page_id % 9 <> 4"""
     body = LINES.format(x=ARTICLE)
     out["q19_site_details"] = f"""SELECT 'ITViec' AS source, CAST(page_id AS VARCHAR) AS job_id, CASE WHEN page_id % 5 = 0 THEN 'Error 404'
   WHEN page_id % 6 = 1 THEN 'JD content not found' ELSE {body} END AS job_description FROM pages

@@ -67,15 +67,13 @@ def got(hits, kind):
     return out
 
 
-@pytest.mark.parametrize("way", ["broadcast", "tiled"])
+@pytest.mark.parametrize("way", ["one pass", "passes"])
 @pytest.mark.parametrize("exclude_self", [False, True])
 def test_top_k_matches_brute_force(spark, monkeypatch, way, exclude_self):
     corpus = make(300, copies=100)
     queries = make(23, copies=5, seed=9)
-    if way == "tiled":
-        monkeypatch.setattr(search, "MAX_BROADCAST_QUERIES", 0)
-        monkeypatch.setattr(search, "CORPUS_SLICE", 70)
-        monkeypatch.setattr(search, "QUERY_SLICE", 6)
+    if way == "passes":
+        monkeypatch.setattr(search, "MAX_BROADCAST_QUERIES", 6)
     c, q = frames(spark, corpus, queries)
     hits = search.top_k(q, c.repartition(3), k=7, exclude_self=exclude_self).persist()
     for kind in ("dense", "sparse"):
@@ -98,9 +96,7 @@ def test_sparse_scores_in_small_steps(monkeypatch, cells):
 
 
 def test_more_slices_than_queries(spark, monkeypatch):
-    monkeypatch.setattr(search, "MAX_BROADCAST_QUERIES", 0)
-    monkeypatch.setattr(search, "CORPUS_SLICE", 3)
-    monkeypatch.setattr(search, "QUERY_SLICE", 1)
+    monkeypatch.setattr(search, "MAX_BROADCAST_QUERIES", 1)
     corpus, queries = make(20), make(4, seed=8)
     c, q = frames(spark, corpus, queries)
     assert got(search.top_k(q, c, kinds=("dense",), k=4), "dense") == brute(corpus, queries, "dense", 4)
