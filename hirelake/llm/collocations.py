@@ -44,10 +44,15 @@ class Words:
         if len(text) > 1:
             self.next[:-1] = (text[1:] == text[:-1]) & (crossed[self.start[1:]] == crossed[self.end[:-1]])
 
-    def pairs(self) -> np.ndarray:
-        """Of each word with a next one: a hash of both and the language."""
-        at = np.flatnonzero(self.next)
-        return mix(self.hash[at] * np.uint64(0x9E3779B97F4A7C15) + mix(self.hash[at + 1]))
+    def grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(place, hash) of each run of ``size`` words in one piece; the hash stands for the language as well."""
+        count = max(0, len(self.hash) - size + 1)
+        inside, out = np.ones(count, bool), self.hash[:count]
+        for lead in range(1, size):
+            inside &= self.next[lead - 1 : lead - 1 + count]
+            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + mix(self.hash[lead : lead + count]))
+        place = np.flatnonzero(inside)
+        return place, out[place]
 
     def strings(self) -> pa.DictionaryArray:
         sizes = self.end - self.start
@@ -66,7 +71,33 @@ def _parts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Words]]:
         yield names[first:last], Words(data, bounds, seeds[first:last])
 
 
-def _short_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Table:
+    """A bit for each hash that may be frequent."""
+
+    def __init__(self, flags: np.ndarray, bits: int):
+        self.flags, self.bits = flags, bits
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        cell = hashes >> np.uint64(64 - self.bits)
+        return self.flags[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7))).astype(np.uint8) & 1 == 1
+
+
+def _starts(words: Words, size: int, tables: list[Table]) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the runs of ``size`` words that the tables of shorter runs let through.
+
+    The first table holds words and pairs, the next ones longer runs: whatever is frequent has frequent parts.
+    """
+    place, hashes = words.grams(size)
+    if size > 2 and len(place):
+        known = np.zeros(len(words.start), bool)
+        parts, part_hash = words.grams(size - 1)
+        known[parts] = tables[size - 3].has(part_hash)
+        kept = known[place] & known[place + 1]
+        place, hashes = place[kept], hashes[kept]
+    return place, hashes
+
+
+def _short_counts(batches: Iterator[pa.RecordBatch], sizes: tuple[int, ...], tables: list[Table]) -> Iterator[pa.RecordBatch]:
     held: list[np.ndarray] = []
 
     def summed() -> pa.RecordBatch:
@@ -75,7 +106,7 @@ def _short_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     for batch in batches:
         for _, words in _parts(batch):
-            held += [words.hash, words.pairs()]
+            held += [_starts(words, size, tables)[1] for size in sizes]
             if sum(map(len, held)) >= HELD:
                 yield summed()
                 held = []
@@ -94,48 +125,44 @@ def _blocks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([np.packbits(own).tobytes()])], ["block", "bits"])
 
 
-def frequent(rows: DataFrame, least: int) -> tuple[np.ndarray, int]:
-    """A bit table of the hashes of words and word pairs that stand ``least`` times in a language, and the logarithm of its size.
+def frequent(rows: DataFrame, least: int, sizes: tuple[int, ...], tables: list[Table]) -> Table:
+    """A table of the runs of ``sizes`` words that stand ``least`` times in a language.
 
-    A word or pair that is not in the table is no part of any candidate. The table has BITS_EACH bits for each,
+    A run that is not in the table is no part of any candidate. The table has BITS_EACH bits for each entry,
     up to 2**MOST_BITS (32 MB); a fuller table lets more through and changes no result.
     """
-    counts = rows.mapInArrow(_short_counts, "short long, c long").groupBy("short").agg(F.sum("c").alias("c"))
+    sent = rows.sparkSession.sparkContext.broadcast(tables)  # 2**MOST_BITS bits a table at most
+    counted = rows.mapInArrow(lambda it: _short_counts(it, sizes, sent.value), "short long, c long")
+    counts = counted.groupBy("short").agg(F.sum("c").alias("c"))
     often = stored(counts.where(F.col("c") >= least).select("short"), "frequent")
     bits = min(MOST_BITS, max(LEAST_BITS, (often.count() * BITS_EACH).bit_length()))
     spread = often.repartition(F.shiftrightunsigned("short", 64 - bits + BLOCK_BITS))
-    table = np.zeros(1 << (bits - 3), np.uint8)
+    flags = np.zeros(1 << (bits - 3), np.uint8)
     size = 1 << (BLOCK_BITS - 3)
-    for block, flags in spread.mapInArrow(lambda it: _blocks(it, bits), "block long, bits binary").toLocalIterator():
-        table[block * size : (block + 1) * size] |= np.frombuffer(flags, np.uint8)
-    return table, bits
-
-
-def _windows(batches: Iterator[pa.RecordBatch], table: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
-    """Each word with the LONGEST - 1 words that lead it, counted; null from the first word or pair on that is not frequent."""
+    for block, own in spread.mapInArrow(lambda it: _blocks(it, bits), "block long, bits binary").toLocalIterator():
+        flags[block * size : (block + 1) * size] |= np.frombuffer(own, np.uint8)
+    return Table(flags, bits)
 
-    def passed(hashes: np.ndarray) -> np.ndarray:
-        cell = hashes >> np.uint64(64 - bits)
-        return table[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7))).astype(np.uint8) & 1 == 1
 
+def _windows(batches: Iterator[pa.RecordBatch], tables: list[Table]) -> Iterator[pa.RecordBatch]:
+    """Each word with the LONGEST - 1 words that lead it, counted; null from the first run on that is not frequent."""
     names = WINDOWS.replace(" string", "").replace(" long", "").split(", ")
     for batch in batches:
         for langs, words in _parts(batch):
             n = len(words.start)
             if not n:
                 continue
-            known = np.zeros(n, bool)
-            known[words.next] = passed(words.pairs())
-            goes_on = passed(words.hash)
             strings = words.strings()
             ids = strings.indices.to_numpy()
             kinds, lang = np.unique(langs.astype(str), return_inverse=True)
-            columns = [lang[words.text].astype(np.int32), np.where(goes_on, ids, -1).astype(np.int32)]
-            for lead in range(1, LONGEST):
-                goes_on[: n - lead + 1] &= known[lead - 1 :]
-                goes_on[n - lead :] = False
+            columns, goes_on = [lang[words.text].astype(np.int32)], np.ones(n, bool)
+            for size in range(1, LONGEST + 1):
+                place, hashes = _starts(words, size, tables)
+                here = np.zeros(n, bool)
+                here[place] = tables[max(0, size - 2)].has(hashes) if size < LONGEST else True
+                goes_on &= here
                 led = np.full(n, -1, np.int32)
-                led[: n - lead] = np.where(goes_on[: n - lead], ids[lead:], -1)
+                led[: n - size + 1] = np.where(goes_on[: n - size + 1], ids[size - 1 :], -1)
                 columns.append(led)
             found = pa.table(columns, names=names[:-1]).group_by(names[:-1], use_threads=False).aggregate([([], "count_all")])
             arrays = [pa.array(kinds.tolist(), pa.string()).take(found.column("lang").combine_chunks())]
@@ -148,12 +175,16 @@ def _windows(batches: Iterator[pa.RecordBatch], table: np.ndarray, bits: int) ->
 def phrase_counts(rows: DataFrame, least: int) -> DataFrame:
     """(lang, n_words, phrase, f): phrases that stand ``least`` times, and as n_words 0 the words of each language.
 
-    Only the longest windows are counted. ROLLUP gives every prefix the sum of its windows: of the first
-    word, of the first two, and so on; each place of a phrase starts just one window.
+    Phrases are counted by the longest windows alone. ROLLUP gives every prefix the sum of its windows: of the
+    first word, of the first two, and so on; each place of a phrase starts just one window. Most windows stand
+    once, so before they are moved they are cut where they can be part of no candidate: tables of the hashes of
+    frequent words and pairs, then of frequent runs of one word less than a window, say where.
     """
-    table, bits = frequent(rows, least)
-    sent = rows.sparkSession.sparkContext.broadcast(table)  # 2**MOST_BITS bits at most
-    windows = rows.mapInArrow(lambda it: _windows(it, sent.value, bits), WINDOWS)
+    tables: list[Table] = []
+    for sizes in ((1, 2), *((size,) for size in range(3, LONGEST))):
+        tables.append(frequent(rows, least, sizes, tables))
+    sent = rows.sparkSession.sparkContext.broadcast(tables)  # 2**MOST_BITS bits a table at most
+    windows = rows.mapInArrow(lambda it: _windows(it, sent.value), WINDOWS)
     longest = windows.groupBy("lang", *COLUMNS).agg(F.sum("c").alias("c"))
     sums = longest.rollup("lang", *COLUMNS).agg(F.sum("c").alias("f"), F.grouping_id().alias("gid"))
     # grouping_id has a bit for each column that is summed over: 2**k - 1 for the last k

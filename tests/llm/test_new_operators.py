@@ -292,8 +292,8 @@ def test_collocations_with_a_full_table(spark, monkeypatch):
     frame = spark.createDataFrame(rows_of(texts), SCHEMA)
     want = sorted(map(tuple, collocations.collocations(frame, 5).collect()))
 
-    def everything(rows, least):
-        return np.full(1 << 15, 255, np.uint8), 18
+    def everything(rows, least, sizes, tables):
+        return collocations.Table(np.full(1 << 15, 255, np.uint8), 18)
 
     monkeypatch.setattr(collocations, "frequent", everything)
     assert want and sorted(map(tuple, collocations.collocations(frame, 5).collect())) == want
