@@ -368,14 +368,16 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each class the document with the smallest doc_id stays, of its rows the first.
 
     Rows of one doc_id with different texts are different documents: all but one of their texts are looked at
-    under numbers behind the largest doc_id. Rows of one doc_id with one text are copies, and one stays.
+    under numbers of their own, behind the largest doc_id. Rows of one doc_id with one text are copies, and one
+    stays.
     Documents without words and rows without doc_id stay, documents without words once for each doc_id.
     """
     texts = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("x")).where("doc_id IS NOT NULL")
     rows_of = texts.groupBy("doc_id").agg(F.count("*").alias("m"), F.min("x").alias("least"), F.max("x").alias("most"))
     repeated = stored(rows_of.where("m > 1").select("doc_id", "least", "most"), "repeated")
     if repeated.isEmpty():  # no row moves but for the classes
-        gone = _gone(docs.select("doc_id", "text"))
+        found = classes(docs.select("doc_id", "text"))
+        gone = stored(found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
         return docs.join(_small(gone), docs["doc_id"] == gone["gone"], "left_anti").select(*docs.columns)
     own = texts.join(_small(repeated.where("least <> most").select("doc_id", "least")), "doc_id").where("x <> least")
     own = own.select("doc_id", "x").distinct().withColumn("place", F.monotonically_increasing_id())
@@ -385,18 +387,18 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select(row, F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
     same = (F.col("doc_id") == F.col("d")) & (F.xxhash64("text") == F.col("t"))
     rows = rows.join(_small(own), same, "left").withColumn("id", F.coalesce("own", "doc_id"))
-    gone = _gone(rows.select(F.col("id").alias("doc_id"), "text"))
+    found = stored(classes(rows.select(F.col("id").alias("doc_id"), "text")).where("doc_id IS NOT NULL"), "found")
+    named = found.join(_small(own.select("own", "d")), F.col("doc_id") == F.col("own"), "left")
+    named = named.select("component_id", F.struct(F.coalesce("d", "doc_id").alias("d"), F.col("doc_id").alias("id")).alias("me"))
+    first = named.groupBy("component_id").agg(F.min("me").alias("first"))
+    gone = named.join(first, "component_id").where("me.id <> first.id").select(F.col("me.id").alias("gone")).distinct()
+    gone = stored(gone, "gone")
     rows = rows.join(_small(gone), rows["id"] == gone["gone"], "left_anti").select("row", "id")
     nth = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("row")))
     once = rows.where("id IS NOT NULL").withColumn("nth", nth).where("nth = 1").drop("nth")
     return once.union(rows.where("id IS NULL")).select("row.*")
 
 
-def _gone(docs: DataFrame) -> DataFrame:
-    found = classes(docs)
-    return stored(found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-
-
 def _small(table: DataFrame) -> DataFrame:
     """Up to MOST_SENT rows are broadcast, so that the texts they join stay where they are."""
     return F.broadcast(table) if table.count() <= MOST_SENT else table
