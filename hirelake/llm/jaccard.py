@@ -8,7 +8,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelake.llm.common import Hashes, components, documents, lowered, mix, stored, text_slices, words
@@ -22,10 +22,13 @@ ROUNDS = 2
 #: Sets up to this size may be light.
 MOST_LIGHT = 20
 
-SETS = "doc_id long, n long, s1 long, s2 long, block int, counts binary"
+SETS = "doc_id long, n long, s1 long, s2 long, marks binary, block int, counts binary"
 GRAMS = "token long, s1 long, x long"
-#: Of x: the upper bits of s2, whether the set may be a center, and the place (all ones for a subset).
-X_CENTER, X_PLACE = 24, (1 << 24) - 1
+#: Of x: lower bits of s2, the size, whether the set may be a center, and the place (all ones for a subset).
+X_S2, X_N, X_CENTER, X_PLACE = 52, 25, 24, (1 << 24) - 1
+MOST_N = (1 << (X_S2 - X_N)) - 1
+#: Signatures that a task remembers in order to write the keys of equal sets once.
+REMEMBERED = 500_000
 #: Sets up to so many are picked from the texts by a broadcast of their ids (8 bytes each), more by a shuffle.
 MOST_SENT = 1_000_000
 ARRAYS = "doc_id long, s1 long, s2 long, shingles array<long>"
@@ -73,6 +76,22 @@ def signature(members: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+def marks_of(members: np.ndarray) -> bytes:
+    """A bit for each bucket that holds a member, of a power of two buckets, two to four for each member."""
+    flags = np.zeros(max(64, 1 << (2 * len(members)).bit_length()), bool)
+    flags[(members & np.uint64(len(flags) - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def most_overlap(n: int, marks: bytes, other: int, other_marks: bytes) -> int:
+    """No two sets of these sizes and marks share more: a bucket that one has alone holds a member of its own."""
+    a, b = np.frombuffer(marks, np.uint8), np.frombuffer(other_marks, np.uint8)
+    size = min(len(a), len(b))  # the larger one is folded: its buckets of equal lower bits become one
+    a, b = (np.bitwise_or.reduce(x.reshape(-1, size), axis=0) for x in (a, b))
+    alone, other_alone = (int(np.bitwise_count(x).sum()) for x in (a & ~b, b & ~a))
+    return min(n - alone, other - other_alone)
+
+
 def _cell(members: np.ndarray, cells: int) -> np.ndarray:
     return (members >> np.uint64(13)).astype(np.int64) & (cells - 1)
 
@@ -80,22 +99,22 @@ def _cell(members: np.ndarray, cells: int) -> np.ndarray:
 def _sets(batches: Iterator[pa.RecordBatch], width: int, cells: int) -> Iterator[pa.RecordBatch]:
     """Size and signature of each text, and at the end this task's table of shingle counts."""
     names = [c.split()[0] for c in SETS.split(", ")]
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
     counts = np.zeros(cells, np.uint32)
     for batch in batches:
-        ids, sizes, s1, s2 = batch.column("doc_id").to_pylist(), [], [], []
+        ids, sizes, s1, s2, marks = batch.column("doc_id").to_pylist(), [], [], [], []
         for _, sets in shingle_sets(batch.column("text"), width):
             for members in sets:
                 a, b = signature(members) if len(members) else (0, 0)
-                sizes.append(len(members)), s1.append(a), s2.append(b)
+                sizes.append(len(members)), s1.append(a), s2.append(b), marks.append(marks_of(members))
             np.add.at(counts, _cell(np.concatenate(sets), cells), np.uint32(1))
         n = len(ids)
-        columns = (ids, sizes, s1, s2, [None] * n, [None] * n)
+        columns = (ids, sizes, s1, s2, marks, [None] * n, [None] * n)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
     used = [b for b in range(cells // BLOCK) if counts[b * BLOCK : (b + 1) * BLOCK].any()]
     rows = [counts[b * BLOCK : (b + 1) * BLOCK].tobytes() for b in used]
     none = [None] * len(used)
-    columns = (none, none, none, none, used, rows)
+    columns = (none, none, none, none, none, used, rows)
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
@@ -155,35 +174,43 @@ def _grams(batches: Iterator[pa.RecordBatch], level: np.ndarray, light: int, wid
 
     Heavy: its first members in the order rare before frequent, each the key of an inverted list, with the
     place in that order. Light: all subsets of the size that a link with a set of each size needs; the
-    sets that share one link, and the smaller of the two sizes may be the center.
+    sets that share one link, and the smaller of the two sizes may be the center. Of equal sets a task writes
+    the first one's keys.
     """
     low = -(-least * (light + 1) // 100)
+    known: set[tuple[int, int]] = set()
     for batch in batches:
         for _, sets in shingle_sets(batch.column("text"), width):
             keys, s1, x = [], [], []
 
-            def add(found: np.ndarray, s: tuple[int, int], center: bool, place) -> None:
+            def add(found: np.ndarray, s: tuple[int, int], n: int, center: bool, place) -> None:
                 keys.append(found.view(np.int64))
                 s1.append(np.full(len(found), s[0]))
-                x.append(np.full(len(found), (s[1] >> 25 << 25) | center << X_CENTER) | place)
+                low_s2 = np.int64(s[1]) << np.int64(X_S2)
+                x.append(np.full(len(found), low_s2 | min(n, MOST_N) << X_N | center << X_CENTER) | place)
 
             for members in sets:
                 n = len(members)
                 if not n:
                     continue
                 s = signature(members)
+                if s in known:
+                    continue
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                known.add(s)
                 if n >= low:
                     p = prefix(n, least)
                     order = (level[_cell(members, len(level))].astype(np.uint64) << np.uint64(56)) | (members >> np.uint64(8))
                     first = np.sort(np.partition(order, p - 1)[:p] if p < n else order)
-                    add(first, s, True, np.minimum(np.arange(p), X_PLACE - 1))
+                    add(first, s, n, True, np.minimum(np.arange(p), X_PLACE - 1))
                 if n <= light:
                     for m in partners(n, least):
                         a, b = min(n, m), max(n, m)
                         rows = np.array(list(combinations(members.tolist(), least_overlap(a, b, least))), np.uint64)
                         shape = mix(np.array([a << 32 | b], np.uint64))
                         got = mix(mix(rows + shape).sum(axis=1, dtype=np.uint64))
-                        add(got | np.uint64(1 << 63), s, n == a, X_PLACE)
+                        add(got | np.uint64(1 << 63), s, n, n == a, X_PLACE)
             if keys:
                 arrays = [pa.array(np.concatenate(c)) for c in (keys, s1, x)]
                 yield pa.RecordBatch.from_arrays(arrays, ["token", "s1", "x"])
@@ -220,7 +247,8 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     compared with nodes of other components in its list, and in the end only pairs of nodes that share a
     list, are in different components and were not compared before still are. Every pair that can link is thus
     compared or already in one component: the result is exact. Sizes and places in the order rule out pairs
-    that cannot reach the overlap; all others are compared on their whole sets.
+    that cannot reach the overlap, a list of two by that at once; then marks of the sets' members rule out
+    pairs that have too many members alone. All others are compared on their whole sets.
 
     Null or empty text, or text without words: size 0, linked with nothing. Fewer words than ``width``: one
     member, the whole sequence. Rows of one doc_id count as one document, and link. A null doc_id has its
@@ -230,6 +258,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     first = stored(rows.mapInArrow(lambda it: _sets(it, width, CELLS), SETS), "sets")
     sets = first.where("block IS NULL").select("doc_id", "n", "s1", "s2")
+    marks = first.where("block IS NULL").select("doc_id", "n", "s1", "s2", "marks")
     levels, scan = _shingle_levels(first.where("block IS NOT NULL").select("block", "counts"), CELLS)
     some = sets.where(F.col("n").between(1, 2 * MOST_LIGHT)).groupBy("n").count().collect()
     light = boundary({r[0]: r[1] for r in some}, scan, least)
@@ -241,21 +270,35 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     nodes = stored(nodes, "nodes")
     grams = rows.mapInArrow(lambda it: _grams(it, level.value, light, width, least), GRAMS)
     by_list = Window.partitionBy("token")
+
+    def place(x: Column) -> Column:
+        own = x.bitwiseAND(X_PLACE)
+        return F.when(own < X_PLACE, own).otherwise(-1).cast("int")
+
+    def size(x: Column) -> Column:
+        return F.shiftright(x, X_N).bitwiseAND(MOST_N)
+
+    one = F.struct("s1", "x")
     shared = (
-        grams.withColumn("low", F.min("s1").over(by_list))
-        .withColumn("high", F.max("s1").over(by_list))
-        .where("low <> high")
-        .select("token", "s1", "x")
-        .distinct()
+        grams.repartition("token")
+        .distinct()  # within the partitions that the windows need
+        .withColumn("m", F.count("*").over(by_list))
+        .where("m > 1")
+        .withColumn("p", F.min(one).over(by_list))
+        .withColumn("q", F.max(one).over(by_list))
     )
-    place = F.col("x").bitwiseAND(X_PLACE)
-    lists = shared.join(nodes, (shared["s1"] == nodes["s1"]) & (F.shiftright("x", 25) == F.shiftright("s2", 25)))
+    p, q = F.col("p.x"), F.col("q.x")
+    two = (F.col("m") > 2) | (place(p) < 0) | _fits(size(p), place(p), size(q), place(q), light, least)
+    shared = shared.where(two).select("token", "s1", "x", F.least("m", F.lit(1 << 30)).cast("int").alias("m"))
+    same = (F.shiftrightunsigned("x", X_S2) == F.col("s2").bitwiseAND(0xFFF)) & (size(F.col("x")) == F.least("n", F.lit(MOST_N)))
+    lists = shared.join(nodes, (shared["s1"] == nodes["s1"]) & same)
     lists = lists.select(
         "token",
         "node",
         "n",
-        F.when(place < X_PLACE, place).otherwise(-1).cast("int").alias("pos"),
+        place(F.col("x")).alias("pos"),
         (F.shiftright("x", X_CENTER).bitwiseAND(1) == 1).alias("center"),
+        "m",
     )
     lists = stored(lists, "lists")
 
@@ -274,7 +317,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
         .select("me", "other")
     )
     done = stored(_possible(pairs, light, least), "pairs")
-    links = stored(exact.union(_compared(rows, done, nodes, width, least)), "links")
+    links = stored(exact.union(_compared(rows, marks, done, nodes, width, least)), "links")
     label = stored(components(links, "a", "b"), "labels")
 
     def unseen(pairs: DataFrame) -> DataFrame:
@@ -283,7 +326,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
 
     # Of lists of up to three nodes all pairs have been looked at. Of longer ones that still hold several
     # components: their pairs across components that were not compared.
-    long = stored(heavy.withColumn("m", F.count("*").over(by_list)).where("m > 3").select("token", "node", "n", "pos"), "long")
+    long = heavy.where("m > 3").select("token", "node", "n", "pos")
 
     def labelled(df: DataFrame) -> DataFrame:
         return df.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -300,7 +343,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
         met = here.withColumn("step", step).withColumn("head", head)
         met = met.withColumn("other", F.explode(F.array("step", "head"))).where("other.label <> label")
         new = unseen(met.select("me", F.col("other.me").alias("other")))
-        grown = stored(links.union(_compared(rows, new, nodes, width, least)), "links")
+        grown = stored(links.union(_compared(rows, marks, new, nodes, width, least)), "links")
         done = done.union(new)
         if grown.count() == links.count():
             break
@@ -310,7 +353,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     left = here.select("token", "label", "me")
     right = here.select("token", F.col("label").alias("label2"), F.col("me").alias("other"))
     across = left.join(right, "token").where("label <> label2 AND me.node > other.node").select("me", "other")
-    more = _compared(rows, unseen(across), nodes, width, least)
+    more = _compared(rows, marks, unseen(across), nodes, width, least)
     label = stored(components(links.union(more), "a", "b"), "labels")
 
     by_class = nodes.join(label, "node", "left").select("s1", "s2", F.coalesce("label", "node").alias("component"))
@@ -323,19 +366,45 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
 def _possible(pairs: DataFrame, light: int, least: int) -> DataFrame:
     """Distinct pairs that size and place let link, and that are not both light."""
     a, b = F.col("me"), F.col("other")
-    need = F.ceil(least * (a["n"] + b["n"]) / F.lit(100.0 + least) - 1e-9)
-    room = 1 + F.least(a["n"] - a["pos"] - 1, b["n"] - b["pos"] - 1)
-    small, large = F.least(a["n"], b["n"]), F.greatest(a["n"], b["n"])
-    fits = (100 * small >= least * large) & (room >= need) & (large > light)
-    return pairs.where(fits).select(
+    return pairs.where(_fits(a["n"], a["pos"], b["n"], b["pos"], light, least)).select(
         F.least(a["node"], b["node"]).alias("a"), F.greatest(a["node"], b["node"]).alias("b")
     ).distinct()
 
 
-def _sets_of(rows: DataFrame, wanted: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of the wanted nodes, made anew from their texts."""
-    named = stored(wanted.join(nodes, "node").select("node", "s1", "s2"), "wanted")
-    side = F.broadcast(named) if named.count() <= MOST_SENT else named
+def _fits(n: Column, pos: Column, other: Column, other_pos: Column, light: int, least: int) -> Column:
+    """Can sets of these sizes link that share a member at these places of the order, and none before both?"""
+    need = F.ceil(least * (n + other) / F.lit(100.0 + least) - 1e-9)
+    room = 1 + F.least(n - pos - 1, other - other_pos - 1)
+    small, large = F.least(n, other), F.greatest(n, other)
+    return (100 * small >= least * large) & (room >= need) & (large > light)
+
+
+def _named(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, s1, s2) of the nodes in pairs, broadcast if they are few."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    return _small(stored(wanted.join(nodes, "node").select("node", "s1", "s2"), "wanted"))
+
+
+def _near_by_marks(pairs: DataFrame, marks: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
+    """Of the pairs those that the sizes and marks of their sets do not rule out."""
+    side = _named(pairs, nodes).withColumnRenamed("node", "doc_id")
+    found = marks.join(side, ["doc_id", "s1", "s2"]).select(F.col("doc_id").alias("node"), "n", "marks").dropDuplicates(["node"])
+    found = stored(found, "marks")
+    a = found.select(F.col("node").alias("a"), F.col("n").alias("n1"), F.col("marks").alias("m1"))
+    b = found.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("marks").alias("m2"))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = zip(*(batch.column(c).to_pylist() for c in ("n1", "m1", "n2", "m2")), strict=True)
+            kept = [(100 + least) * most_overlap(*s) >= least * (s[0] + s[2]) for s in sides]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "n1", "m1", "n2", "m2").mapInArrow(near, "a long, b long")
+
+
+def _sets_of(rows: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of the nodes in pairs, made anew from their texts."""
+    side = _named(pairs, nodes)
     texts = rows.join(side.select(F.col("node").alias("doc_id")), "doc_id")
     arrays = texts.mapInArrow(lambda it: _arrays(it, width), ARRAYS).withColumnRenamed("doc_id", "node")
     found = stored(arrays.join(side, ["node", "s1", "s2"]).select("node", "shingles"), "shingles")
@@ -343,12 +412,13 @@ def _sets_of(rows: DataFrame, wanted: DataFrame, nodes: DataFrame, width: int) -
     return found if rows_found == nodes_found else found.dropDuplicates(["node"])  # repeated rows of a doc_id
 
 
-def _compared(rows: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, least: int) -> DataFrame:
+def _compared(rows: DataFrame, marks: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int, least: int) -> DataFrame:
     """Of written pairs those whose whole sets are similar enough. Only the sets of nodes in a pair are looked up."""
+    if not pairs.isEmpty():
+        pairs = stored(_near_by_marks(pairs, marks, nodes, least), "near")
     if pairs.isEmpty():
         return pairs
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets_of = _sets_of(rows, wanted, nodes, width)
+    sets_of = _sets_of(rows, pairs, nodes, width)
     a = sets_of.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     b = sets_of.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
