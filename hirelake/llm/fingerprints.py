@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +19,8 @@ from hirelake.llm.common import Hashes, documents, mix, sliding_min, text_slices
 ANCHOR, INNER = 24, 8
 #: Places of a fingerprint; each keeps one anchor.
 BINS = 64
-#: Cells of the id range by which documents are dealt out in order, and documents of a bucket.
-CELLS, BUCKET = 1 << 16, 2000
+#: Documents of a range of ids, about, and the most ranges.
+BUCKET, RANGES = 2000, 1 << 16
 _ENTRY = np.dtype([("bin", "u1"), ("hash", "<u4"), ("pos", "<u4")])
 
 RESULT = (
@@ -156,8 +157,8 @@ def with_edits(docs: DataFrame) -> DataFrame:
     as many of the next.
 
     Documents are dealt out by ranges of doc_id and read in order, so the texts move once. Each range gets
-    a copy of the first document of the next one. What comes to the driver is one count and one id for each
-    of CELLS cells of the id range at most.
+    a copy of the first document of the next one. The ranges are those that Spark cuts the ids into, about
+    equal in documents however the ids are spread; the largest id of each, RANGES at most, comes to the driver.
 
     Null text: empty, with an empty fingerprint. One document is its own next. A row without doc_id has no
     next: its last third goes, near_next is 0. An empty table gives no rows. Other columns are not looked at.
@@ -165,40 +166,32 @@ def with_edits(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
-    if low is None:
-        cell, buckets, heads = F.lit(0), [0], {}
-    else:
-        width = float(high) - float(low) + 1.0
-        share = (F.col("doc_id").cast("double") - F.lit(float(low))) / F.lit(width)
-        cell = F.least(F.floor(share * CELLS), F.lit(CELLS - 1)).cast("int")
-        counts = rows.where("doc_id IS NOT NULL").groupBy(cell.alias("c")).agg(F.count("*"), F.max("doc_id")).collect()
-        buckets, heads, size, bucket = [0] * CELLS, {}, 0, 0
-        for c, n, top in sorted(counts):
-            if size and size + n > BUCKET:
-                bucket, size = bucket + 1, 0
-            buckets[c] = bucket
-            size += n
-            heads[bucket] = top  # the largest id of the bucket's last cell so far
-    bucket = F.element_at(F.array(*[F.lit(0)]), 1) if not heads else _looked_up(rows.sparkSession, buckets, cell)
-    loose = F.pmod(F.xxhash64("text"), F.lit(64)).cast("int") - 64
-    placed = rows.select(F.when(F.col("doc_id").isNull(), loose).otherwise(bucket).alias("bucket"), F.lit(False).alias("extra"), "doc_id", "text")
-    if heads:
-        after = {b: heads[b - 1] if b else heads[max(heads)] for b in heads}  # where each bucket goes on
-        pairs = rows.sparkSession.createDataFrame(list(after.items()), "bucket int, doc_id long")
+    ids = rows.where("doc_id IS NOT NULL").select("doc_id")
+    dealt = ids.repartitionByRange(min(RANGES, -(-ids.count() // BUCKET) or 1), "doc_id")
+    ends = dealt.groupBy(F.spark_partition_id()).agg(F.max("doc_id").alias("top")).select("top").distinct()
+    tops = np.array(sorted(r[0] for r in ends.collect()), np.int64)  # the largest id of each range
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc = batch.column("doc_id")
+            found = np.searchsorted(tops, doc.fill_null(0).to_numpy(zero_copy_only=False))
+            own = pc.if_else(doc.is_null(), batch.column("loose"), pa.array(found, pa.int32()))
+            extra = pa.array(np.zeros(batch.num_rows, bool))
+            yield pa.RecordBatch.from_arrays([own, extra, doc, batch.column("text")], ["bucket", "extra", "doc_id", "text"])
+
+    loose = F.pmod(F.xxhash64("text"), F.lit(64)).cast("int") - 64  # of rows without an id
+    placed = rows.select(loose.alias("loose"), "doc_id", "text").mapInArrow(place, "bucket int, extra boolean, doc_id long, text string")
+    if len(tops):
+        after = [(b, int(tops[b - 1])) for b in range(len(tops))]  # where each range goes on; the first: at the last
+        pairs = rows.sparkSession.createDataFrame(after, "bucket int, doc_id long")
         extra = rows.join(F.broadcast(pairs), "doc_id").select("bucket", F.lit(True).alias("extra"), "doc_id", "text")
         placed = placed.union(extra)
-    n = max(1, len(heads))
+    n = max(1, len(tops))
     ordered = placed.repartition(min(n, 1 << 15), "bucket").sortWithinPartitions(
         "bucket", "extra", F.col("doc_id").desc_nulls_last(), F.xxhash64("text")
     )
     return ordered.mapInArrow(_rows, RESULT)
 
 
-def _looked_up(spark: SparkSession, values: list[int], index):
-    """values[index] as an expression."""
-    return F.element_at(F.split(F.lit(",".join(map(str, values))), ","), index + 1).cast("int")
-
-
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_edits(documents(spark, sf_dir).select("doc_id", "text"))

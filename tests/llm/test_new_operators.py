@@ -11,9 +11,10 @@ import public_tokenizers as P
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from hirelake.llm import alignment, collocations, jaccard, mixing, neighbours, simhash
+from hirelake.llm import alignment, collocations, fingerprints, jaccard, mixing, neighbours, simhash
 
 SCHEMA = "doc_id long, text string, lang string, row string, key long, fingerprint string, a int, pair long, phrase string"
 LONG = " ".join(f"w{i * 7919 % 500} and then" for i in range(40_000))
@@ -345,3 +346,29 @@ def test_repeated_vectors_take_one_rank(spark):
     want = sorted((float(np.sqrt(((points[i] - points[100]) ** 2).sum())), i) for i in points if i != 100)[:10]
     assert [(r["rank"], r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == [(n, i) for n, (_, i) in enumerate(want, 1)]
     assert neighbours.nearest(vectors.limit(0), vectors.limit(0)).count() == 0
+
+
+def test_fingerprints_with_far_and_repeated_ids(spark, monkeypatch):
+    """Ranges follow the ids' own spread, so one far id does not put all texts into one task."""
+    monkeypatch.setattr(fingerprints, "BUCKET", 20)
+    rows = [(i, f"text number {i} " + "and some more words " * (i % 5)) for i in range(300)]
+    rows += [(2**50, "far away"), (-(2**60), "far below"), (7, "another text of id 7"), (None, "no id"), (300, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = fingerprints.with_edits(docs)
+    got = found.collect()
+    order = sorted((r for r in rows if r[0] is not None), key=lambda r: -r[0])
+    seven = [r[1] for r in rows if r[0] == 7]
+    want = {}
+    for k, (i, t) in enumerate(order):
+        t = t or ""
+        after = order[(k + 1) % len(order)][1] or ""
+        third = len(t) // 3
+        want[i, t] = hashlib.sha256((t[: len(t) - third] + after[:third]).encode()).hexdigest()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id not in (7, 8, None):  # rows of one id stand in order of a hash of their texts
+            text = next(t or "" for i, t in rows if i == r.doc_id)
+            assert r.edited_sha256 == want[r.doc_id, text] and r.n_chars == len(text)
+    assert len(seven) == sum(r.doc_id == 7 for r in got) == 2
+    sizes = [n for _, n in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 150
