@@ -5,8 +5,6 @@ Python inside tasks works on Arrow batches of one partition and keeps no more th
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,28 +12,30 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hirelake.sources.scratch import fresh
+
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that the vectorised kernels take at a time.
 SLICE = 1 << 20
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see (spark.checkpoint.dir); a temporary one only if none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="hirelake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, safe from lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/hirelake-{name}-{uuid.uuid4().hex}"
+    path = fresh(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of written tables that nothing will read again."""
+    for table in tables:
+        if path := getattr(table, "written_at", None):
+            folder = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

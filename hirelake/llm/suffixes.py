@@ -1,19 +1,16 @@
-"""Removal of repeated byte strings by refining the buckets of a suffix order.
-
-Two suffixes are in one bucket of depth h if their first h bytes are equal. A bucket's identifier is a hash
-of those bytes, read off prefix sums at any offset of a text, so the identifiers of later offsets need no
-look-up and every refinement reuses them: depth GRAM first, then with the identifiers of the bytes around,
-up to the depth asked for. A suffix alone in its bucket needs no more refinement and leaves.
-
-Not all suffixes are shuffled. Each window of ``width`` bytes is stood for by one of its grams, the one with
-the least identifier, chosen by the window's own bytes; equal windows thus meet under equal grams at equal
-offsets, and neighbouring windows share a gram.
-
-1. Initial buckets: grams that stand for windows, with the run of those windows.
-2. First refinement: the identifier of all bytes of the run. Runs in one refined bucket share all windows;
-   those not in the smallest document are repeats as a whole.
-3. Second refinement, only where an initial bucket holds several refined ones: the bucket of each window of
-   the run in the smallest document, at full depth.
+"""Removal of repeated byte strings by a winnowed hash join of windows.
+
+This takes the place of bucket-pointer refinement, which sorts every suffix again for each depth and so moves
+every byte's suffix several times (README: figures). There is no order of suffixes here and no recursion.
+
+Each window of ``width`` bytes is stood for by one of its grams, the one with the least hash, chosen by the
+window's own bytes; equal windows thus meet under equal grams at equal offsets, and neighbouring windows
+share a gram. Hashes of any bytes of a text are read off prefix sums.
+
+1. Buckets by gram: grams that stand for windows, with the run of those windows.
+2. The hash of all bytes of the run. Runs with one hash share all windows; those not in the smallest
+   document are repeats as a whole.
+3. Only where a bucket holds several such hashes: the hash of each window of the run, at full width.
 """
 
 from __future__ import annotations
