@@ -241,6 +241,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     for light sets, inverted lists for heavy ones, with the boundary chosen by cost. Lists are cheap as their
     keys are each set's rarest members, by a fixed-size table of counts of all shingles.
 
+    A list is cut into runs of nodes whose sizes let them link (`_runs`); in what follows a run is a list.
     A list of m nodes is not written out as pairs. Each node is compared with the first and with the one
     before it in the list, ordered by place: the first has the fewest rarer members, so of a group of edited
     copies it is nearest to all others. The links found give components. ROUNDS times each node is then
@@ -289,7 +290,7 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     )
     p, q = F.col("p.x"), F.col("q.x")
     two = (F.col("m") > 2) | (place(p) < 0) | _fits(size(p), place(p), size(q), place(q), light, least)
-    shared = shared.where(two).select("token", "s1", "x", F.least("m", F.lit(1 << 30)).cast("int").alias("m"))
+    shared = shared.where(two).select("token", "s1", "x")
     same = (F.shiftrightunsigned("x", X_S2) == F.col("s2").bitwiseAND(0xFFF)) & (size(F.col("x")) == F.least("n", F.lit(MOST_N)))
     lists = shared.join(nodes, (shared["s1"] == nodes["s1"]) & same)
     lists = lists.select(
@@ -298,24 +299,28 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
         "n",
         place(F.col("x")).alias("pos"),
         (F.shiftright("x", X_CENTER).bitwiseAND(1) == 1).alias("center"),
-        "m",
     )
-    lists = stored(lists, "lists")
+    lists = stored(_runs(lists, least), "lists")
 
     heavy, subsets = lists.where("pos >= 0"), lists.where("pos < 0")
     hub = F.min(F.when(F.col("center"), F.col("node"))).over(by_list)
     exact = subsets.withColumn("other", hub).where("other <> node").select(F.col("node").alias("a"), F.col("other").alias("b"))
 
-    in_order = Window.partitionBy("token").orderBy("pos", "n", "node")
+    by_run = Window.partitionBy("token", "run")
+    in_order = by_run.orderBy("pos", "n", "node")
     me = F.struct("node", "n", "pos")
-    pairs = (
-        heavy.withColumn("me", me)
+
+    def can_link(o: Column) -> Column:
+        return _fits(F.col("me.n"), F.col("me.pos"), o["n"], o["pos"], light, least)
+
+    met = (
+        heavy.where("m > 1")
+        .withColumn("me", me)
         .withColumn("before", F.lag("me").over(in_order))
         .withColumn("head", F.first("me").over(in_order))
-        .withColumn("other", F.explode(F.array_distinct(F.array("before", "head"))))
-        .where("other.node <> node")
-        .select("me", "other")
     )
+    met = met.withColumn("others", F.filter(F.array_distinct(F.array("before", "head")), lambda o: (o["node"] != F.col("node")) & can_link(o)))
+    pairs = met.select("me", F.explode("others").alias("other"))
     done = stored(_possible(pairs, light, least), "pairs")
     links = stored(exact.union(_compared(rows, marks, done, nodes, width, least)), "links")
     label = stored(components(links, "a", "b"), "labels")
@@ -326,23 +331,23 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
 
     # Of lists of up to three nodes all pairs have been looked at. Of longer ones that still hold several
     # components: their pairs across components that were not compared.
-    long = heavy.where("m > 3").select("token", "node", "n", "pos")
+    long = heavy.where("m > 3").select("token", "run", "node", "n", "pos")
 
     def labelled(df: DataFrame) -> DataFrame:
         return df.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
     def open_lists() -> DataFrame:
-        rows = labelled(long).withColumn("l", F.min("label").over(by_list)).withColumn("h", F.max("label").over(by_list))
-        return stored(rows.where("l <> h").select("token", "label", "node", "n", me.alias("me")), "open")
+        rows = labelled(long).withColumn("l", F.min("label").over(by_run)).withColumn("h", F.max("label").over(by_run))
+        return stored(rows.where("l <> h").select("token", "run", "label", "node", "n", me.alias("me")), "open")
 
     here = open_lists()
     for turn in range(ROUNDS):  # other orders: each node and the last one before it of another component
-        shuffled = Window.partitionBy("token").orderBy(F.xxhash64("label", F.lit(turn)), "me.pos", "n", "node")
+        shuffled = by_run.orderBy(F.xxhash64("label", F.lit(turn)), "me.pos", "n", "node")
         step = F.lag(F.struct("label", "me")).over(shuffled)
         head = F.first(F.struct("label", "me")).over(shuffled)
         met = here.withColumn("step", step).withColumn("head", head)
-        met = met.withColumn("other", F.explode(F.array("step", "head"))).where("other.label <> label")
-        new = unseen(met.select("me", F.col("other.me").alias("other")))
+        others = F.filter(F.array("step", "head"), lambda o: (o["label"] != F.col("label")) & can_link(o["me"]))
+        new = unseen(met.withColumn("others", others).select("me", F.explode("others.me").alias("other")))
         grown = stored(links.union(_compared(rows, marks, new, nodes, width, least)), "links")
         done = done.union(new)
         if grown.count() == links.count():
@@ -350,9 +355,9 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
         links = grown
         label = stored(components(links, "a", "b"), "labels")
         here = open_lists()
-    left = here.select("token", "label", "me")
-    right = here.select("token", F.col("label").alias("label2"), F.col("me").alias("other"))
-    across = left.join(right, "token").where("label <> label2 AND me.node > other.node").select("me", "other")
+    left = here.select("token", "run", "label", "me")
+    right = here.select("token", "run", F.col("label").alias("label2"), F.col("me").alias("other"))
+    across = left.join(right, ["token", "run"]).where("label <> label2 AND me.node > other.node").select("me", "other")
     more = _compared(rows, marks, unseen(across), nodes, width, least)
     label = stored(components(links.union(more), "a", "b"), "labels")
 
@@ -363,6 +368,17 @@ def classes(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFram
     )
 
 
+def _runs(lists: DataFrame, least: int) -> DataFrame:
+    """Adds ``run`` and ``m``: a list is cut where the next larger set is too large to link, ``m`` nodes are in a run.
+
+    All sets before such a cut are too small for all behind it, so nodes that can link are in one run.
+    """
+    by_size = Window.partitionBy("token").orderBy("n", "node")
+    far = 100 * F.lag("n").over(by_size) < least * F.col("n")
+    cut = lists.withColumn("far", F.coalesce(far.cast("int"), F.lit(0))).withColumn("run", F.sum("far").over(by_size))
+    return cut.drop("far").withColumn("m", F.count("*").over(Window.partitionBy("token", "run")))
+
+
 def _possible(pairs: DataFrame, light: int, least: int) -> DataFrame:
     """Distinct pairs that size and place let link, and that are not both light."""
     a, b = F.col("me"), F.col("other")

@@ -290,3 +290,30 @@ def test_nearest_against_brute_force(spark):
         hits, total = hits + len(set(mine) & set(best.tolist())), total + 10
     assert hits / total >= 0.9 and not any(r.query_id == 800 for r in got)
     assert [r.vec_id for r in sorted((r for r in got if r.query_id == 100), key=lambda r: r["rank"])] == list(range(900, 910))
+
+
+def test_lists_are_cut_where_sizes_cannot_link(spark):
+    rows = [(7, i, n) for i, n in enumerate([100, 79, 110, 300, 310, 1000])] + [(8, 1, 50), (8, 2, 60)]
+    got = {(r.token, r.node): (r.run, r.m) for r in jaccard._runs(spark.createDataFrame(rows, "token long, node long, n long"), 80).collect()}
+    assert got == {(7, 1): (0, 1), (7, 0): (1, 2), (7, 2): (1, 2), (7, 3): (2, 2), (7, 4): (2, 2), (7, 5): (3, 1), (8, 1): (0, 2), (8, 2): (0, 2)}
+
+
+def test_classes_of_long_lists_of_many_sizes(spark):
+    """Texts of sizes far apart that all share their rarest words: brute force gives the same classes."""
+    def text(i: int) -> str:
+        n = 40 + 37 * (i % 9)
+        words = [f"common{j}" for j in range(n)]
+        for j in range(i // 9):
+            words[-1 - 9 * j] = f"own{i}x{j}"
+        return " ".join(words)
+
+    rows = [(i, text(i)) for i in range(45)]
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    root = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+    got = {r.doc_id: r.component_id for r in jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == root
