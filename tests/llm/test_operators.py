@@ -317,3 +317,33 @@ def test_classes_of_long_lists_of_many_sizes(spark):
                     root[a] = root[b] = min(root[a], root[b])
     got = {r.doc_id: r.component_id for r in jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == root
+
+
+def test_licenses_lines_without_a_cue(spark):
+    """Lines of a notice that hold no cue word are scored, and the exact filter of lines drops none that is confirmed."""
+    rows = [
+        (0, "intro\nof this software and associated documentation files (the \"Software\"), to deal\nend"),
+        (1, "either this is free and unencumbered software that is released into the domain"),
+        (2, "this program is free"),
+        (3, "the software"),
+        (4, None),
+    ]
+    rows += [(100 + i, f"plain{i % 37} words{i % 11} of line{i} and more") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert not any(re.search(licenses.CUES, r[1] or "") for r in rows)
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert (got[1].family, got[1].paragraph, got[1].n_notices) == ("Unlicense", 0, 1) and got[0].family in ("MIT", None)
+    assert all(got[i].family is None for i in (2, 3, 4, *range(100, 400)))
+    known = [(f, i, t) for f, v in licenses.TEMPLATES.items() for i, t in enumerate(v)]
+    split = spark.createDataFrame(known, "family string, template int, part string").select(
+        "family", "template", "part", licenses.terms(licenses.F.col("part")).alias("terms")
+    )
+    templates = split.selectExpr("family", "template", "explode(terms) AS term", "size(terms) AS size")
+    own = {t: set(x) for t, x in split.select("part", "terms").collect()}
+    rng = np.random.default_rng(2)
+    lines_ = [" ".join(w for w in t.split() if rng.random() > cut) + more for _, _, t in known for cut in (0, 0.2, 0.4, 0.7) for more in ("", " and so on for ever")]
+    texts = spark.createDataFrame(list(enumerate(lines_)), "doc_id long, text string")
+    kept = {r[0] for r in licenses.paragraphs(texts, templates).select("doc_id").collect()}
+    for i, found in texts.select("doc_id", licenses.terms(licenses.F.col("text"))).collect():
+        best = max(len(set(found) & v) / min(len(found), len(v)) if found else 0 for v in own.values())
+        assert i in kept or best < licenses.CONFIRM, lines_[i]
