@@ -12,9 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from hirelake.operators import search
 from hirelake.operators.staging import top_per_key
@@ -23,8 +25,8 @@ from hirelake.operators.staging import top_per_key
 SAMPLE, ROUNDS, MOST_GROUPS = 20_000, 8, 4_096
 #: Vectors without direction: they score 0 with every query.
 ZERO = -1
-#: Queries that are searched in one pass; more take one pass each.
-CHUNK_QUERIES = 2_000
+#: Most queries, and most cells (a query and a group), that are searched in one pass; more take one pass each.
+CHUNK_QUERIES, CHUNK_CELLS = 20_000, 8_000_000
 #: Room for rounding: scores are rounded to search.DIGITS.
 SLACK = 1e-6
 
@@ -132,7 +134,8 @@ def top_k(queries: search.Queries | DataFrame, index: DenseIndex, k: int = 30, e
     bounded size; a task scores a group's rows only against the queries that visit the group.
     """
     q = queries if isinstance(queries, search.Queries) else search.measured(queries)
-    chunks = max(1, -(-q.count // CHUNK_QUERIES), -(-q.bytes // search.MAX_BROADCAST_BYTES))
+    at_once = min(CHUNK_QUERIES, max(2_000, CHUNK_CELLS // len(index.size)))
+    chunks = max(1, -(-q.count // at_once), -(-q.bytes // search.MAX_BROADCAST_BYTES))
     read = Read(of_groups=int((index.size > 0).sum()), of_vectors=q.count * int(index.size.sum()))
     seen: set[int] = set()
     parts = []
@@ -177,31 +180,37 @@ def _scored(index: DenseIndex, qids: list, unit: np.ndarray, most: np.ndarray |
     rows = index.rows(groups).select("id", "yoe", "dense", "group")
     sent = index.spark.sparkContext.broadcast((qids, unit, most, visit))  # one chunk of queries
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kind = rows.schema["id"].dataType
+    schema = T.StructType([T.StructField("qid", kind), T.StructField("id", kind), T.StructField("score", T.DoubleType())])
+    shape = to_arrow_schema(schema)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, unit, most, visit = sent.value
         best = search._Best(k, len(qids))
         place = {x: i for i, x in enumerate(qids)}
-        step = max(16, min(search.CHUNK, search.CELLS // max(1, len(qids))))
-        for part in batches:
+        for batch in batches:
+            part = batch.to_pandas()
             group = part["group"].to_numpy()
             for g in np.unique(group):
                 asked = np.flatnonzero(visit[:, g])
+                if not len(asked):
+                    continue
                 here = part[group == g]
+                step = max(16, min(search.CHUNK, search.CELLS // len(asked)))
+                column = {x: i for i, x in enumerate(asked.tolist())} if exclude_self else {}
                 for at in range(0, len(here), step):
                     some = here.iloc[at : at + step]
                     ids = some["id"].to_numpy()
-                    scores = np.full((len(some), len(qids)), -np.inf)
-                    scores[:, asked] = np.round(search._unit(some["dense"]) @ unit[asked].T, search.DIGITS)
+                    allowed = np.ones((len(some), len(asked)), dtype=bool)
                     if most is not None:
-                        scores[~(some["yoe"].to_numpy(float)[:, None] <= most[None, :])] = -np.inf
+                        allowed = some["yoe"].to_numpy(float)[:, None] <= most[asked][None, :]
                     if exclude_self:
                         for i, x in enumerate(ids.tolist()):
-                            if x in place:
-                                scores[i, place[x]] = -np.inf
-                    best.add(scores, ids)
-        found = [(qids[i], x, -neg) for i, kept in best.rows.items() for neg, x in kept]
-        yield pd.DataFrame(found, columns=["qid", "id", "score"])
-
-    kind = rows.schema["id"].dataType
-    schema = T.StructType([T.StructField("qid", kind), T.StructField("id", kind), T.StructField("score", T.DoubleType())])
-    return rows.mapInPandas(score, schema)
+                            if place.get(x) in column:
+                                allowed[i, column[place[x]]] = False
+                    best.add(search._unit(some["dense"]) @ unit[asked].T, ids, allowed, asked)
+        query, scores, found = best.rows()
+        frame = pd.DataFrame({"qid": pd.Series(qids).to_numpy()[query], "id": found, "score": scores})
+        yield pa.RecordBatch.from_pandas(frame, schema=shape, preserve_index=False)
+
+    return rows.mapInArrow(score, schema)

@@ -12,7 +12,6 @@ them in several passes; the corpus is never shuffled. Every pair that the payloa
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -20,11 +19,13 @@ from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from hirelake.functions import text
+from hirelake.functions import slices, text
 from hirelake.operators.index import header
 from hirelake.operators.staging import top_per_key, union_sources
 from hirelake.sources import scratch
@@ -39,6 +40,8 @@ CHUNK = 1_024
 CELLS = 4_000_000
 
 DIGITS = 6
+# Room for rounding: a pair whose score may round up to the k-th is looked at.
+SLACK = 1e-6
 
 
 @dataclass
@@ -84,6 +87,9 @@ class _QueryBlock:
 
     def __init__(self, rows: pd.DataFrame, kinds: tuple[str, ...]):
         self.qids = rows["qid"].tolist()
+        self.places: dict[object, list[int]] = {}
+        for i, qid in enumerate(self.qids):
+            self.places.setdefault(qid, []).append(i)
         self.max_yoe = rows["max_yoe"].to_numpy(dtype=float) if "max_yoe" in rows else None
         self.chunk = max(16, min(CHUNK, CELLS // max(1, len(rows))))
         if "dense" in kinds:
@@ -147,57 +153,91 @@ def _unit(vectors: pd.Series) -> np.ndarray:
 
 
 class _Best:
-    """Running best k of one task, per query: rounded score descending, then id."""
+    """Running best k of one task, per query: rounded score descending, then id.
 
-    def __init__(self, k: int, n_queries: int):
-        self.k, self.rows = k, {}
+    Pairs that may still matter wait until there are as many as the best hold, and then are ranked all at once.
+    """
+
+    def __init__(self, k: int, n_queries: int, positive: bool = False):
+        self.k, self.n, self.positive = k, n_queries, positive
         self.least = np.full(n_queries, -np.inf)  # score of the k-th, once there are k
-        self.last: dict[int, object] = {}  # its id
-
-    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        """``scores`` is corpus rows x queries; -inf marks pairs that may not match."""
-        hit = (scores >= self.least) & (scores > -np.inf)
-        for q in np.flatnonzero(hit.any(axis=0)).tolist():
-            at = np.flatnonzero(hit[:, q])
-            if q in self.last:  # copies of one text tie by the thousand: only smaller ids still matter
-                at = at[(scores[at, q] > self.least[q]) | (ids[at] < self.last[q])]
-                if not len(at):
-                    continue
-            column = scores[at, q]
-            if len(at) > 4 * self.k:
-                bar = np.partition(column, len(at) - self.k)[len(at) - self.k]
-                at, column = at[column >= bar], column[column >= bar]
-            fresh = zip((-column).tolist(), ids[at].tolist())
-            best = heapq.nsmallest(self.k, [*self.rows.get(q, []), *fresh])
-            self.rows[q] = best
-            if len(best) == self.k:
-                self.least[q], self.last[q] = -best[-1][0], best[-1][1]
-
-
-def _score_part(block: _QueryBlock, part: pd.DataFrame, kinds, best: dict[str, _Best], exclude_self: bool) -> None:
-    for start in range(0, len(part), block.chunk):
-        rows = part.iloc[start : start + block.chunk]
-        ids = rows["id"].to_numpy()
-        barred = np.zeros((len(rows), len(block.qids)), dtype=bool)
-        if block.max_yoe is not None:
-            yoe = rows["yoe"].to_numpy(dtype=float)
-            barred = ~(yoe[:, None] <= block.max_yoe[None, :])  # NULL is NaN and never matches
-        if exclude_self:
-            where = {x: i for i, x in enumerate(ids.tolist())}
-            for q, qid in enumerate(block.qids):
-                if qid in where:
-                    barred[where[qid], q] = True
-        for kind in kinds:
-            scores = np.round(block.scores(kind, rows), DIGITS)
-            scores[barred if kind == "dense" else barred | (scores <= 0)] = -np.inf
-            best[kind].add(scores, ids)
-
-
-def _emit(block: _QueryBlock, best: dict[str, _Best]) -> pd.DataFrame:
-    rows = [
-        (kind, block.qids[q], id_, -neg) for kind, b in best.items() for q, kept in b.rows.items() for neg, id_ in kept
-    ]
-    return pd.DataFrame(rows, columns=["kind", "qid", "id", "score"])
+        self.last: np.ndarray | None = None  # its id
+        self.kept: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None  # query, score, id
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.pending = 0
+
+    def add(self, scores: np.ndarray, ids: np.ndarray, allowed: np.ndarray | None = None, asked: np.ndarray | None = None) -> None:
+        """``scores`` is corpus rows x queries, or x those ``asked``; pairs not ``allowed`` do not count."""
+        least = self.least if asked is None else self.least[asked]
+        hit = scores >= least - SLACK
+        if allowed is not None:
+            hit &= allowed
+        if len(ids) > self.k and np.count_nonzero(hit) > 4 * self.k * len(least):
+            best = np.where(hit, scores, -np.inf)
+            hit &= scores >= np.partition(best, len(ids) - self.k, axis=0)[len(ids) - self.k] - SLACK
+        row, column = np.nonzero(hit)
+        score = np.round(scores[row, column], DIGITS)
+        query = column if asked is None else asked[column]
+        id_ = ids[row]
+        keep = score >= self.least[query]
+        if self.positive:
+            keep &= score > 0
+        if self.last is not None:  # copies of one text tie by the thousand: only smaller ids still matter
+            full = np.isfinite(self.least[query])
+            tie = full & (score == self.least[query])
+            keep[tie] &= id_[tie] < self.last[query[tie]]
+        if keep.any():
+            self.waiting.append((query[keep], score[keep], id_[keep]))
+            self.pending += int(keep.sum())
+        if self.pending >= self.k * self.n:
+            self._rank()
+
+    def _rank(self) -> None:
+        """Only the k best of each query stay."""
+        if not self.waiting:
+            return
+        parts = [*([self.kept] if self.kept is not None else []), *self.waiting]
+        query, score, id_ = (np.concatenate(c) for c in zip(*parts, strict=True))
+        by_id = np.unique(id_, return_inverse=True)[1] if id_.dtype == object else id_
+        order = np.lexsort((by_id, -score, query))
+        query, score, id_ = query[order], score[order], id_[order]
+        start = np.searchsorted(query, np.arange(self.n))
+        place = np.arange(len(query)) - start[query]
+        stay = place < self.k
+        self.kept = query[stay], score[stay], id_[stay]
+        full = place == self.k - 1
+        self.last = np.zeros(self.n, id_.dtype) if self.last is None else self.last.astype(id_.dtype)
+        self.least[query[full]], self.last[query[full]] = score[full], id_[full]
+        self.waiting, self.pending = [], 0
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the query, score, id) of the best."""
+        self._rank()
+        return self.kept if self.kept is not None else (np.empty(0, np.int64), np.empty(0), np.empty(0, object))
+
+
+def _score_part(block: _QueryBlock, rows: pd.DataFrame, kinds, best: dict[str, _Best], exclude_self: bool) -> None:
+    """Score one slice of the corpus, of ``block.chunk`` rows at most."""
+    ids = rows["id"].to_numpy()
+    allowed = None
+    if block.max_yoe is not None:
+        yoe = rows["yoe"].to_numpy(dtype=float)
+        allowed = yoe[:, None] <= block.max_yoe[None, :]  # NULL is NaN and never matches
+    if exclude_self:
+        if allowed is None:
+            allowed = np.ones((len(rows), len(block.qids)), dtype=bool)
+        for id_, i in {x: i for i, x in enumerate(ids.tolist())}.items():
+            allowed[i, block.places.get(id_, [])] = False
+    for kind in kinds:
+        best[kind].add(block.scores(kind, rows), ids, allowed)
+
+
+def _emit(block: _QueryBlock, best: dict[str, _Best], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+    qids = pd.Series(block.qids).to_numpy()
+    for kind, b in best.items():
+        query, score, id_ = b.rows()
+        frame = pd.DataFrame({"kind": kind, "qid": qids[query], "id": id_, "score": score})
+        yield pa.RecordBatch.from_pandas(frame, schema=out, preserve_index=False)
 
 
 # --- passes over the corpus --------------------------------------------------------
@@ -228,16 +268,19 @@ def _one_pass(queries: DataFrame, corpus: DataFrame, kinds, k, exclude_self, out
     """Queries of bounded size go to the corpus partitions; the corpus stays where it is."""
     rows = corpus.sparkSession.sparkContext.broadcast(queries.toPandas())
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    shape = to_arrow_schema(out)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if rows.value.empty:  # a chunk that no query hashes to
             return
         block = _QueryBlock(rows.value, kinds)
-        best = {kind: _Best(k, len(block.qids)) for kind in kinds}
-        for part in batches:
-            _score_part(block, part, kinds, best, exclude_self)
-        yield _emit(block, best)
+        best = {kind: _Best(k, len(block.qids), positive=kind != "dense") for kind in kinds}
+        for batch in batches:
+            for part in slices.of_batch(batch, rows=block.chunk):
+                _score_part(block, part.to_pandas(), kinds, best, exclude_self)
+        yield from _emit(block, best, shape)
 
-    return corpus.mapInPandas(score, out)
+    return corpus.mapInArrow(score, out)
 
 
 # --- public operators -----------------------------------------------------------------
@@ -315,21 +358,25 @@ class ModelScorer:
         kept = ["qid", "id", *keep]
         out = T.StructType([*[sized.schema[c] for c in kept], T.StructField("rerank", T.DoubleType())])
 
-        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shape = to_arrow_schema(out)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import pyspark
 
             loaded = pyspark.__dict__.setdefault("_hirelake_models", {})  # lives as long as the worker
             if self.name not in loaded:
                 loaded[self.name] = self.load()
             model = loaded[self.name]
-            for part in parts:  # one Arrow batch at a time
-                scores = np.empty(len(part))
-                texts = list(zip(part["__a"], part["__b"], strict=True))
-                for first, last in self.batches(part["__n"].tolist()):
-                    scores[first:last] = model(texts[first:last])
-                yield part[kept].assign(rerank=np.round(scores, DIGITS))
-
-        return sized.mapInPandas(run, out)
+            for batch in batches:
+                for part in slices.of_batch(batch):  # texts of bounded size at a time
+                    scores = np.empty(part.num_rows)
+                    texts = list(zip(part.column("__a").to_pylist(), part.column("__b").to_pylist(), strict=True))
+                    for first, last in self.batches(part.column("__n").to_pylist()):
+                        scores[first:last] = model(texts[first:last])
+                    same = [part.column(c).cast(shape.field(c).type) for c in kept]
+                    yield pa.RecordBatch.from_arrays([*same, pa.array(np.round(scores, DIGITS))], schema=shape)
+
+        return sized.mapInArrow(run, out)
 
 
 def rerank(

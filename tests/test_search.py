@@ -269,3 +269,42 @@ def test_model_rerank_in_batches_of_like_lengths(spark, tmp_path):
     assert sum(n for n, _, _ in sizes) == 2 * len(asked) * len(texts)
     assert all(n <= 16 and (n == 1 or n * longest <= 2000) for n, longest, _ in sizes)
     assert list(model.batches([])) == [] and list(model.batches([5000])) == [(0, 1)]
+
+
+def test_best_of_many_chunks_against_sorting():
+    """Chunks with ties, barred pairs and some columns only, ids as numbers and as text."""
+    rng = np.random.default_rng(5)
+    for kind in (int, str):
+        best, pairs = search._Best(4, 6), {}
+        for chunk in range(30):
+            ids = np.array([kind(1000 - chunk * 20 - i) for i in range(20)], dtype=object if kind is str else np.int64)
+            asked = np.sort(rng.choice(6, 3, replace=False)) if chunk % 3 else np.arange(6)
+            scores = rng.integers(0, 9, (20, len(asked))) / 8 + rng.random((20, len(asked))) * 1e-8
+            allowed = rng.random(scores.shape) < 0.6
+            best.add(scores, ids, allowed, asked)
+            for i, j in zip(*np.nonzero(allowed)):
+                pairs.setdefault(int(asked[j]), []).append((-round(scores[i, j], 6), ids[i]))
+        query, score, id_ = best.rows()
+        got = {}
+        for q, s, i in zip(query.tolist(), score.tolist(), id_.tolist()):
+            got.setdefault(q, []).append((-s, i))
+        assert got == {q: sorted(v)[:4] for q, v in pairs.items()}
+
+
+def test_slices_are_bounded_and_whole(spark):
+    import pyarrow as pa
+
+    from hirelake.functions import slices
+
+    texts = pa.array(["x" * n for n in (10, 50_000, 3, 200_000, 0, 7)] + [None])
+    parts = list(slices.of_array(texts, rows=3, most=60_000))
+    assert pa.concat_arrays(parts).equals(texts) and [len(p) for p in parts] == [3, 1, 3]
+    lists = pa.array([["ab"] * n for n in (4, 0, 4000, 1)])
+    assert sum((p.to_pylist() for p in slices.of_array(lists, most=1_000)), []) == lists.to_pylist()
+    words = [["b", "a", "b"], [], ["c"] * 5 + ["a"], None]
+    frame = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w array<string>").coalesce(1)
+    got = frame.select(vectors.sparse_text(F.col("w")).alias("s"), vectors.embed_text(F.col("w")).alias("d")).collect()
+    assert [r.s.terms for r in got] == [["b", "a"], [], ["c", "a"], []]
+    assert [sum(r.d) for r in got] == [3, 0, 6, 0] and all(len(r.d) == vectors.DENSE_DIM for r in got)
+    tf = 5 * 2.2 / (5 + 1.2 * (0.25 + 0.75 * 6 / 256.0))
+    assert abs(got[2].s.weights[0] - tf) < 1e-12
