@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from hirelake import schemas as S
-from hirelake.functions import text
+from hirelake.functions import slices, text
 from hirelake.functions.html import Select, parse
 
 CARD = (
@@ -132,12 +134,16 @@ def _card_fields(node, idx: int, rules: CardRules) -> dict:
 
 
 def _cards_udf(rules: CardRules):
-    @pandas_udf(CARD)
-    def cards_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    kind = to_arrow_type(DataType.fromDDL(CARD))
+
+    @arrow_udf(CARD)
+    def cards_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for html in batches:
-            yield html.map(
-                lambda h: [_card_fields(n, i, rules) for i, n in enumerate(parse(h).find_all(rules.card))]
-            )
+            found = [pa.array([], kind)]
+            for some in slices.of_array(html):  # the trees and cards of a few pages at a time
+                rows = [[_card_fields(n, i, rules) for i, n in enumerate(parse(h).find_all(rules.card))] for h in some.to_pylist()]
+                found.append(pa.array(rows, kind))
+            yield pa.concat_arrays(found)
 
     return cards_of
 
@@ -197,15 +203,20 @@ def cards_to_raw(
 
 
 def _detail_udf(rules: tuple[Select, ...]):
-    @pandas_udf("struct<title:string,jd:string>")
-    def detail_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kind = pa.struct([("title", pa.string()), ("jd", pa.string())])
+
+    @arrow_udf("struct<title:string,jd:string>")
+    def detail_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for html in batches:
-            rows = []
-            for h in html:
-                tree = parse(h)
-                title, body = tree.find(Select("title")), tree.find(*rules)
-                rows.append((title.text() if title else "", body.lines() if body else None))
-            yield pd.DataFrame(rows, columns=["title", "jd"])
+            found = [pa.array([], kind)]
+            for some in slices.of_array(html):
+                rows = []
+                for h in some.to_pylist():
+                    tree = parse(h)
+                    title, body = tree.find(Select("title")), tree.find(*rules)
+                    rows.append({"title": title.text() if title else "", "jd": body.lines() if body else None})
+                found.append(pa.array(rows, kind))
+            yield pa.concat_arrays(found)
 
     return detail_of
 
