@@ -347,3 +347,15 @@ def test_licenses_lines_without_a_cue(spark):
     for i, found in texts.select("doc_id", licenses.terms(licenses.F.col("text"))).collect():
         best = max(len(set(found) & v) / min(len(found), len(v)) if found else 0 for v in own.values())
         assert i in kept or best < licenses.CONFIRM, lines_[i]
+
+
+def test_licenses_words_are_found_once(spark):
+    """A line's words are cut out by one expression, and only terms of templates are kept beside their number."""
+    docs = spark.createDataFrame([(1, "Released under the ISC License. zz yy"), (1, "Released under the ISC License. zz yy")], "doc_id long, text string")
+    plan = docs.select(licenses.terms(licenses.F.col("text")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all") == 1
+    notice = spark.createDataFrame([("ISC", 0, "Released under the ISC License.")], "family string, template int, part string")
+    split = notice.select("family", "template", licenses.terms(licenses.F.col("part")).alias("terms"))
+    templates = split.selectExpr("family", "template", "explode(terms) AS term", "size(terms) AS size")
+    found = licenses.paragraphs(docs, templates).distinct().collect()
+    assert [(r.n, len(r.terms), r.marked, r.may) for r in found] == [(13, 9, True, ["ISC"])]
