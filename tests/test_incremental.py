@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hirelake import schemas as S
-from hirelake.operators import dense_index, gold, gold_feed, partial, postings, search, state
+from hirelake.operators import dense_index, gold, gold_feed, partial, postings, search, staging, state
 from hirelake.plans import batch, incremental
 from hirelake.sources.buckets import Buckets, pairs
 
@@ -252,3 +252,43 @@ def test_postings_skip_what_cannot_matter(spark, tmp_path):
         assert read < 0.8 * total
     largest = spark.read.parquet(f"{tmp_path}/index/blocks").agg(F.max(F.size("postings"))).first()[0]
     assert largest <= 3 * 64
+
+
+def test_postings_of_large_levels_move_once(spark, tmp_path, monkeypatch):
+    """Postings are dealt to tasks by id and added up there, also with many tasks, passes and copies of a query."""
+    rows = [(i, ["all", f"t{i % 5}"], [1.0 + i % 3 / 4, 0.5]) for i in range(300)]
+    corpus = spark.createDataFrame(rows, "id long, terms array<string>, weights array<double>")
+    index = postings.build(corpus, str(tmp_path / "index"), block=8)
+    queries = spark.createDataFrame([(q, ["all", f"t{q}"]) for q in range(4)], "qid long, terms array<string>")
+    monkeypatch.setattr(postings, "SHARD", 32)
+    monkeypatch.setattr(postings, "PROBE_BLOCKS", 1)
+    monkeypatch.setattr(search, "MAX_BROADCAST_QUERIES", 3)
+    want = sorted(map(tuple, search.top_k(queries, corpus, ("sparse",), 5).select("qid", "id", "score", "rank").collect()))
+    hits = postings.top_k(queries, index, 5, probe=4)[0]
+    assert sorted(map(tuple, hits.collect())) == want
+    twice = postings.top_k(queries.union(queries), index, 5, probe=4)[0].select("qid", "id", "score").distinct()
+    assert {r[:3] for r in want} >= {tuple(r) for r in twice.collect()}
+
+
+def test_latest_rows_advance_by_one_join(spark, tmp_path):
+    """A stored row stays unless the new one is newer, NULL times being the oldest; large buckets are cut into several files."""
+    schema = "k string, at timestamp, v string"
+    schema = spark.createDataFrame([], schema).schema
+    table = Buckets(spark, str(tmp_path / "t"), schema, ["k"], 2)
+    day = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    first = [("a", day[1], "x"), ("b", None, "x"), ("c", day[1], "x"), ("d", day[1], None), ("e", day[1], "x")]
+    second = [("a", day[0], "y"), ("b", day[0], "y"), ("c", day[2], None), ("d", day[1], "y"), ("e", None, "z"), ("f", None, None)]
+    for rows in (first, second):
+        version, _ = partial.advance_latest(table, spark.createDataFrame(rows, schema), "at", ["v"])
+    both = spark.createDataFrame(first + second, schema)
+    want = staging.latest(both, ["k"], "at", ["v"])
+    assert sorted(map(str, table.read().collect())) == sorted(map(str, want.collect()))
+    moved = {(r.before and r.before.v, r.after.k, r.after.v) for r in table.feed(version).collect()}
+    assert moved == {("x", "b", "y"), ("x", "c", None), (None, "d", "y"), (None, "f", None)}
+    big = Buckets(spark, str(tmp_path / "big"), schema, ["k"], 1)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        big.load(spark.range(20_000).selectExpr("cast(id as string) k", "cast(null as timestamp) at", "uuid() v").repartition(8))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "big" / "rows" / "hash_bucket=0").glob("*.parquet"))) > 1
