@@ -86,6 +86,10 @@ def advance_latest(table: Buckets, observations: DataFrame, ts: str, tie: list[s
     Latest-of-latest is latest of all, so the state (one row a key) stands for every observation before.
     """
     with table.staged(staging.latest(observations, table.key, ts, tie).select(table.schema.names)) as fresh:
-        old = _same_keys(table.read(table.touched(fresh)), fresh, table.key)
-        after = staging.latest(old.unionByName(fresh), table.key, ts, tie)
-        return table.apply(pairs(old, after, table.key))
+        old, new = (F.struct(*[F.col(f"{side}.{c}") for c in table.schema.names]) for side in ("o", "n"))
+        order_old, order_new = (F.struct(*[F.col(f"{side}.{c}") for c in (ts, *tie)]) for side in ("o", "n"))
+        stored = table.read(table.touched(fresh)).withColumn("__stored", F.lit(True)).alias("o")
+        same_key = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in table.key]
+        both = fresh.alias("n").join(stored, same_key, "left")  # one row a key on either side
+        newer = F.col("__stored").isNull() | (order_new > order_old)  # NULL is the least, as in `staging.latest`
+        return table.apply(both.where(newer).select(F.when(F.col("__stored"), old).alias("before"), new.alias("after")))

@@ -71,7 +71,8 @@ class Buckets:
         return sorted(r[0] for r in rows.select(self.bucket()).distinct().collect())
 
     def _write(self, rows: DataFrame, mode: str) -> None:
-        dealt = rows.select(*self.schema.names, self.bucket().alias(BUCKET)).repartition(BUCKET)
+        # by bucket, but a large bucket is cut into several tasks and files
+        dealt = rows.select(*self.schema.names, self.bucket().alias(BUCKET)).hint("rebalance", F.col(BUCKET))
         writer = dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(BUCKET).parquet(self.rows_path)
 
