@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelake.llm.common import documents
 
@@ -466,20 +467,25 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
+    rows = docs.select(*kept)
+    text = kept.index("text")
+    if docs.schema["text"].dataType != T.StringType():  # a text that is sent as it is needs no second column
+        rows, text = rows.withColumn("_text", F.col("text").cast("string")), len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:
             for at in range(0, max(1, batch.num_rows), 512):
                 part = batch.slice(at, 512)
-                values = probabilities(pc.fill_null(part.column("_text"), "").to_pylist(), own)
+                values = probabilities(pc.fill_null(part.column(text), "").to_pylist(), own)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(values, pa.float64()), pa.array(values >= 0.5).cast(pa.int32())],
+                    [*part.columns[: len(kept)], pa.array(values, pa.float64()), pa.array(values >= 0.5).cast(pa.int32())],
                     [*kept, "score", "predicted"],
                 )
+            del batch, part  # else it is there while the next one comes
+            pa.default_memory_pool().release_unused()
 
-    rows = docs.select(*kept, F.col("text").cast("string").alias("_text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), SCORES])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(kept)]), SCORES])
     return rows.mapInArrow(run, schema)
 
 
@@ -493,5 +499,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that the model does not predict as toxic."""
     model = fit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
-    return score(rows, model).where("predicted = 0").select("row.*")
+    names = [c if c == "text" else f"_{i}" for i, c in enumerate(docs.columns)]  # no column is taken for a score
+    return score(docs.toDF(*names), model).where("predicted = 0").select(
+        *[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)]
+    )

@@ -351,11 +351,22 @@ def test_licenses_lines_without_a_cue(spark):
 
 def test_licenses_words_are_found_once(spark):
     """A line's words are cut out by one expression, and only terms of templates are kept beside their number."""
-    docs = spark.createDataFrame([(1, "Released under the ISC License. zz yy"), (1, "Released under the ISC License. zz yy")], "doc_id long, text string")
-    plan = docs.select(licenses.terms(licenses.F.col("text")))._jdf.queryExecution().analyzed().toString()
-    assert plan.count("regexp_extract_all") == 1
+    docs = spark.createDataFrame([(1, "Released under the ISC License. zz yy")] * 2, "doc_id long, text string")
+    plan = docs.select(licenses.terms(licenses.F.col("text")).alias("t"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all(") == 1
     notice = spark.createDataFrame([("ISC", 0, "Released under the ISC License.")], "family string, template int, part string")
     split = notice.select("family", "template", licenses.terms(licenses.F.col("part")).alias("terms"))
     templates = split.selectExpr("family", "template", "explode(terms) AS term", "size(terms) AS size")
     found = licenses.paragraphs(docs, templates).distinct().collect()
     assert [(r.n, len(r.terms), r.marked, r.may) for r in found] == [(13, 9, True, ["ISC"])]
+
+
+def test_toxicity_sends_a_text_once(spark):
+    """No second copy of the text goes to Python, and columns of any name come back."""
+    model = {"table": None, "bias": 0.0, "slope": 0.0, "level": -1.0}
+    docs = spark.createDataFrame([(1, "some words", 7), (2, None, 8)], "doc_id long, text string, score long")
+    got = toxicity.score(docs, model)
+    assert "_text" not in got._jdf.queryExecution().analyzed().toString()
+    assert got.columns == ["doc_id", "text", "score", "predicted"] and [r.predicted for r in got.collect()] == [0, 0]
+    as_bytes = toxicity.score(docs.selectExpr("doc_id", "cast(text as binary) text"), model)
+    assert [bytes(r.text) if r.text else None for r in as_bytes.collect()] == [b"some words", None]
