@@ -29,6 +29,8 @@ X_S2, X_N, X_CENTER, X_PLACE = 52, 25, 24, (1 << 24) - 1
 MOST_N = (1 << (X_S2 - X_N)) - 1
 #: Signatures that a task remembers in order to write the keys of equal sets once.
 REMEMBERED = 500_000
+#: Bytes of text whose shingles a task makes at a time.
+PART = 1 << 18
 #: Sets up to so many are picked from the texts by a broadcast of their ids (8 bytes each), more by a shuffle.
 MOST_SENT = 1_000_000
 ARRAYS = "doc_id long, s1 long, s2 long, shingles array<long>"
@@ -47,7 +49,7 @@ def prefix(n: int, least: int) -> int:
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Runs of rows, as (first row, sets): the sorted distinct shingle hashes of each text."""
-    for first, last, data, bounds in text_slices(column):
+    for first, last, data, bounds in text_slices(column, PART):
         low = lowered(data)
         start, end, text = words(low, bounds)
         word = Hashes(low, 3).spans(start, end)
@@ -110,6 +112,7 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int, cells: int) -> Iterator
             np.add.at(counts, _cell(np.concatenate(sets), cells), np.uint32(1))
         n = len(ids)
         columns = (ids, sizes, s1, s2, marks, [None] * n, [None] * n)
+        del batch  # else it is there while the next one comes
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
     used = [b for b in range(cells // BLOCK) if counts[b * BLOCK : (b + 1) * BLOCK].any()]
     rows = [counts[b * BLOCK : (b + 1) * BLOCK].tobytes() for b in used]

@@ -17,7 +17,7 @@ from hirelake.llm.common import documents, running_sum, spread_bits, stored
 CAPACITY = 4096
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-#: Spans of text whose ids a worker remembers; a bound on memory only.
+#: Spans of text whose ids a task remembers; a bound on memory only.
 REMEMBERED = 700_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -57,17 +57,11 @@ def encoder(name: str):
     The tokenizer drops white space and never joins what stands on both sides of it, so a text is the
     concatenation of its spans between blanks; spans seen before are looked up. A Latin word, with or
     without punctuation after it, goes straight to the tokenizer's merges, all else through the whole of it.
+    What is remembered goes with the encoder: a worker lives on in later stages, which need the room.
     """
-    if name in _STATE:
-        return _STATE[name]
-    import os
-
     import numpy as np
-    import public_tokenizers
-    from tokenizers import Tokenizer
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    tokenizer = _tokenizer(name)
     merges = tokenizer.model
     letters = _byte_letters()
     known: dict[str, bytes] = {}
@@ -119,10 +113,22 @@ def encoder(name: str):
                 yield got
             at = end
 
-    _STATE[name] = encode
     return encode
 
 
+def _tokenizer(name: str):
+    """Read once by each worker."""
+    if name not in _STATE:
+        import os
+
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        _STATE[name] = Tokenizer.from_file(public_tokenizers.path(name))
+    return _STATE[name]
+
+
 def _is_latin(word: str) -> bool:
     try:
         word.encode("latin-1")
@@ -136,10 +142,10 @@ def tokenised(batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: int)
     end = END_ID.to_bytes(4, "little")
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
-        texts = pc.fill_null(batch.column("text"), "")
         for at in range(0, batch.num_rows, 256):
             ids = batch.column("doc_id").slice(at, 256).to_pylist()
-            for doc, got in zip(ids, encode(texts.slice(at, 256).to_pylist()), strict=True):
+            texts = pc.fill_null(batch.column("text").slice(at, 256), "").to_pylist()
+            for doc, got in zip(ids, encode(texts), strict=True):
                 got += end
                 n = len(got) // 4
                 for piece, start in enumerate(range(0, n, capacity)):
@@ -148,6 +154,7 @@ def tokenised(batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: int)
                         column.append(value)
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         names = ("doc_id", "piece", "start", "length", "ids_crc32")
+        del batch  # else it is there while the next one comes
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
 
