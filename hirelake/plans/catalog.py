@@ -820,7 +820,10 @@ def q60_duplicate_keys(t: Testbed) -> DataFrame:
 @query
 def q61_batch_silver(t: Testbed) -> DataFrame:
     """The silver part of a batch run: touch, extract, upsert, quarantine, mark inactive, expire."""
-    jobs, old = batch.staged(t.raw().select(S.RAW.names)), t.silver().where(F.col("processed_at") < _day(OLD_END))
+    staged, path = batch.staged(t.raw().select(S.RAW.names)), scratch.fresh(t.spark, "jobs")
+    staged.write.parquet(path)  # read four times below, as a batch run reads int_all_jobs
+    jobs = t.spark.read.schema(staged.schema).parquet(path)
+    old = t.silver().where(F.col("processed_at") < _day(OLD_END))
     records = batch.extract_step(state.pending_jobs(jobs, old, keep=("source",)))
     return batch.silver_step(old, jobs, records, AS_OF)
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from hirelake import schemas as S
 from hirelake.operators import dashboard, gold, index, search, staging, state
-from hirelake.plans import catalog
+from hirelake.plans import batch, catalog
+from hirelake.sources import testbed
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -86,3 +87,28 @@ def test_ranking_and_fusion_share_a_shuffle(spark):
 def test_kpi_cube_expands_cells_not_rows(stored):
     text = plan(dashboard.kpi_cube(stored))
     assert text.index("Expand") < text.rindex("Exchange hashpartitioning(source") < text.index("FileScan")
+
+
+def test_batch_silver_stages_once(spark, tmp_path):
+    """q61_batch_silver reads the staged jobs four times; their wide window is made once, and the rows are those of one plan."""
+    ts = "TIMESTAMP_NTZ '1997-01-01 00:00:00'"
+    spark.sql(
+        f"""SELECT id AS o_orderkey, id * 3 AS o_custkey, 'O' AS o_orderstatus, '1-URGENT' AS o_orderpriority,
+        {ts} + make_dt_interval(CAST(id * 40 AS INT)) AS o_orderdate FROM range(30)"""
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql(
+        f"""SELECT id DIV 3 AS l_orderkey, id AS l_partkey, id % 5 AS l_suppkey, CAST(id % 3 + 1 AS INT) AS l_linenumber,
+        CASE id % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS l_returnflag, IF(id % 2 = 0, 'O', 'F') AS l_linestatus,
+        0.04D AS l_discount, {ts} + make_dt_interval(CAST(id AS INT)) AS l_shipdate FROM range(120)"""
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = catalog.queries()["q61_batch_silver"](spark, str(tmp_path))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_shipdate" not in plan and "l_partkey" not in plan
+
+    t = testbed.Testbed(spark, str(tmp_path))
+    jobs = batch.staged(t.raw().select(S.RAW.names))
+    old = t.silver().where(F.col("processed_at") < catalog._day(catalog.OLD_END))
+    records = batch.extract_step(state.pending_jobs(jobs, old, keep=("source",)))
+    want = batch.silver_step(old, jobs, records, catalog.AS_OF)
+    assert want.count() > 30
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
