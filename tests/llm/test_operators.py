@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hirelake.llm import counts, fingerprints, jaccard, licenses, lines, mixing, neighbours, packing, suffixes, toxicity
 
@@ -370,3 +371,42 @@ def test_toxicity_sends_a_text_once(spark):
     assert got.columns == ["doc_id", "text", "score", "predicted"] and [r.predicted for r in got.collect()] == [0, 0]
     as_bytes = toxicity.score(docs.selectExpr("doc_id", "cast(text as binary) text"), model)
     assert [bytes(r.text) if r.text else None for r in as_bytes.collect()] == [b"some words", None]
+
+
+def test_repeated_bytes_of_contested_runs(spark):
+    """Texts that share grams, halves and parts of runs: brute force removes the same bytes, for several widths."""
+    rng = np.random.default_rng(5)
+    phrases = ["".join(rng.choice(list("abcä"), int(rng.integers(3, 40)))) for _ in range(12)]
+    rows = [(int(i), "".join(phrases[k] for k in rng.integers(0, len(phrases), int(rng.integers(0, 14))))) for i in rng.permutation(60) - 20]
+    rows += [(70, rows[0][1]), (71, rows[0][1][5:] + "x" + rows[1][1]), (72, "a" * 300), (73, "b" + "a" * 200), (2**63 - 1, "a" * 90), (-(2**63), "aaab" * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for width, gram in ((50, 18), (12, 5), (9, 8), (7, 7)):
+        want = []
+        for i, t in rows:
+            b = t.encode()
+            older = {o[k : k + width] for j, u in rows if j < i for o in [u.encode()] for k in range(len(o) - width + 1)}
+            cover = bytearray(len(b))
+            for k in range(len(b) - width + 1):
+                if b[k : k + width] in older:
+                    cover[k : k + width] = b"\1" * width
+            want.append((i, len(b), sum(cover), len(re.findall(b"\1+", bytes(cover)))))
+        got = [tuple(r)[:4] for r in suffixes.remove_repeats(docs, width, gram).collect()]
+        assert sorted(got) == sorted(want)
+
+
+def test_repeated_bytes_move_little(spark, monkeypatch):
+    """Texts of the same short phrases share grams, seldom windows: what is dealt out stays near the texts' size."""
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghijklmnoprstuvw"), int(rng.integers(2, 9)))) for _ in range(3000)]
+    phrases = [" ".join(rng.choice(words, 4)) for _ in range(1500)]
+    rows = [(i, ", ".join(f"{phrases[k]} {words[w]}" for k, w in zip(rng.integers(0, 1500, 100), rng.integers(0, 3000, 100), strict=True))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    moved, dealt = [], type(docs).repartition
+
+    def counted(df, *args):
+        moved.append(df.agg(F.sum(F.length("payload"))).first()[0] or 0)
+        return dealt(df, *args)
+
+    monkeypatch.setattr(type(docs), "repartition", counted)
+    suffixes.remove_repeats(docs).count()
+    assert len(moved) == 4 and sum(moved) < 2.4 * sum(len(t) for _, t in rows)
