@@ -410,3 +410,19 @@ def test_repeated_bytes_move_little(spark, monkeypatch):
     monkeypatch.setattr(type(docs), "repartition", counted)
     suffixes.remove_repeats(docs).count()
     assert len(moved) == 4 and sum(moved) < 2.4 * sum(len(t) for _, t in rows)
+
+
+def test_licenses_train_on_every_line(spark, monkeypatch):
+    """No line of the corpus that is of no family is left out of training and calibration; notices are no part of them."""
+    rows = [(i, "\n".join(f"plain{j} word{(7 * i + j) % 11} of the line{i}x{j}" for j in range(30))) for i in range(200)]
+    rows += [(0, rows[0][1]), (900, "MIT License\n \nthe software of the work\neither this is free and unencumbered software that is released into the domain"), (901, None)]
+    seen, write = [], licenses.stored
+    monkeypatch.setattr(licenses, "stored", lambda df, name: seen.append((name, write(df, name))) or seen[-1][1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.families for r in licenses.scan(docs).collect()}
+    assert got == {**{i: [] for i in range(200)}, 900: ["MIT", "Unlicense"], 901: []}
+    training = dict(seen)["training"]
+    n = training.where("corpus AND family = 'unknown'").groupBy("fit").agg(F.sum("c")).collect()
+    assert len(n) == 2 and sum(x for _, x in n) == 30 * 201 + 1
+    for part in ["MIT-Lizenz", "CC 0", "cc-BY", "ECLIPSE Public", "Under the MIT", "gpl", "Mpl", "SPDX-License-Identifier: x", *(t for v in licenses.TEMPLATES.values() for t in v)]:
+        assert not re.search(licenses.CUES, part) or any(h in part.lower() for h in licenses.HINTS), part
